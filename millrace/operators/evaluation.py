@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import flag
@@ -40,7 +40,9 @@ def roc_auc(df: DataFrame, score: str, label: str, groups: Sequence[str] = ()) -
     tallies = scored.groupBy(*groups, "_score").agg(
         F.sum("_positive").alias("pos"), F.sum(1 - F.col("_positive")).alias("neg")
     )
-    run = running_totals(tallies, groups, "_score", ["neg"], sample=scored)
+    # Both counts run along, so that both sides of the join inside read the same
+    # columns and Spark computes the tallies once.
+    run = running_totals(tallies, groups, "_score", ["neg", "pos"], sample=scored)
     half_pairs = F.col("pos").cast("decimal(19,0)") * (
         2 * F.col("neg_before") + F.col("neg")
     ).cast("decimal(19,0)")
@@ -85,7 +87,6 @@ def latency_summary(
         groups,
         F.count("*").alias("n_requests"),
         F.sum("_failed").alias("n_errors"),
-        F.count("_ok_ms").alias("_n"),
         _plain("mean_ms", Measure("avg", "_ok_ms", scale)),
         F.max("_ok_ms").alias("max_ms"),
         ((F.max("_end") - F.min("_start")) / 1e6).alias("wall_seconds"),
@@ -97,26 +98,19 @@ def latency_summary(
     tallies = timed.groupBy(*groups, "_ms").agg(F.count("*").alias("n"))
     run = running_totals(tallies, groups, "_ms", ["n"], sample=timed)
 
-    # A value covers the sorted places [n_before, n_before + n).
-    places = summary.select(
-        *(F.col(g).alias(f"_of_{g}") for g in groups),
-        F.least(F.floor(F.col("_n") * 0.95), F.col("_n") - 1).alias("_p95"),
-        F.floor((F.col("_n") - 1) / 2).alias("_mid_low"),
-        F.floor(F.col("_n") / 2).alias("_mid_high"),
-    )
+    # A value covers the sorted places [n_before, n_before + n) of n_total.
+    total = F.col("n_total")
 
-    def at(place: str):
-        covers = (F.col("n_before") <= F.col(place)) & (
-            F.col(place) < F.col("n_before") + F.col("n")
-        )
+    def at(place: Column) -> Column:
+        covers = (F.col("n_before") <= place) & (place < F.col("n_before") + F.col("n"))
         return F.max(F.when(covers, F.col("_ms")))
 
     of_groups = [f"_of_{g}" for g in groups]
     quantiles = _per_group(
-        run.join(places, same_keys(groups, of_groups)),
+        run,
         groups,
-        ((at("_mid_low") + at("_mid_high")) / 2).alias("p50_ms"),
-        at("_p95").alias("p95_ms"),
+        ((at(F.floor((total - 1) / 2)) + at(F.floor(total / 2))) / 2).alias("p50_ms"),
+        at(F.least(F.floor(total * 0.95), total - 1)).alias("p95_ms"),
     ).withColumnsRenamed({g: f"_of_{g}" for g in groups})
     return summary.join(quantiles, same_keys(groups, of_groups), "left").select(
         *groups,

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import shared_dir
+from millrace.session import scratch_path
 
 
 def hash_layout(df: DataFrame, n: int, *keys: str) -> DataFrame:
@@ -35,23 +35,33 @@ def overwrite_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write the table to the shared folder and go on from the written copy.
+
+    Unlike an eager ``checkpoint()`` this computes the rows once, compresses
+    them and lets later steps read only the columns they use. The copy survives
+    the loss of any executor.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def iterate(
     df: DataFrame,
     step: Callable[[DataFrame, int], DataFrame],
     rounds: int,
-    checkpoint_every: int | None = 10,
+    cut_every: int | None = 10,
 ) -> DataFrame:
     """Apply ``step(df, i)`` for i = 1..rounds, cutting the lineage on the way.
 
-    Each cut writes the whole table to the shared checkpoint folder, which
-    pays off when a step shuffles. For a chain of pure projections use
-    :func:`add_columns`, or pass ``checkpoint_every=None``.
+    Each cut writes the whole table, which pays off when a step shuffles. For
+    a chain of pure projections use :func:`add_columns`, or ``cut_every=None``.
     """
-    shared_dir(df.sparkSession)
     for i in range(1, rounds + 1):
         df = step(df, i)
-        if checkpoint_every and i % checkpoint_every == 0:
-            df = df.checkpoint(eager=True)
+        if cut_every and i % cut_every == 0:
+            df = cut_lineage(df)
     return df
 
 

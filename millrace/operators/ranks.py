@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.layout import cut_lineage
+
 # A pass returns at most this many ranges (2**bits) per wanted rank, or, once
 # a range holds few rows, its distinct keys.
 _BITS = 12
@@ -164,8 +166,8 @@ def _cuts_or_numbered(df: DataFrame, keys: list[str], wanted: list[tuple], group
     try:
         return df, keys, rank_cuts(df, keys, wanted, group)
     except TiedRank:
-        # Reliable checkpoint: its partitions are files, so the numbering holds.
-        df = df.checkpoint().withColumn("_number", F.monotonically_increasing_id())
+        # The numbers are written with the rows, so they hold from here on.
+        df = cut_lineage(df.withColumn("_number", F.monotonically_increasing_id()))
         keys = [*keys, "_number"]
         return df, keys, rank_cuts(df, keys, wanted, group)
 

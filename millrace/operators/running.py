@@ -33,13 +33,14 @@ def running_totals(
     sample: DataFrame,
     ranges: int = 200,
 ) -> DataFrame:
-    """Add ``<measure>_before``: the group's total over smaller ``order`` values.
+    """Add ``<measure>_before`` and ``<measure>_total`` per group.
 
-    ``tallies`` holds one row per group and ``order`` value. A window over a
-    whole group would put a large group in one task, so values are cut into
-    ranges first (boundaries estimated from ``sample``, which only balances the
-    work): totals run within a range, and the totals of the lower ranges, a
-    small table, are added. Each task sees about 1/``ranges`` of the rows.
+    The first is the group's total over smaller ``order`` values, the second
+    over all of them. ``tallies`` holds one row per group and ``order`` value.
+    A window over a whole group would put a large group in one task, so values
+    are cut into ranges first (boundaries estimated from ``sample``, which only
+    balances the work): totals run within a range, and the totals of the other
+    ranges, a small table, are added. A task sees about 1/``ranges`` of the rows.
     """
     bucketizer = Bucketizer(
         splits=_value_ranges(sample, order, ranges),
@@ -47,26 +48,30 @@ def running_totals(
         outputCol="_range",
         handleInvalid="keep",
     )
-    placed = bucketizer.transform(tallies)
-    keys = [*groups, "_range"]
+    # A struct is never null itself, so groups with null keys match by plain
+    # equality and the join below reuses the partitioning of the window.
+    group = F.struct(*groups) if groups else F.lit(0)
+    placed = bucketizer.transform(tallies).withColumns(
+        {"_group": group, "_range": F.col("_range").cast("int")}
+    )
 
-    below = W.partitionBy(*groups).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    lower = (
-        placed.groupBy(*keys)
-        .agg(*(F.sum(m).alias(m) for m in measures))
-        .select(
-            *(F.col(k).alias(f"_lower_{k}") for k in keys),
-            *(F.coalesce(F.sum(m).over(below), F.lit(0)).alias(f"_lower_{m}") for m in measures),
-        )
+    below = W.partitionBy("_group").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    everywhere = W.partitionBy("_group")
+    per_range = placed.groupBy("_group", "_range").agg(*(F.sum(m).alias(m) for m in measures))
+    others = per_range.select(
+        "_group",
+        "_range",
+        *(F.coalesce(F.sum(m).over(below), F.lit(0)).alias(f"_lower_{m}") for m in measures),
+        *(F.sum(m).over(everywhere).alias(f"{m}_total") for m in measures),
+    )
+    before = (
+        W.partitionBy("_group", "_range").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
     )
-    before = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
     within = placed.withColumns(
         {f"_within_{m}": F.coalesce(F.sum(m).over(before), F.lit(0)) for m in measures}
     )
-    return within.join(lower, same_keys(keys, [f"_lower_{k}" for k in keys])).select(
+    return within.join(others, ["_group", "_range"]).select(
         *tallies.columns,
-        *(
-            (F.col(f"_within_{m}") + F.col(f"_lower_{m}")).alias(f"{m}_before")
-            for m in measures
-        ),
+        *((F.col(f"_within_{m}") + F.col(f"_lower_{m}")).alias(f"{m}_before") for m in measures),
+        *(f"{m}_total" for m in measures),
     )

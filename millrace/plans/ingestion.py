@@ -69,16 +69,20 @@ class Ingestion:
         if found:
             rows = csv_files.read_csv_by_name(self.spark, found, schemas.CUSTOMER)
             rows = rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
+            new_version = 0 if version is None else version + 1
+            if merge or self.quarantine:
+                # Parse the text once; the steps below read columns.
+                rows = self.table.stage(rows, batch_id)
+                kept = self._checked(rows, batch_id)
+                if merge:
+                    kept = self._merge(kept, version, keys_unique)
+                    keys_unique = True
+                self.table.write_version(kept, new_version)
+            else:
+                self.table.write_version(rows, new_version)
+                rows = self.table.read(new_version)
             log = log.unionByName(self._accepted_log(rows, found))
-            if self.quarantine:
-                checked = check_records(rows)
-                write_batch(quarantined(checked), self.quarantine, batch_id)
-                rows = accepted(checked)
-            if merge:
-                rows = self._merge(rows, version, keys_unique)
-                keys_unique = True
-            version = 0 if version is None else version + 1
-            self.table.write_version(rows, version)
+            version = new_version
         now = datetime.now(timezone.utc).replace(tzinfo=None)
         self.table.commit(
             log.withColumns(
@@ -91,6 +95,13 @@ class Ingestion:
             )
         )
 
+    def _checked(self, rows: DataFrame, batch_id: int) -> DataFrame:
+        if not self.quarantine:
+            return rows
+        checked = check_records(rows)
+        write_batch(quarantined(checked), self.quarantine, batch_id)
+        return accepted(checked)
+
     def _merge(self, rows: DataFrame, version: int | None, keys_unique: bool) -> DataFrame:
         key = self.settings.id_column
         if version is None:

@@ -60,11 +60,11 @@ def adjusted_readings(telemetry: DataFrame, rounds: int = 60) -> DataFrame:
 
 
 def adjusted_readings_iterated(
-    telemetry: DataFrame, rounds: int = 60, checkpoint_every: int | None = 10
+    telemetry: DataFrame, rounds: int = 60, cut_every: int | None = 10
 ) -> DataFrame:
-    """The same, one round at a time with a checkpoint every few rounds."""
+    """The same, one round at a time with a written copy every few rounds."""
 
     def step(df: DataFrame, i: int) -> DataFrame:
         return df.withColumn(f"temp_adj_{i}", adjusted_temperature(i))
 
-    return iterate(readings(telemetry), step, rounds, checkpoint_every)
+    return iterate(readings(telemetry), step, rounds, cut_every)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -103,31 +104,42 @@ def probability(column: str = "probability"):
     return vector_to_array(F.col(column))[1]
 
 
-def evaluate(models: dict[str, PipelineModel], rows: DataFrame, settings: Settings) -> DataFrame:
+def evaluate(models: dict[str, PipelineModel], rows: DataFrame, settings: Settings) -> list:
     """Accuracy, ROC AUC (4 decimals) and rows per (model, split).
 
-    All models' scores go through one grouped pass per metric.
+    Scoring is the costly part and the metrics need the scores several times,
+    so the narrow scored rows are persisted for all models together.
     """
     label = settings.target_column
-    scored = None
-    for name, model in models.items():
-        part = model.transform(rows).select(
-            F.lit(name).alias("model"),
-            "split",
-            label,
-            F.col("prediction").cast("int").alias("prediction"),
-            probability().alias("score"),
+    scored = reduce(
+        DataFrame.unionByName,
+        [
+            model.transform(rows).select(
+                F.lit(name).alias("model"),
+                "split",
+                label,
+                F.col("prediction").cast("int").alias("prediction"),
+                probability().alias("score"),
+            )
+            for name, model in models.items()
+        ],
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        keys = ["model", "split"]
+        hits = accuracy(scored, "prediction", label, keys)
+        areas = roc_auc(scored, "score", label, keys)
+        return (
+            hits.join(areas, keys)
+            .select(
+                *keys,
+                F.round("accuracy", 4).alias("accuracy"),
+                F.round("roc_auc", 4).alias("roc_auc"),
+                "n_samples",
+            )
+            .collect()
         )
-        scored = part if scored is None else scored.unionByName(part)
-    keys = ["model", "split"]
-    hits = accuracy(scored, "prediction", label, keys)
-    areas = roc_auc(scored, "score", label, keys)
-    return hits.join(areas, keys).select(
-        *keys,
-        F.round("accuracy", 4).alias("accuracy"),
-        F.round("roc_auc", 4).alias("roc_auc"),
-        "n_samples",
-    )
+    finally:
+        scored.unpersist()
 
 
 def fit_and_evaluate(customers: DataFrame, settings: Settings = Settings()) -> Fitted:
@@ -143,7 +155,7 @@ def fit_and_evaluate(customers: DataFrame, settings: Settings = Settings()) -> F
         baseline = baseline_pipeline(sizes["train"], settings).fit(train)
         candidate = candidate_pipeline(settings).fit(train)
         models = {"baseline": baseline, "candidate": candidate}
-        report = evaluate(models, rows.where("split <> 'train'"), settings).collect()
+        report = evaluate(models, rows.where("split <> 'train'"), settings)
     finally:
         rows.unpersist()
     metrics = {

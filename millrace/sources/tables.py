@@ -21,7 +21,7 @@ COMMITS = T.StructType(
 )
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """The table at ``path``, or no rows while nothing has been written."""
     try:
         return spark.read.schema(schema).parquet(path)
@@ -81,6 +81,12 @@ class VersionedTable:
     def write_version(self, df: DataFrame, version: int) -> None:
         df.write.mode("overwrite").parquet(self.version_path(version))
 
+    def stage(self, df: DataFrame, batch_id: int) -> DataFrame:
+        """Write a batch beside the table once, to be read several times."""
+        path = f"{self.path}/staging/b{batch_id:08d}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def commit(self, log_rows: DataFrame) -> None:
         """Append the commit rows (one per file); this switches readers over."""
         log_rows.select(*COMMITS.names).coalesce(1).write.mode("append").parquet(
