@@ -15,10 +15,10 @@ from millrace.functions.columns import salt
 class Measure:
     """One aggregate: ``kind`` is sum, count, min, max or avg.
 
-    ``scale`` asks for an exact sum: values with at most that many decimals
-    (and below 10**(8-scale)) are added as decimals that fit one machine word,
-    so the result does not depend on partitioning, salting or task retries.
-    Without it sums are ordinary double sums.
+    ``scale`` asks for an exact sum of values with at most that many decimals:
+    they are added as whole numbers of the last decimal place, so the result
+    does not depend on partitioning, salting or task retries. Without it sums
+    are ordinary double sums.
     """
 
     kind: str
@@ -27,24 +27,22 @@ class Measure:
 
     def addend(self) -> Column:
         value = F.col(self.column)
-        return value if self.scale is None else value.cast(f"decimal(8,{self.scale})")
+        return value if self.scale is None else F.rint(value * 10.0**self.scale).cast("long")
 
+    def total(self, added: Column) -> Column:
+        return added if self.scale is None else added / F.lit(10.0**self.scale)
 
-def _as_double(measure: Measure, total: Column) -> Column:
-    return total if measure.scale is None else total.cast("double")
+    def mean(self, added: Column, n: Column) -> Column:
+        return self.total(added) / F.nullif(n, F.lit(0))
 
 
-def _plain(name: str, measure: Measure) -> Column:
+def one_phase(name: str, measure: Measure) -> Column:
     if measure.kind == "count":
         result = F.count(measure.column)
     elif measure.kind == "sum":
-        result = _as_double(measure, F.sum(measure.addend()))
-    elif measure.kind == "avg" and measure.scale is None:
-        result = F.avg(measure.column)
+        result = measure.total(F.sum(measure.addend()))
     elif measure.kind == "avg":
-        result = F.sum(measure.addend()).cast("double") / F.nullif(
-            F.count(measure.column), F.lit(0)
-        )
+        result = measure.mean(F.sum(measure.addend()), F.count(measure.column))
     elif measure.kind in ("min", "max"):
         result = getattr(F, measure.kind)(measure.column)
     else:
@@ -54,7 +52,7 @@ def _plain(name: str, measure: Measure) -> Column:
 
 def keyed_agg(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Measure]) -> DataFrame:
     """One-phase aggregation; Spark already sums within each map task."""
-    return df.groupBy(*keys).agg(*(_plain(name, m) for name, m in measures.items()))
+    return df.groupBy(*keys).agg(*(one_phase(name, m) for name, m in measures.items()))
 
 
 def salted_agg(
@@ -79,13 +77,11 @@ def salted_agg(
             merged.append(F.sum(part).alias(name))
         elif m.kind == "sum":
             first.append(F.sum(m.addend()).alias(part))
-            merged.append(_as_double(m, F.sum(part)).alias(name))
+            merged.append(m.total(F.sum(part)).alias(name))
         elif m.kind == "avg":
             first.append(F.sum(m.addend()).alias(part))
             first.append(F.count(m.column).alias(f"{part}_n"))
-            merged.append(
-                (F.sum(part).cast("double") / F.nullif(F.sum(f"{part}_n"), F.lit(0))).alias(name)
-            )
+            merged.append(m.mean(F.sum(part), F.sum(f"{part}_n")).alias(name))
         elif m.kind in ("min", "max"):
             combine = getattr(F, m.kind)
             first.append(combine(m.column).alias(part))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import flag
-from millrace.operators.aggregates import Measure, _plain
+from millrace.operators.aggregates import Measure, one_phase
 from millrace.operators.running import running_totals, same_keys
 
 
@@ -25,29 +25,24 @@ def accuracy(
 
 
 def roc_auc(df: DataFrame, score: str, label: str, groups: Sequence[str] = ()) -> DataFrame:
-    """Area under the ROC curve per group, ties counted half; exact.
+    """Area under the ROC curve per group, ties counted half.
 
     Rows collapse to (group, score, positives, negatives); the area is the
-    number of (positive, negative) pairs in the right order, summed as whole
-    half-pairs. A group with one class only gets null. Rows lacking score or
-    label have no part in it.
+    share of (positive, negative) pairs in the right order. Nothing is sampled
+    or binned: pairs are counted in doubles, exact up to 2**53 half-pairs and
+    rounded in the last digits beyond. A group with one class only gets null.
+    Rows lacking score or label have no part in it.
     """
     scored = df.select(
         *groups,
         F.nanvl(F.col(score).cast("double"), F.lit(None)).alias("_score"),
         (F.col(label) == 1).cast("int").alias("_positive"),
     ).where("_score is not null and _positive is not null")
-    tallies = scored.groupBy(*groups, "_score").agg(
-        F.sum("_positive").alias("pos"), F.sum(1 - F.col("_positive")).alias("neg")
-    )
-    # Both counts run along, so that both sides of the join inside read the same
-    # columns and Spark computes the tallies once.
-    run = running_totals(tallies, groups, "_score", ["neg", "pos"], sample=scored)
-    half_pairs = F.col("pos").cast("decimal(19,0)") * (
-        2 * F.col("neg_before") + F.col("neg")
-    ).cast("decimal(19,0)")
+    positive = F.col("_positive")
+    run = running_totals(scored, groups, "_score", {"pos": positive, "neg": 1 - positive})
+    half_pairs = F.col("pos").cast("double") * (2 * F.col("neg_before") + F.col("neg"))
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
-    area = F.sum(half_pairs).cast("double") / F.nullif(2 * pairs, F.lit(0.0))
+    area = F.sum(half_pairs) / F.nullif(2 * pairs, F.lit(0.0))
     return _per_group(
         run,
         groups,
@@ -87,7 +82,7 @@ def latency_summary(
         groups,
         F.count("*").alias("n_requests"),
         F.sum("_failed").alias("n_errors"),
-        _plain("mean_ms", Measure("avg", "_ok_ms", scale)),
+        one_phase("mean_ms", Measure("avg", "_ok_ms", scale)),
         F.max("_ok_ms").alias("max_ms"),
         ((F.max("_end") - F.min("_start")) / 1e6).alias("wall_seconds"),
     ).withColumn(
@@ -95,8 +90,7 @@ def latency_summary(
     )
 
     timed = ok.select(*groups, F.col(duration_ms).alias("_ms")).where("_ms is not null")
-    tallies = timed.groupBy(*groups, "_ms").agg(F.count("*").alias("n"))
-    run = running_totals(tallies, groups, "_ms", ["n"], sample=timed)
+    run = running_totals(timed, groups, "_ms", {"n": F.lit(1)})
 
     # A value covers the sorted places [n_before, n_before + n) of n_total.
     total = F.col("n_total")

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import scratch_path
+from millrace.session import shared_dir
 
 
 def hash_layout(df: DataFrame, n: int, *keys: str) -> DataFrame:
@@ -36,15 +36,13 @@ def overwrite_parquet(df: DataFrame, path: str) -> None:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the table to the shared folder and go on from the written copy.
+    """Write the rows to the shared checkpoint folder and go on from there.
 
-    Unlike an eager ``checkpoint()`` this computes the rows once, compresses
-    them and lets later steps read only the columns they use. The copy survives
-    the loss of any executor.
+    The copy survives the loss of any executor. A shuffle below the cut runs
+    once: the write reuses its files.
     """
-    path = scratch_path(df.sparkSession, "cut")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def iterate(

@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,26 +76,53 @@ def _any(conditions: Sequence[Column]) -> Column:
     return out
 
 
-def _locate(df: DataFrame, key: str, group: Column, wanted: list[tuple]) -> dict:
+@dataclass(frozen=True)
+class Limits:
+    """Rows of a group and the span of their keys."""
+
+    n: int
+    low: object
+    high: object
+    longest: int
+
+
+def key_limits(df: DataFrame, key: str, group: Column) -> dict:
+    """Limits per group value, in one pass."""
+    is_text = isinstance(df.schema[key].dataType, T.StringType)
+    found = (
+        df.groupBy(group.alias("_group"))
+        .agg(
+            F.count("*").alias("n"),
+            F.count(key).alias("keyed"),
+            F.min(key).alias("low"),
+            F.max(key).alias("high"),
+            F.max(F.length(key)).alias("longest") if is_text else F.lit(0).alias("longest"),
+        )
+        .collect()
+    )
+    if any(row.n != row.keyed for row in found):
+        raise ValueError(f"rows without {key} have no place in the order")
+    return {row["_group"]: Limits(row.n, row.low, row.high, row.longest) for row in found}
+
+
+def _locate(
+    df: DataFrame, key: str, group: Column, wanted: list[tuple], limits: dict
+) -> dict:
     """For each (group value, rank): key value there, rank among its equals, equals."""
     is_text = isinstance(df.schema[key].dataType, T.StringType)
-    rows = df.select(group.alias("_group"), key)
     groups = {g for g, _ in wanted}
+    rows = df.select(group.alias("_group"), key)
     rows = rows.where(_any([F.col("_group").eqNullSafe(F.lit(g)) for g in groups]))
-    limits = rows.agg(
-        F.min(key).alias("low"),
-        F.max(key).alias("high"),
-        F.max(F.length(key)).alias("longest") if is_text else F.lit(0).alias("longest"),
-        F.count("*").alias("n"),
-        F.count(key).alias("keyed"),
-    ).first()
-    if limits.n != limits.keyed:
-        raise ValueError(f"rows without {key} have no place in the order")
-    ranges = (_Texts if is_text else _Integers)(limits.low, limits.high, limits.longest)
-    level = ranges.exact if limits.n <= _FEW else ranges.first
+    ranges = (_Texts if is_text else _Integers)(
+        min(limits[g].low for g in groups),
+        max(limits[g].high for g in groups),
+        max(limits[g].longest for g in groups),
+    )
+    few = max(limits[g].n for g in groups) <= _FEW
+    level = ranges.exact if few else ranges.first
     coarser = None
     # per target: chosen range, rank still to go inside it, rows inside it
-    state = {target: (None, target[1], limits.n) for target in wanted}
+    state = {target: (None, target[1], limits[target[0]].n) for target in wanted}
     while True:
         scope = rows
         if coarser is not None:
@@ -128,7 +156,11 @@ def _locate(df: DataFrame, key: str, group: Column, wanted: list[tuple]) -> dict
 
 
 def rank_cuts(
-    df: DataFrame, keys: Sequence[str], wanted: list[tuple], group: Column | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    wanted: list[tuple],
+    group: Column,
+    limits: dict | None = None,
 ) -> dict:
     """The key values of the rows at the wanted (group value, rank) places.
 
@@ -136,16 +168,17 @@ def rank_cuts(
     looked at only among rows equal in the earlier ones. The result gives, per
     wanted pair, the leading key values that decide the cut.
     """
-    group = F.lit(0) if group is None else group
+    limits = limits or key_limits(df, keys[0], group)
     cuts = {}
-    for (g, rank), (value, place, equals) in _locate(df, keys[0], group, wanted).items():
+    located = _locate(df, keys[0], group, wanted, limits)
+    for (g, rank), (value, place, equals) in located.items():
         if place == equals:
             cuts[g, rank] = (value,)
         elif len(keys) == 1:
             raise TiedRank(f"{equals} rows share {keys[0]} = {value}")
         else:
             among = df.where(group.eqNullSafe(F.lit(g)) & (F.col(keys[0]) == F.lit(value)))
-            rest = rank_cuts(among, keys[1:], [(0, place)])
+            rest = rank_cuts(among, keys[1:], [(0, place)], F.lit(0))
             cuts[g, rank] = (value, *rest[0, place])
     return cuts
 
@@ -158,25 +191,28 @@ def _up_to(keys: Sequence[str], values: tuple) -> Column:
     return inside
 
 
-def _cuts_or_numbered(df: DataFrame, keys: list[str], wanted: list[tuple], group: Column | None):
+def _cuts_or_numbered(
+    df: DataFrame, keys: list[str], wanted: list[tuple], group: Column, limits: dict
+):
     """Cuts by the keys; if they tie, number the rows of a written copy as well."""
     wanted = sorted({w for w in wanted if w[1] > 0}, key=repr)
     if not wanted:
         return df, keys, {}
     try:
-        return df, keys, rank_cuts(df, keys, wanted, group)
+        return df, keys, rank_cuts(df, keys, wanted, group, limits)
     except TiedRank:
         # The numbers are written with the rows, so they hold from here on.
         df = cut_lineage(df.withColumn("_number", F.monotonically_increasing_id()))
         keys = [*keys, "_number"]
-        return df, keys, rank_cuts(df, keys, wanted, group)
+        return df, keys, rank_cuts(df, keys, wanted, group, limits)
 
 
 def positional_split(df: DataFrame, order: Sequence[str], fraction: float) -> DataFrame:
     """Add ``part``: "initial" for the first ``int(n * fraction)`` rows, else "incoming"."""
-    first = int(df.count() * fraction)
     columns = df.columns
-    df, keys, cuts = _cuts_or_numbered(df, list(order), [(0, first)], None)
+    limits = key_limits(df, order[0], F.lit(0))
+    first = int(limits[0].n * fraction) if limits else 0
+    df, keys, cuts = _cuts_or_numbered(df, list(order), [(0, first)], F.lit(0), limits)
     inside = _up_to(keys, cuts[0, first]) if first else F.lit(False)
     part = F.when(inside, "initial").otherwise("incoming")
     return df.select(*columns, part.alias("part"))
@@ -224,14 +260,16 @@ def stratified_split(
     the same however the table is partitioned or recomputed.
     """
     columns = df.columns
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
-    if None in counts:
-        raise ValueError(f"rows without {label} cannot be stratified")
-    sizes = split_sizes(counts, test_size, val_size)
     hashed = F.xxhash64(F.lit(seed), F.col(key)) if order is None else order
     ordered = df.withColumns({"_order": hashed, "_tie": F.xxhash64(F.lit(seed + 1), F.col(key))})
+    limits = key_limits(ordered, "_order", F.col(label))
+    if None in limits:
+        raise ValueError(f"rows without {label} cannot be stratified")
+    sizes = split_sizes({c: found.n for c, found in limits.items()}, test_size, val_size)
     wanted = [(c, k) for c, (test, val, _) in sizes.items() for k in (test, test + val)]
-    ordered, keys, cuts = _cuts_or_numbered(ordered, ["_order", "_tie"], wanted, F.col(label))
+    ordered, keys, cuts = _cuts_or_numbered(
+        ordered, ["_order", "_tie"], wanted, F.col(label), limits
+    )
     split = F.lit("train")
     for c, (test, val, _) in sizes.items():
         of_class = F.col(label) == F.lit(c)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -26,52 +26,65 @@ def same_keys(left: Sequence[str], right: Sequence[str]) -> Column:
 
 
 def running_totals(
-    tallies: DataFrame,
+    rows: DataFrame,
     groups: Sequence[str],
     order: str,
-    measures: Sequence[str],
-    sample: DataFrame,
+    measures: Mapping[str, Column],
     ranges: int = 200,
 ) -> DataFrame:
-    """Add ``<measure>_before`` and ``<measure>_total`` per group.
+    """Tally rows per group and ``order`` value, with running and full totals.
+
+    ``measures`` names whole-number expressions over a row. The result has one
+    row per group and value with each measure's sum ``m``, the group's sum over
+    smaller values ``m_before`` and over all values ``m_total``.
 
-    The first is the group's total over smaller ``order`` values, the second
-    over all of them. ``tallies`` holds one row per group and ``order`` value.
     A window over a whole group would put a large group in one task, so values
-    are cut into ranges first (boundaries estimated from ``sample``, which only
-    balances the work): totals run within a range, and the totals of the other
-    ranges, a small table, are added. A task sees about 1/``ranges`` of the rows.
+    are cut into ranges first (estimated boundaries, which only balance the
+    work): totals run within a range, and the totals of the lower ranges are
+    added. Those are a small table, summed from the rows themselves with
+    map-side partials. A task sees about 1/``ranges`` of the distinct values,
+    however the rows are spread over groups and values.
     """
     bucketizer = Bucketizer(
-        splits=_value_ranges(sample, order, ranges),
+        splits=_value_ranges(rows, order, ranges),
         inputCol=order,
         outputCol="_range",
         handleInvalid="keep",
     )
-    # A struct is never null itself, so groups with null keys match by plain
-    # equality and the join below reuses the partitioning of the window.
-    group = F.struct(*groups) if groups else F.lit(0)
-    placed = bucketizer.transform(tallies).withColumns(
-        {"_group": group, "_range": F.col("_range").cast("int")}
-    )
+    # Keys without nulls: plain equality then matches null groups too, and the
+    # join below reuses the partitioning of the window.
+    filled = {}
+    for i, name in enumerate(groups):
+        filled[f"_key{i}"] = F.coalesce(F.col(name).cast("string"), F.lit(""))
+        filled[f"_null{i}"] = F.col(name).isNull()
+    keys = ["_range", *filled]
 
-    below = W.partitionBy("_group").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    everywhere = W.partitionBy("_group")
-    per_range = placed.groupBy("_group", "_range").agg(*(F.sum(m).alias(m) for m in measures))
-    others = per_range.select(
-        "_group",
-        "_range",
-        *(F.coalesce(F.sum(m).over(below), F.lit(0)).alias(f"_lower_{m}") for m in measures),
-        *(F.sum(m).over(everywhere).alias(f"{m}_total") for m in measures),
-    )
-    before = (
-        W.partitionBy("_group", "_range").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    def placed(df: DataFrame) -> DataFrame:
+        return bucketizer.transform(df).withColumns(
+            {**filled, "_range": F.coalesce(F.col("_range").cast("int"), F.lit(-1))}
+        )
+
+    sums = [F.sum(value).alias(name) for name, value in measures.items()]
+    below = W.partitionBy(*filled).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    everywhere = W.partitionBy(*filled)
+    per_range = (
+        placed(rows)
+        .groupBy(*keys)
+        .agg(*sums)
+        .select(
+            *keys,
+            *(F.coalesce(F.sum(m).over(below), F.lit(0)).alias(f"_lower_{m}") for m in measures),
+            *(F.sum(m).over(everywhere).alias(f"{m}_total") for m in measures),
+        )
     )
-    within = placed.withColumns(
+    before = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    within = placed(rows.groupBy(*groups, order).agg(*sums)).withColumns(
         {f"_within_{m}": F.coalesce(F.sum(m).over(before), F.lit(0)) for m in measures}
     )
-    return within.join(others, ["_group", "_range"]).select(
-        *tallies.columns,
+    return within.join(per_range, keys).select(
+        *groups,
+        order,
+        *measures,
         *((F.col(f"_within_{m}") + F.col(f"_lower_{m}")).alias(f"{m}_before") for m in measures),
         *(f"{m}_total" for m in measures),
     )

@@ -12,7 +12,7 @@ from millrace.operators.merge import keep_last, merge_latest
 from millrace.operators.validation import accepted, check_records, quarantined
 from millrace.settings import Settings
 from millrace.sources import files as csv_files
-from millrace.sources.tables import VersionedTable, write_batch
+from millrace.sources.tables import TableState, VersionedTable, write_batch
 
 # The order of rows in the table: by batch, then by place in its files.
 INGEST_ORDER = ["batch_id", *csv_files.POSITION]
@@ -51,20 +51,26 @@ class Ingestion:
         _, rejected = csv_files.split_by_header(found, required_columns(self.settings))
         if rejected:
             raise ValueError(f"missing required columns: {rejected}")
-        self._ingest(found, {}, batch_id=0, merge=False)
+        self._ingest(found, {}, 0, self.table.state(), merge=False)
 
     def run_batch(self, paths: list[str], batch_id: int) -> None:
         """Ingest one batch; ``batch_id`` counts up from 1 (0 is the seed)."""
-        if not paths or batch_id <= self.table.state()[2]:
+        state = self.table.state()
+        if not paths or batch_id <= state.batch_id:
             return
         found = csv_files.open_headers(self.spark, paths)
         good, rejected = csv_files.split_by_header(found, required_columns(self.settings))
-        self._ingest(good, rejected, batch_id, merge=True)
+        self._ingest(good, rejected, batch_id, state, merge=True)
 
     def _ingest(
-        self, found: list[csv_files.CsvFile], rejected: dict, batch_id: int, merge: bool
+        self,
+        found: list[csv_files.CsvFile],
+        rejected: dict,
+        batch_id: int,
+        state: TableState,
+        merge: bool,
     ) -> None:
-        version, keys_unique, _ = self.table.state()
+        version, keys_unique = state.version, state.keys_unique
         log = self._log([(path, None, "rejected", gap) for path, gap in sorted(rejected.items())])
         if found:
             rows = csv_files.read_csv_by_name(self.spark, found, schemas.CUSTOMER)

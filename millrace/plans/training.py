@@ -39,6 +39,12 @@ def split_matrix(customers: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Use every core: shuffle by key when the input has fewer partitions than cores."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def _assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=schemas.MODEL_FEATURES, outputCol="raw_features")
 
@@ -68,7 +74,6 @@ def baseline_pipeline(n_train: int, settings: Settings) -> Pipeline:
                 regParam=1.0 / n_train,
                 elasticNetParam=0.0,
                 standardization=False,
-                tol=1e-8,
             ),
         ]
     )
@@ -148,7 +153,9 @@ def fit_and_evaluate(customers: DataFrame, settings: Settings = Settings()) -> F
     The matrix is persisted once for the many passes of both fits; a lost
     block is recomputed, and row membership does not change when it is.
     """
-    rows = split_matrix(customers, settings).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = spread(split_matrix(customers, settings), settings.id_column).persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
     try:
         sizes = {r["split"]: r["count"] for r in rows.groupBy("split").count().collect()}
         train = rows.where("split = 'train'")

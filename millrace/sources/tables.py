@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +44,14 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
+class TableState(NamedTuple):
+    """Current version (None before the first), unique keys or not, last batch (or -1)."""
+
+    version: int | None
+    keys_unique: bool
+    batch_id: int
+
+
 class VersionedTable:
     """A table replaced as a whole: each version is a folder, readers see one.
 
@@ -59,21 +69,22 @@ class VersionedTable:
     def commits(self) -> DataFrame:
         return read_or_empty(self.spark, f"{self.path}/commits", COMMITS)
 
-    def state(self) -> tuple[int | None, bool, int]:
-        """Current version, whether its keys are known unique, last batch number."""
+    def state(self) -> TableState:
         row = self.commits().agg(
             F.max("version").alias("version"),
             F.max_by("keys_unique", "version").alias("keys_unique"),
             F.max("batch_id").alias("batch_id"),
         ).first()
-        return row.version, bool(row.keys_unique), -1 if row.batch_id is None else row.batch_id
+        return TableState(
+            row.version, bool(row.keys_unique), -1 if row.batch_id is None else row.batch_id
+        )
 
     def version_path(self, version: int) -> str:
         return f"{self.path}/data/v{version:08d}"
 
     def read(self, version: int | None = None) -> DataFrame:
         if version is None:
-            version = self.state()[0]
+            version = self.state().version
         if version is None:
             raise ValueError(f"nothing committed yet in {self.path}")
         return self.spark.read.parquet(self.version_path(version))

@@ -65,7 +65,7 @@ def test_accuracy(spark):
 def test_running_totals_cross_ranges(spark):
     rows = [("hot", float(i), i % 3) for i in range(300)] + [("b", 5.0, 2)]
     df = spark.createDataFrame(rows, "g string, v double, n int")
-    got = running_totals(df, ["g"], "v", ["n"], sample=df, ranges=7).collect()
+    got = running_totals(df, ["g"], "v", {"n": F.col("n")}, ranges=7).collect()
     assert len(got) == 301
     for row in got:
         same = [(v, n) for g, v, n in rows if g == row.g]

@@ -66,6 +66,9 @@ def test_incremental_merge_does_not_shuffle_the_base(spark, tmp_path):
     merged.collect()
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    # Too many keys to broadcast: the same rows by a shuffle.
+    large = merge_latest(base, batch, "id", ["b", "n"], True, broadcast_bytes=10)
+    assert rows_of(large) == rows_of(merged)
 
 
 def write_records(path, records, rename=None, order=None, extra=None):
