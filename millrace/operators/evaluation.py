@@ -99,14 +99,20 @@ def latency_summary(
         covers = (F.col("n_before") <= place) & (place < F.col("n_before") + F.col("n"))
         return F.max(F.when(covers, F.col("_ms")))
 
-    of_groups = [f"_of_{g}" for g in groups]
     quantiles = _per_group(
         run,
         groups,
         ((at(F.floor((total - 1) / 2)) + at(F.floor(total / 2))) / 2).alias("p50_ms"),
         at(F.least(F.floor(total * 0.95), total - 1)).alias("p95_ms"),
-    ).withColumnsRenamed({g: f"_of_{g}" for g in groups})
-    return summary.join(quantiles, same_keys(groups, of_groups), "left").select(
+    )
+    if groups:
+        of_groups = [f"_of_{g}" for g in groups]
+        quantiles = quantiles.withColumnsRenamed(dict(zip(groups, of_groups)))
+        summary = summary.join(quantiles, same_keys(groups, of_groups), "left")
+    else:
+        both = quantiles.select(F.struct("p50_ms", "p95_ms")).scalar()
+        summary = summary.withColumns({c: both.getField(c) for c in ("p50_ms", "p95_ms")})
+    return summary.select(
         *groups,
         "n_requests",
         "n_errors",

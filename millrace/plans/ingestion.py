@@ -78,15 +78,14 @@ class Ingestion:
             new_version = 0 if version is None else version + 1
             if merge or self.quarantine:
                 # Parse the text once; the steps below read columns.
-                rows = self.table.stage(rows, batch_id)
+                rows = self.table.stage(rows)
                 kept = self._checked(rows, batch_id)
                 if merge:
                     kept = self._merge(kept, version, keys_unique)
                     keys_unique = True
                 self.table.write_version(kept, new_version)
             else:
-                self.table.write_version(rows, new_version)
-                rows = self.table.read(new_version)
+                rows = self.table.write_version(rows, new_version)
             log = log.unionByName(self._accepted_log(rows, found))
             version = new_version
         now = datetime.now(timezone.utc).replace(tzinfo=None)

@@ -60,11 +60,17 @@ class VersionedTable:
     one small file, moved into place in a single rename, holding the ingestion
     log of the batch as well. A crash before that leaves the old version
     current; the batch is then simply done again. There is one writer.
+
+    The last ``keep`` versions stay readable; their folders are reused in turn,
+    so storage stays bounded.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, keep: int = 3):
+        if keep < 2:
+            raise ValueError("the current and the next version need a folder each")
         self.spark = spark
         self.path = path.rstrip("/")
+        self.keep = keep
 
     def commits(self) -> DataFrame:
         return read_or_empty(self.spark, f"{self.path}/commits", COMMITS)
@@ -79,22 +85,26 @@ class VersionedTable:
             row.version, bool(row.keys_unique), -1 if row.batch_id is None else row.batch_id
         )
 
-    def version_path(self, version: int) -> str:
-        return f"{self.path}/data/v{version:08d}"
+    def _folder(self, version: int) -> str:
+        return f"{self.path}/data/slot{version % self.keep}"
 
     def read(self, version: int | None = None) -> DataFrame:
-        if version is None:
-            version = self.state().version
-        if version is None:
+        current = self.state().version
+        if current is None:
             raise ValueError(f"nothing committed yet in {self.path}")
-        return self.spark.read.parquet(self.version_path(version))
+        version = current if version is None else version
+        if not current - self.keep < version <= current:
+            raise ValueError(f"version {version} is not kept; the current one is {current}")
+        return self.spark.read.parquet(self._folder(version))
 
-    def write_version(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(self.version_path(version))
+    def write_version(self, df: DataFrame, version: int) -> DataFrame:
+        """Write a version that is not current yet; the result reads it back."""
+        df.write.mode("overwrite").parquet(self._folder(version))
+        return self.spark.read.parquet(self._folder(version))
 
-    def stage(self, df: DataFrame, batch_id: int) -> DataFrame:
+    def stage(self, df: DataFrame) -> DataFrame:
         """Write a batch beside the table once, to be read several times."""
-        path = f"{self.path}/staging/b{batch_id:08d}"
+        path = f"{self.path}/staging"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

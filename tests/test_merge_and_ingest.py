@@ -188,6 +188,28 @@ def test_reading_before_the_first_commit(spark, tmp_path):
     assert read_or_empty(spark, str(tmp_path / "none"), "a int").count() == 0
 
 
+def test_old_versions_stay_readable_for_a_while(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), keep=2)
+    for version in range(3):
+        table.write_version(spark.createDataFrame([(version,)], "v int"), version)
+        table.commit(
+            spark.range(1).selectExpr(
+                f"{version}L AS version",
+                f"{version}L AS batch_id",
+                "current_timestamp() AS ingested_at",
+                "'f' AS source_file",
+                "1L AS n_rows",
+                "'ingested' AS status",
+                "CAST(NULL AS array<string>) AS missing_columns",
+                "true AS keys_unique",
+            )
+        )
+    assert [table.read().first().v, table.read(1).first().v] == [2, 1]
+    for gone in (0, 3):
+        with pytest.raises(ValueError, match="not kept"):
+            table.read(gone)
+
+
 def test_latest_and_repeated_batches(spark, tmp_path):
     path = str(tmp_path / "reports")
     for batch, value in ((0, 1), (1, 2), (1, 3)):
