@@ -388,6 +388,22 @@ REGISTRY = """
 registry AS (SELECT o_orderkey AS sequence, 'v' || o_orderkey AS model_version,
   o_orderpriority AS segment, o_orderstatus = 'F' AS promoted, o_totalprice FROM orders)"""
 
+LATENCY_ALL = """WITH requests AS (SELECT ts, value,
+    event_type = 'error' OR value > 200 AS failed FROM events),
+good AS (SELECT list_sort(list(value)) AS v, count(*) AS n FROM requests WHERE NOT failed)
+SELECT count(*) AS n_requests, count(*) FILTER (failed) AS n_errors,
+  CAST(max(epoch_us(ts) + CAST(round(value * 1000) AS BIGINT)) - min(epoch_us(ts)) AS DOUBLE)
+    / CAST(1000000 AS DOUBLE) AS wall_seconds,
+  count(*) / (CAST(max(epoch_us(ts) + CAST(round(value * 1000) AS BIGINT)) - min(epoch_us(ts))
+    AS DOUBLE) / CAST(1000000 AS DOUBLE)) AS requests_per_second,
+  CAST(sum(CAST(value AS DECIMAL(18,2))) FILTER (NOT failed) AS DOUBLE)
+    / count(*) FILTER (NOT failed) AS mean_ms,
+  (SELECT (v[(n - 1) // 2 + 1] + v[n // 2 + 1]) / 2 FROM good) AS p50_ms,
+  (SELECT v[least(CAST(floor(n * CAST('0.95' AS DOUBLE)) AS BIGINT), n - 1) + 1] FROM good)
+    AS p95_ms,
+  max(value) FILTER (NOT failed) AS max_ms
+FROM requests"""
+
 LATENCY = """WITH requests AS (SELECT event_type, ts, value,
     event_type = 'error' OR value > 200 AS failed FROM events),
 sorted AS (SELECT event_type, value,
@@ -410,6 +426,13 @@ SELECT o.event_type, n_requests, n_errors, wall_seconds,
    n_requests / wall_seconds AS requests_per_second, mean_ms, p50_ms, p95_ms, max_ms
 FROM overall o LEFT JOIN quantiles q ON o.event_type = q.event_type"""
 
+FORMULA_SCORES = f"""WITH {CUSTOMERS}, {FAULTY}, {FAILED}
+SELECT customer_id, CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS churn_prediction,
+  round(p, 4) AS churn_probability, 'v1' AS model_version, 'formula' AS model_type
+FROM (SELECT f.customer_id, monthly_charges / (monthly_charges + tenure_months) AS p
+  FROM faulty f JOIN checked c ON f.customer_id = c.customer_id
+  WHERE c.failed_fields = '') valid"""
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -515,6 +538,20 @@ SELECT CAST(count(*) FILTER (predicted = quality) AS DOUBLE) / count(*) AS accur
 SELECT source, CAST(count(*) FILTER (predicted = quality) AS DOUBLE) / count(*) AS accuracy,
   count(*) AS n_samples FROM scored GROUP BY source""",
     "latency_summary": LATENCY,
+    "latency_summary_overall": LATENCY_ALL,
+    "header_check": f"""WITH {CUSTOMERS},
+good AS (SELECT count(*) AS n_rows, count(contract_type) AS n_contracts FROM customers)
+SELECT 'expected' AS export, 'ingested' AS status, '' AS missing_columns, * FROM good
+UNION ALL SELECT 'rearranged', 'ingested', '', * FROM good
+UNION ALL SELECT 'misnamed', 'rejected', 'churn,contract_type', 0, 0""",
+    "scaled_features": f"""WITH {CUSTOMERS}, {FILLED},
+matrix AS (SELECT {COLUMNS}, {DERIVED} FROM filled)
+SELECT customer_id, {", ".join(
+    f"round(coalesce(({c} - avg({c}) OVER ()) / nullif(stddev_pop({c}) OVER (), 0), 0), 6) + 0 AS {c}"
+    for c in [name.strip() for name in MODEL_COLUMNS.split(",")]
+)} FROM matrix""",
+    "formula_scores": FORMULA_SCORES,
+    "stream_formula_scores": FORMULA_SCORES,
     "promotion_decisions": PROMOTION,
     "retrain_decisions": RETRAIN,
     "registry_current": f"""WITH {REGISTRY} SELECT * FROM registry WHERE promoted

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.columns import flag
 from millrace.operators.aggregates import Measure, one_phase
@@ -52,6 +53,17 @@ def roc_auc(df: DataFrame, score: str, label: str, groups: Sequence[str] = ()) -
     )
 
 
+def _micros(df: DataFrame, name: str) -> Column:
+    """Microseconds since 1970, for timestamps with or without a time zone."""
+    if not isinstance(df.schema[name].dataType, T.TimestampNTZType):
+        return F.unix_micros(F.col(name))
+    # Read the clock fields: a cast would bring in the session's time zone.
+    days = F.datediff(F.col(name), F.lit("1970-01-01").cast("date")).cast("long")
+    seconds = days * 86_400 + F.hour(name) * 3_600 + F.minute(name) * 60
+    fraction = F.extract(F.lit("SECOND"), F.col(name)) * 1_000_000
+    return seconds * 1_000_000 + fraction.cast("long")
+
+
 def latency_summary(
     df: DataFrame,
     duration_ms: str,
@@ -68,7 +80,7 @@ def latency_summary(
     the last end. Where every request failed the latencies are null.
     """
     ok = df.where(~F.coalesce(F.col(failed), F.lit(False)))
-    start_us = F.unix_micros(F.col(started).cast("timestamp"))
+    start_us = _micros(df, started)
     end_us = start_us + F.round(F.col(duration_ms) * 1000).cast("long")
     base = df.select(
         *groups,

@@ -8,18 +8,29 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import schemas
+from millrace.functions.cleaning import clean_customers
 from millrace.functions.features import engineer_features, to_model_matrix
 from millrace.operators import aggregates, evaluation, layout, merge, promotion, quality, ranks
 from millrace.operators.validation import check_records
 from millrace.plans import monitoring, telemetry, training, views
-from millrace.plans.ingestion import INGEST_ORDER, Ingestion
+from millrace.plans.ingestion import Ingestion, required_columns
 from millrace.session import scratch_path
 from millrace.settings import Settings
-from millrace.sources.files import list_csv, read_raw_customers, read_telemetry_csv
+from millrace.sources.files import (
+    list_csv,
+    open_headers,
+    read_csv_by_name,
+    read_raw_customers,
+    read_telemetry_csv,
+    split_by_header,
+)
 from millrace.sources.tables import VersionedTable
 from millrace.streaming.ingest import start_ingestion
 from millrace.streaming.monitoring import start_monitoring
@@ -121,8 +132,6 @@ def customer_clean(spark, folder):
 
 @query
 def customer_clean_from_csv(spark, folder):
-    from millrace.functions.cleaning import clean_customers
-
     path = scratch_path(spark, "raw-customers-csv")
     raw = views.raw_customers(spark, folder).select(*schemas.RENAMES)
     raw.write.option("header", True).option("ignoreTrailingWhiteSpace", False).option(
@@ -309,6 +318,37 @@ def ingestion_log_counts(spark, folder):
     ).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"))
 
 
+@query
+def header_check(spark, folder):
+    """Three exports of all customers: as expected, rearranged with an extra, misnamed."""
+    customers = customer_clean(spark, folder)
+    columns = schemas.CUSTOMER_COLUMNS
+    root = scratch_path(spark, "headers")
+    exports = {
+        "expected": customers,
+        "rearranged": customers.select(*reversed(columns), F.lit("x").alias("note")),
+        "misnamed": customers.withColumnsRenamed({"contract_type": "contract", "churn": "left"}),
+    }
+    folders = [_write_csv(df, f"{root}/{name}") for name, df in exports.items()]
+    paths = [path for written in folders for path in list_csv(spark, written)]
+    found = open_headers(spark, paths)
+    accepted, rejected = split_by_header(found, required_columns(Settings()))
+    export = F.regexp_extract("source_file", "([a-z]+)/[^/]*$", 1).alias("export")
+    good = read_csv_by_name(spark, accepted, schemas.CUSTOMER).groupBy(export).agg(
+        F.lit("ingested").alias("status"),
+        F.lit("").alias("missing_columns"),
+        F.count("*").alias("n_rows"),
+        F.count("contract_type").alias("n_contracts"),
+    )
+    bad = spark.createDataFrame(
+        [(path, ",".join(missing)) for path, missing in rejected.items()],
+        "source_file string, missing_columns string",
+    ).groupBy(export, F.lit("rejected").alias("status"), "missing_columns").agg(
+        F.lit(0).cast("long").alias("n_rows"), F.lit(0).cast("long").alias("n_contracts")
+    )
+    return good.unionByName(bad)
+
+
 @query
 def table_round_trip(spark, folder):
     table = VersionedTable(spark, scratch_path(spark, "round-trip"))
@@ -422,15 +462,25 @@ def accuracy_by_source(spark, folder):
     )
 
 
-@query
-def latency_summary(spark, folder):
-    events = views.table(spark, folder, "events").select(
+def _requests(spark, folder):
+    """Events as requests; errors and everything above 200 ms failed."""
+    return views.table(spark, folder, "events").select(
         "event_type",
         "ts",
         "value",
         ((F.col("event_type") == "error") | (F.col("value") > 200)).alias("failed"),
     )
-    return evaluation.latency_summary(events, "value", "failed", "ts", ["event_type"], scale=2)
+
+
+@query
+def latency_summary(spark, folder):
+    requests = _requests(spark, folder)
+    return evaluation.latency_summary(requests, "value", "failed", "ts", ["event_type"], scale=2)
+
+
+@query
+def latency_summary_overall(spark, folder):
+    return evaluation.latency_summary(_requests(spark, folder), "value", "failed", "ts", scale=2)
 
 
 # --- promotion, registry, retraining ---------------------------------------
@@ -595,6 +645,54 @@ def stream_scores(spark, folder):
     return spark.read.parquet(f"{root}/scores")
 
 
+@query
+def scaled_features(spark, folder):
+    """The model matrix as the baseline sees it, fitted on all rows."""
+    matrix = customer_model_matrix(spark, folder)
+    stages = Pipeline(stages=training.scaling_stages(matrix.count()))
+    scaled = stages.fit(matrix).transform(matrix)
+    values = vector_to_array("features")
+    return scaled.select(
+        "customer_id",
+        # Adding zero turns a negative zero into a plain one.
+        *(
+            (F.round(values[i], 6) + F.lit(0.0)).alias(name)
+            for i, name in enumerate(schemas.MODEL_FEATURES)
+        ),
+    )
+
+
+def _formula_model() -> PipelineModel:
+    """A model whose probability is a known formula of the matrix."""
+    share = "monthly_charges / (monthly_charges + tenure_months)"
+    formula = SQLTransformer(
+        statement=f"SELECT *, 1 - {share} AS p_stay, {share} AS p_leave FROM __THIS__"
+    )
+    join = VectorAssembler(inputCols=["p_stay", "p_leave"], outputCol="probability")
+    return PipelineModel(stages=[formula, join])
+
+
+@query
+def formula_scores(spark, folder):
+    customers = faulty_records(spark, folder)
+    return training.score(_formula_model(), customers, "v1", "formula")
+
+
+@query
+def stream_formula_scores(spark, folder):
+    root = scratch_path(spark, "stream-formula")
+    faulty_records(spark, folder).write.parquet(f"{root}/in")
+    start_scoring(
+        _formula_model(),
+        incoming_records(spark, f"{root}/in"),
+        f"{root}/scores",
+        f"{root}/checkpoint",
+        "v1",
+        "formula",
+    ).awaitTermination()
+    return spark.read.parquet(f"{root}/scores")
+
+
 @query
 def stream_quarantine(spark, folder):
     root = scratch_path(spark, "stream-quarantine")

@@ -88,7 +88,7 @@ class Ingestion:
                 rows = self.table.write_version(rows, new_version)
             log = log.unionByName(self._accepted_log(rows, found))
             version = new_version
-        now = datetime.now(timezone.utc).replace(tzinfo=None)
+        now = datetime.now(timezone.utc)
         self.table.commit(
             log.withColumns(
                 {

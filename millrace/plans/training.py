@@ -49,25 +49,29 @@ def _assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=schemas.MODEL_FEATURES, outputCol="raw_features")
 
 
-def baseline_pipeline(n_train: int, settings: Settings) -> Pipeline:
-    """Scaled logistic regression with an L2 penalty of 1/n per mean loss.
+def scaling_stages(n_train: int) -> list:
+    """Centre each column and divide by its population deviation.
 
     The scaler divides by the sample deviation; the constant factor after it
-    turns that into the population deviation.
+    turns that into the population one.
     """
     factor = math.sqrt(n_train / (n_train - 1)) if n_train > 1 else 1.0
-    width = len(schemas.MODEL_FEATURES)
+    return [
+        _assembler(),
+        StandardScaler(inputCol="raw_features", outputCol="scaled", withMean=True, withStd=True),
+        ElementwiseProduct(
+            inputCol="scaled",
+            outputCol="features",
+            scalingVec=Vectors.dense([factor] * len(schemas.MODEL_FEATURES)),
+        ),
+    ]
+
+
+def baseline_pipeline(n_train: int, settings: Settings) -> Pipeline:
+    """Scaled logistic regression with an L2 penalty of 1/n per mean loss."""
     return Pipeline(
         stages=[
-            _assembler(),
-            StandardScaler(
-                inputCol="raw_features", outputCol="scaled", withMean=True, withStd=True
-            ),
-            ElementwiseProduct(
-                inputCol="scaled",
-                outputCol="features",
-                scalingVec=Vectors.dense([factor] * width),
-            ),
+            *scaling_stages(n_train),
             LogisticRegression(
                 labelCol=settings.target_column,
                 maxIter=settings.max_iterations,
@@ -256,7 +260,7 @@ class ModelStore:
 def _store(store: ModelStore, fitted: Fitted, decision, promoted, reason, settings: Settings):
     """Save the picked model, the evaluation rows and the registry row, in that order."""
     spark = store.spark
-    at = datetime.now(timezone.utc).replace(tzinfo=None)
+    at = datetime.now(timezone.utc)
     sequence = store.next_sequence()
     version = f"{at:v%Y%m%d_%H%M%S}_{sequence}"
     picked = "candidate" if decision.candidate_promoted else "baseline"
