@@ -1,7 +1,8 @@
 """Run a job: ``spark-submit ... -m millrace JOB ...`` or ``python -m millrace JOB ...``.
 
     telemetry PINGS OUTPUT           summary per vehicle model, busiest vehicles
-    prepare RAW OUTPUT               clean raw customers, split 90/10 by position
+    prepare RAW OUTPUT               clean raw customers, split 90/10 by position into
+                                     OUTPUT/part=initial and OUTPUT/part=incoming
     ingest TABLE INCOMING CHECKPOINT [--seed DIR] [--quarantine DIR]
     train TABLE MODELS               first training
     retrain TABLE MODELS             train again, replace production if better
@@ -17,7 +18,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from millrace.functions.cleaning import clean_customers
-from millrace.operators.layout import overwrite_parquet
+from millrace.operators.layout import overwrite_parquet, write_split
 from millrace.operators.ranks import positional_split
 from millrace.operators.validation import check_records, quarantined
 from millrace.plans import monitoring, telemetry, training
@@ -46,9 +47,7 @@ def run_telemetry(spark: SparkSession, args) -> None:
 def run_prepare(spark: SparkSession, args) -> None:
     cleaned = clean_customers(read_raw_customers(spark, args.raw), POSITION)
     split = positional_split(cleaned, list(POSITION), 0.9)
-    for part in ("initial", "incoming"):
-        rows = split.where(split.part == part).select(*CUSTOMER_COLUMNS)
-        rows.write.mode("overwrite").option("header", True).csv(f"{args.output}/{part}")
+    write_split(split.select(*CUSTOMER_COLUMNS, "part"), args.output)
 
 
 def run_ingest(spark: SparkSession, args) -> None:

@@ -35,6 +35,12 @@ def overwrite_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_split(df: DataFrame, path: str, column: str = "part", form: str = "csv") -> None:
+    """Write each part of a split to its own folder ``<column>=<part>``, in one pass."""
+    writer = df.write.mode("overwrite").partitionBy(column)
+    writer.format(form).option("header", True).save(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the shared checkpoint folder and go on from there.
 

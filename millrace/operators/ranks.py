@@ -283,5 +283,19 @@ def stratified_split(
 
 
 def recent_rows(df: DataFrame, order: Sequence[str], n: int = 400) -> DataFrame:
-    """The last ``n`` rows of the order."""
-    return df.orderBy(*(F.desc(c) for c in order)).limit(n)
+    """The last ``n`` rows of the order.
+
+    The place of the n-th last row is looked up in the order columns alone; the
+    other columns are then read from there on only, which file statistics turn
+    into skipped row groups.
+    """
+    newest_first = [F.desc(c) for c in order]
+    keys = df.select(*order).orderBy(*newest_first).limit(n)
+    oldest = tuple(keys.orderBy(*order).first() or ())
+    if oldest and None not in oldest:
+        later = F.col(order[-1]) >= F.lit(oldest[-1])
+        for name, value in list(zip(order, oldest))[:-1][::-1]:
+            column, at = F.col(name), F.lit(value)
+            later = (column >= at) & ((column > at) | later)
+        df = df.where(later)
+    return df.orderBy(*newest_first).limit(n)

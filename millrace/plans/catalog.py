@@ -202,6 +202,16 @@ def positional_split(spark, folder):
     return ranks.positional_split(customers, ["c_custkey"], 0.9).drop("c_custkey")
 
 
+@query
+def split_tables(spark, folder):
+    path = scratch_path(spark, "split")
+    customers = views.customers(spark, folder).select(*schemas.CUSTOMER_COLUMNS, "c_custkey")
+    split = ranks.positional_split(customers, ["c_custkey"], 0.9).drop("c_custkey")
+    layout.write_split(split, path, form="parquet")
+    initial = spark.read.parquet(f"{path}/part=initial")
+    return initial.select(*schemas.CUSTOMER_COLUMNS)
+
+
 def _portable_hash(name: str):
     """A hash every SQL engine has: the leading 60 bits of an MD5."""
     return F.conv(F.substring(F.md5(name), 1, 15), 16, 10).cast("long")

@@ -26,8 +26,9 @@ class Ingestion:
     """Appends batches of files to a table, keeping the last row per customer.
 
     All files of a batch are checked before anything is written. A file lacking
-    a required column is left out and logged; the others go in together. Doing
-    a batch again changes nothing, so a stream may deliver it twice.
+    a required column is left out and logged; the others go in together. A file
+    in the log is never taken again, so a stream may deliver a batch twice and
+    may even lose its checkpoint. Batch 0 is the seed.
 
     ``quarantine`` names a folder for rows outside the record domain; without
     it every row of an accepted file enters the table.
@@ -53,14 +54,19 @@ class Ingestion:
             raise ValueError(f"missing required columns: {rejected}")
         self._ingest(found, {}, 0, self.table.state(), merge=False)
 
-    def run_batch(self, paths: list[str], batch_id: int) -> None:
-        """Ingest one batch; ``batch_id`` counts up from 1 (0 is the seed)."""
-        state = self.table.state()
-        if not paths or batch_id <= state.batch_id:
+    def run_batch(self, paths: list[str]) -> None:
+        """Ingest those of the files that the log does not know yet, as one batch."""
+        if not paths:
+            return
+        commits = self.table.commits().where(F.col("source_file").isin(paths))
+        done = {row.source_file for row in commits.select("source_file").collect()}
+        paths = [path for path in paths if path not in done]
+        if not paths:
             return
+        state = self.table.state()
         found = csv_files.open_headers(self.spark, paths)
         good, rejected = csv_files.split_by_header(found, required_columns(self.settings))
-        self._ingest(good, rejected, batch_id, state, merge=True)
+        self._ingest(good, rejected, max(state.batch_id, 0) + 1, state, merge=True)
 
     def _ingest(
         self,

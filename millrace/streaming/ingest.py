@@ -41,7 +41,7 @@ def start_ingestion(
 
     def ingest(paths: DataFrame, epoch: int) -> None:
         # File names only, at most files_per_batch of them.
-        ingestion.run_batch([row.path for row in paths.collect()], epoch + 1)
+        ingestion.run_batch([row.path for row in paths.collect()])
 
     return (
         new_files(ingestion.spark, folder, files_per_batch, archive)

@@ -37,12 +37,12 @@ def test_customer_jobs(spark, tmp_path, quick, capsys):
     )
 
     main(["prepare", path("raw"), path("clean")])
-    initial = spark.read.option("header", True).csv(path("clean/initial"))
+    initial = spark.read.option("header", True).csv(path("clean/part=initial"))
     assert initial.count() == 1350
     assert initial.agg(F.max(F.substring("customer_id", 2, 9).cast("int"))).first()[0] == 1349
 
-    ingest = ["ingest", path("table"), path("clean/incoming"), path("checkpoint")]
-    main([*ingest, "--seed", path("clean/initial")])
+    ingest = ["ingest", path("table"), path("clean/part=incoming"), path("checkpoint")]
+    main([*ingest, "--seed", path("clean/part=initial")])
     main(ingest)
     table = VersionedTable(spark, path("table"))
     expected = views.customers(spark, "/root/testdata/sf0.01").select(*schemas.CUSTOMER_COLUMNS)

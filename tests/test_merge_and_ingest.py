@@ -1,4 +1,5 @@
 import csv
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,27 +143,58 @@ def test_a_batch_delivered_twice_counts_once(spark, tmp_path, inbox):
     ingestion = Ingestion(spark, str(tmp_path / "table"))
     path = inbox / "1.csv"
     write_records(path, [{"customer_id": "a"}, {"customer_id": "a", "tenure_months": 4}])
-    ingestion.run_batch([str(path)], 1)
-    ingestion.run_batch([str(path)], 1)
+    ingestion.run_batch([str(path)])
+    ingestion.run_batch([str(path)])
     assert ids(ingestion) == {"a": 4}
     assert ingestion.table.commits().count() == 1
 
 
+def test_a_lost_stream_checkpoint_loses_and_repeats_nothing(spark, tmp_path, inbox):
+    ingestion = Ingestion(spark, str(tmp_path / "table"))
+    write_records(inbox / "1.csv", [{"customer_id": "a"}])
+    start_ingestion(ingestion, str(inbox), str(tmp_path / "checkpoint")).awaitTermination()
+    write_records(inbox / "2.csv", [{"customer_id": "b"}])
+    start_ingestion(ingestion, str(inbox), str(tmp_path / "another")).awaitTermination()
+    assert ids(ingestion) == {"a": 2, "b": 2}
+    log = ingestion.table.commits().orderBy("batch_id").collect()
+    assert [(r.batch_id, r.source_file.split("/")[-1]) for r in log] == [(1, "1.csv"), (2, "2.csv")]
+
+
+def test_done_files_can_be_archived(spark, tmp_path, inbox):
+    ingestion = Ingestion(spark, str(tmp_path / "table"))
+    for number, name in enumerate(("1.csv", "2.csv", "3.csv")):
+        write_records(inbox / name, [{"customer_id": name, "tenure_months": number}])
+        start_ingestion(
+            ingestion,
+            str(inbox),
+            str(tmp_path / "checkpoint"),
+            files_per_batch=1,
+            archive=str(tmp_path / "done"),
+        ).awaitTermination()
+    assert ids(ingestion) == {"1.csv": 0, "2.csv": 1, "3.csv": 2}
+    # A file is moved once the batch after its own is under way.
+    for _ in range(50):
+        if list((tmp_path / "done").rglob("1.csv")):
+            break
+        time.sleep(0.2)
+    assert list((tmp_path / "done").rglob("1.csv"))
+
+
 def test_crash_before_the_commit_leaves_the_old_version(spark, tmp_path, inbox):
     ingestion = Ingestion(spark, str(tmp_path / "table"))
     write_records(inbox / "1.csv", [{"customer_id": "a"}])
     write_records(inbox / "2.csv", [{"customer_id": "b"}])
-    ingestion.run_batch([str(inbox / "1.csv")], 1)
+    ingestion.run_batch([str(inbox / "1.csv")])
 
     def lost(rows):
         raise RuntimeError("lost")
 
     commit, ingestion.table.commit = ingestion.table.commit, lost
     with pytest.raises(RuntimeError):
-        ingestion.run_batch([str(inbox / "2.csv")], 2)
+        ingestion.run_batch([str(inbox / "2.csv")])
     assert ids(ingestion) == {"a": 2}
     ingestion.table.commit = commit
-    ingestion.run_batch([str(inbox / "2.csv")], 2)
+    ingestion.run_batch([str(inbox / "2.csv")])
     assert ids(ingestion) == {"a": 2, "b": 2}
 
 
@@ -170,7 +202,7 @@ def test_quarantine_keeps_the_faulty_rows(spark, tmp_path, inbox):
     path = inbox / "1.csv"
     write_records(path, [{"customer_id": "a"}, {"customer_id": "b", "partner": 7}])
     ingestion = Ingestion(spark, str(tmp_path / "table"), quarantine=str(tmp_path / "bad"))
-    ingestion.run_batch([str(path)], 1)
+    ingestion.run_batch([str(path)])
     assert ids(ingestion) == {"a": 2}
     bad = spark.read.parquet(str(tmp_path / "bad")).first()
     assert (bad.customer_id, bad.failed_fields) == ("b", ["partner"])

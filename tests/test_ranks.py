@@ -106,3 +106,25 @@ def test_stratified_split_with_repeated_keys(spark, narrow):
 def test_recent_rows(spark):
     df = spark.range(1000).repartition(7)
     assert sorted(r.id for r in ranks.recent_rows(df, ["id"], 5).collect()) == [995, 996, 997, 998, 999]
+
+
+def test_recent_rows_with_several_keys_ties_and_nulls(spark):
+    rows = [(b, f, i) for b in (0, 1, 2) for f in ("a", "b") for i in range(4)]
+    df = spark.createDataFrame(rows, "b int, f string, i int").repartition(5)
+    for n in (1, 3, 4, 9, 24, 30):
+        got = sorted(map(tuple, ranks.recent_rows(df, ["b", "f", "i"], n).collect()))
+        assert got == sorted(rows)[-n:]
+    assert ranks.recent_rows(df, ["b"], 5).count() == 5
+    holed = spark.createDataFrame([(None,), (1,), (2,)], "k int")
+    assert sorted(map(repr, ranks.recent_rows(holed, ["k"], 3).collect())) == sorted(
+        map(repr, holed.collect())
+    )
+    assert ranks.recent_rows(holed.limit(0), ["k"], 3).count() == 0
+
+
+def test_recent_rows_prunes_by_the_order_key(spark, tmp_path):
+    spark.range(100).write.parquet(str(tmp_path / "t"))
+    recent = ranks.recent_rows(spark.read.parquet(str(tmp_path / "t")), ["id"], 7)
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,93)" in plan
+    assert recent.count() == 7
