@@ -57,7 +57,8 @@ def test_double_sums_agree_closely(spark, folder):
 
 def test_skew_profile_and_ties(spark):
     df = spark.createDataFrame([(k,) for k in "aaaaaabbcc"], "k string")
-    profile = {r.k: (r.n_rows, r.share_of_rows, r.times_median) for r in skew_profile(df, ["k"]).collect()}
+    rows = skew_profile(df, ["k"]).collect()
+    profile = {r.k: (r.n_rows, r.share_of_rows, r.times_median) for r in rows}
     assert profile == {"a": (6, 0.6, 3.0), "b": (2, 0.2, 1.0), "c": (2, 0.2, 1.0)}
     top = top_by(skew_profile(df, ["k"]), "n_rows", ["k"], 2).collect()
     assert [r.k for r in top] == ["a", "b"]

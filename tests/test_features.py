@@ -44,11 +44,13 @@ def test_contract_and_charge_thresholds(records):
 def test_internet_and_payment_codes(records):
     values = ["none", "dsl", "fiber_optic", "satellite", None]
     rows = records(*({"customer_id": str(i), "internet_service": v} for i, v in enumerate(values)))
-    codes = [r.internet_service_encoded for r in engineer_features(rows).orderBy("customer_id").collect()]
+    coded = engineer_features(rows).orderBy("customer_id").collect()
+    codes = [r.internet_service_encoded for r in coded]
     assert codes == [0, 1, 2, 0, 0]
     methods = ["electronic_check", "mailed_check", "bank_transfer", "credit_card", "cash", None]
     rows = records(*({"customer_id": str(i), "payment_method": v} for i, v in enumerate(methods)))
-    codes = [r.payment_method_encoded for r in engineer_features(rows).orderBy("customer_id").collect()]
+    coded = engineer_features(rows).orderBy("customer_id").collect()
+    codes = [r.payment_method_encoded for r in coded]
     assert codes == [0, 1, 2, 3, -1, -1]
 
 

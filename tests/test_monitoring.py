@@ -102,7 +102,8 @@ def test_undefined_score_is_null_and_not_flagged(spark):
 
 
 def test_flag_needs_more_than_the_threshold(spark):
-    train = spark.createDataFrame([(0.0, 0.0), (2.0, 2.0)], "tenure_months double, monthly_charges double")
+    names = "tenure_months double, monthly_charges double"
+    train = spark.createDataFrame([(0.0, 0.0), (2.0, 2.0)], names)
     deviation = 2**0.5
     at = spark.createDataFrame([(1.0 + 2 * deviation, 3.9)], train.schema)
     rows = by_feature(drift_report(train, at, TWO))

@@ -99,7 +99,10 @@ def test_stronger_production_stays(spark):
             ],
         ),
         ((1, None, 0.85, 0.1), []),
-        ((7, None, None, 2.0), ["7 days of new data >= minimum 7", "drift z-score 2.00 >= threshold 2.0"]),
+        (
+            (7, None, None, 2.0),
+            ["7 days of new data >= minimum 7", "drift z-score 2.00 >= threshold 2.0"],
+        ),
     ],
 )
 def test_trigger_table(spark, signals, reasons):
@@ -129,7 +132,8 @@ def test_registry_status(spark):
         "segment string, sequence long, promoted boolean",
     )
     status = promotion.with_status(rows, ["segment"]).orderBy("sequence").collect()
-    assert [r.status for r in status] == ["archived", "rejected", "production", "rejected", "production"]
+    expected = ["archived", "rejected", "production", "rejected", "production"]
+    assert [r.status for r in status] == expected
     current = promotion.production_models(rows, ["segment"]).collect()
     assert {(r.segment, r.sequence) for r in current} == {("a", 3), (None, 5)}
     assert promotion.production_models(rows.where("sequence > 9")).count() == 0

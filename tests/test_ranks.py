@@ -95,17 +95,19 @@ def test_stratified_split_is_exact_and_stable(spark, narrow):
 
 
 def test_stratified_split_with_repeated_keys(spark, narrow):
-    df = spark.createDataFrame([("same", 0)] * 60 + [(str(i), i % 2) for i in range(140)], "id string, y int")
+    rows = [("same", 0)] * 60 + [(str(i), i % 2) for i in range(140)]
+    df = spark.createDataFrame(rows, "id string, y int")
     split = ranks.stratified_split(df, "y", "id")
     sizes = ranks.split_sizes({0: 130, 1: 70}, 0.15, 0.15)
     counts = {(r.y, r.split): r["count"] for r in split.groupBy("y", "split").count().collect()}
-    for label, (test, val, train) in sizes.items():
-        assert (counts[label, "test"], counts[label, "val"], counts[label, "train"]) == (test, val, train)
+    for label, expected in sizes.items():
+        assert tuple(counts[label, s] for s in ("test", "val", "train")) == expected
 
 
 def test_recent_rows(spark):
     df = spark.range(1000).repartition(7)
-    assert sorted(r.id for r in ranks.recent_rows(df, ["id"], 5).collect()) == [995, 996, 997, 998, 999]
+    got = sorted(r.id for r in ranks.recent_rows(df, ["id"], 5).collect())
+    assert got == [995, 996, 997, 998, 999]
 
 
 def test_recent_rows_with_several_keys_ties_and_nulls(spark):

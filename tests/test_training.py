@@ -171,7 +171,9 @@ def test_stream_monitoring_writes_one_report_per_batch(spark, customers, tmp_pat
 
     arrive()
     arrive()
-    drift = read_or_empty(spark, f"{tmp_path}/reports/drift", "feature string, drift_zscore double, batch_id long")
-    assert sorted((r.batch_id, r.drift_zscore) for r in drift.collect()) == [(0, 0.0)] * 4 + [(1, 0.0)] * 4
+    report = "feature string, drift_zscore double, batch_id long"
+    drift = read_or_empty(spark, f"{tmp_path}/reports/drift", report)
+    scores = sorted((r.batch_id, r.drift_zscore) for r in drift.collect())
+    assert scores == [(0, 0.0)] * 4 + [(1, 0.0)] * 4
     quality = spark.read.parquet(f"{tmp_path}/reports/quality")
     assert [r.n_rows_checked for r in quality.collect()] == [customers.count()] * 2
