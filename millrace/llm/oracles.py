@@ -46,5 +46,13 @@ timed AS (
 SELECT doc_id, size, source_size, target, CAST(once + twice AS BIGINT) AS taken,
        CASE WHEN once > 0 THEN round(time, 6) WHEN twice > 0 THEN NULL END AS first_time
 FROM timed
+""",
+    "op9_exact_dedup": r"""
+WITH t AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+  FROM documents)
+SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       doc_id = min(doc_id) OVER g AS kept, text_sha256
+FROM t WINDOW g AS (PARTITION BY text_sha256)
 """,
 }

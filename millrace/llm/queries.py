@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, toxicity
+from millrace.llm import exact, mixing, packing, toxicity
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,3 +44,14 @@ def op4_toxicity(spark, sf_dir):
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query
+def op9_exact_dedup(spark, sf_dir):
+    return exact.owned(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op3_packing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
