@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, mixing, packing, toxicity
+from millrace.llm import exact, mixing, packing, simhash, toxicity
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,3 +55,13 @@ def op9_exact_dedup(spark, sf_dir):
 def op3_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@query
+def op2_simhash(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return simhash.near_duplicates(docs).select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
