@@ -54,5 +54,14 @@ WITH t AS (
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = min(doc_id) OVER g AS kept, text_sha256
 FROM t WINDOW g AS (PARTITION BY text_sha256)
+""",
+    "op7_warc": r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS newest FROM p)
+SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id <> newest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id <> newest THEN newest END AS refers_to
+FROM g
 """,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, mixing, packing, simhash, toxicity
+from millrace.llm import exact, mixing, packing, simhash, toxicity, warc
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +65,10 @@ def op2_simhash(spark, sf_dir):
         F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+@query
+def op7_warc(spark, sf_dir):
+    return warc.archived(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
