@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, mixing, packing, simhash, toxicity, warc
+from millrace.llm import exact, lookup_sketch, mixing, packing, simhash, toxicity, warc
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,3 +72,8 @@ def op7_warc(spark, sf_dir):
     return warc.archived(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query
+def op8_fingerprints(spark, sf_dir):
+    return lookup_sketch.fingerprints(table(spark, sf_dir, "documents"))
