@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, lookup_sketch, mixing, packing, simhash, toxicity, warc
+from millrace.llm import exact, lookup_sketch, mixing, packing, repeats, simhash, toxicity, warc
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,3 +77,8 @@ def op7_warc(spark, sf_dir):
 @query
 def op8_fingerprints(spark, sf_dir):
     return lookup_sketch.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_repeats(spark, sf_dir):
+    return repeats.without_repeats(table(spark, sf_dir, "documents"))
