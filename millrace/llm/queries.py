@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, lookup_sketch, mixing, packing, repeats, simhash, toxicity, warc
+from millrace.llm import (
+    exact,
+    lookup_sketch,
+    mixing,
+    packing,
+    passages,
+    repeats,
+    simhash,
+    toxicity,
+    warc,
+)
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,3 +92,8 @@ def op8_fingerprints(spark, sf_dir):
 @query
 def op10_repeats(spark, sf_dir):
     return repeats.without_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_passages(spark, sf_dir):
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
