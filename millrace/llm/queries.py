@@ -14,6 +14,7 @@ from millrace.llm import (
     mixing,
     packing,
     passages,
+    quality,
     repeats,
     simhash,
     toxicity,
@@ -97,3 +98,17 @@ def op10_repeats(spark, sf_dir):
 @query
 def op5_passages(spark, sf_dir):
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs, model).select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        F.col("quality").alias("score"),
+        F.col("quality_text").alias("text_score"),
+        F.col("quality_metadata").alias("metadata_score"),
+        (F.col("quality") >= 0.5).cast("int").alias("predicted"),
+    )
