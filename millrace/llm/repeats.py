@@ -41,9 +41,11 @@ from millrace.llm.common import text_or_empty, written
 
 _PART = 16
 _CHUNK = 1 << 20
-_RUN = 512
-_BUSY = 4096
-_TASK_BYTES = 2 << 20
+_RUN = 224
+_BUSY = 2048
+_TASK_BYTES = 1 << 20
+#: Ranks must stay below 2**21: a chunk, then 2048 segments of at most 423 bytes, do.
+_MOST_SYMBOLS = (1 << 21) - 4096
 _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xC2B2AE3D27D4EB4F)
 _C = np.uint64(0xFF51AFD7ED558CCD)
@@ -181,23 +183,26 @@ class SuffixArray:
         joined[places] = body
         end = np.zeros(len(joined), np.int64)
         end[places] = (self.base + lengths)[owner]
+        self.size = len(joined)
         n = len(joined) - 7
         key = joined[:n].copy()
         for k in range(1, 7):
             key = (key << 9) | joined[k : n + k]
         ranks, step = [], 7
         while True:
-            order = np.argsort(key, kind="stable")
-            rank = np.empty(n, np.int64)
+            order = np.argsort(key)
+            rank = np.empty(n, np.int32)
             ordered = key[order]
             rank[order] = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
             ranks.append((step, rank))
-            if step >= 2 * width:
+            if step >= lengths.max():
                 break
-            after = np.zeros(n, np.int64)
-            after[: n - step] = rank[step:] + 1 if step < n else 0
-            key = rank * (n + 2) + after
-            step *= 2
+            # Three ranks of fewer than 2**21 values each make the key of a triple step.
+            key = rank.astype(np.int64) << 42
+            for k in (1, 2):
+                if k * step < n:
+                    key[: n - k * step] += (rank[k * step :].astype(np.int64) + 1) << (42 - 21 * k)
+            step *= 3
         wanted = places[end[places] - places >= width]
         self.starts = wanted[np.argsort(ranks[-1][1][wanted], kind="stable")]
         self.left = end[self.starts] - self.starts
@@ -205,7 +210,7 @@ class SuffixArray:
         self.segment = np.searchsorted(self.base, self.starts, "right") - 1
         a, b = self.starts[:-1].copy(), self.starts[1:].copy()
         shared = np.zeros(len(a), np.int64)
-        for step, rank in reversed(ranks):
+        for step, rank in [x for x in reversed(ranks) for _ in range(2)]:
             inside = (a < n) & (b < n)
             equal = np.zeros(len(a), bool)
             equal[inside] = rank[a[inside]] == rank[b[inside]]
@@ -265,24 +270,19 @@ def maximal_repeats(suffixes: SuffixArray, width: int) -> Iterator[tuple[int, in
 def covered(segments: list[bytes], width: int) -> dict[int, list[tuple[int, int]]]:
     """Ranges of each segment that a repeat among them covers, merged."""
     suffixes = SuffixArray(segments, width)
-    owner, start, stop = [], [], []
+    opened = np.zeros(suffixes.size + 1, np.int32)
     for first, last, length in maximal_repeats(suffixes, width):
-        here = slice(first, last + 1)
-        at = suffixes.starts[here] - suffixes.base[suffixes.segment[here]]
-        owner.append(suffixes.segment[here])
-        start.append(at)
-        stop.append(at + np.minimum(length, suffixes.left[here]))
-    if not owner:
-        return {}
+        starts = suffixes.starts[first : last + 1]
+        opened[starts] += 1
+        np.subtract.at(opened, starts + np.minimum(length, suffixes.left[first : last + 1]), 1)
+    inside = (np.cumsum(opened) > 0).astype(np.int8)
+    edges = np.diff(np.concatenate([[0], inside, [0]]))
+    begin, end = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    owner = np.searchsorted(suffixes.base, begin, "right") - 1
+    base = suffixes.base[owner]
     out: dict[int, list[tuple[int, int]]] = {}
-    rows = np.stack([np.concatenate(x) for x in (owner, start, stop)])
-    rows = rows[:, np.lexsort(rows[1::-1])]
-    for k, a, b in rows.T.tolist():
-        ranges = out.setdefault(k, [])
-        if ranges and a <= ranges[-1][1]:
-            ranges[-1] = ranges[-1][0], max(b, ranges[-1][1])
-        else:
-            ranges.append((a, b))
+    for k, a, b in zip(owner.tolist(), (begin - base).tolist(), (end - base).tolist()):
+        out.setdefault(k, []).append((a, b))
     return out
 
 
@@ -316,6 +316,8 @@ def _scan(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
             if held > _TASK_BYTES and row[0] != rows[-1][0]:
                 yield found(rows)
                 rows, held = [], 0
+            if rows and held + len(row[3]) > _MOST_SYMBOLS:
+                raise ValueError("an anchor has more segments than a task's suffix array can hold")
             rows.append(row)
             held += len(row[3]) + 1
     if rows:
