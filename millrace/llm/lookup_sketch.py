@@ -53,12 +53,14 @@ def _documents(docs: DataFrame) -> DataFrame:
             text.alias("text"),
         )
         .groupBy(*_KEY)
-        .agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+        .agg(F.first("text").alias("text"))
     )
 
 
 def following(docs: DataFrame) -> DataFrame:
-    """key, hash, n_chars and the key and hash of the next document, by descending id.
+    """Each distinct (doc_id, text) and the next one, by descending id.
+
+    Has key, hash, n_chars, copies (rows), next_key and next_hash.
 
     Ids are range partitioned; within a partition the next one is a window away,
     and the last of a partition is followed by the first of the next, looked up
@@ -69,7 +71,8 @@ def following(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("key"),
         F.xxhash64(text).alias("hash"),
         F.length(text).cast("long").alias("n_chars"),
-    ).distinct()
+    )
+    ids = ids.groupBy(*_KEY, "n_chars").agg(F.count("*").alias("copies"))
     ranged = ids.repartitionByRange(F.col("key").desc(), F.col("hash").desc())
     placed = written(ranged.withColumn("part", F.spark_partition_id()), "order")
     order = W.partitionBy("part").orderBy(F.col("key").desc(), F.col("hash").desc())
@@ -87,6 +90,7 @@ def following(docs: DataFrame) -> DataFrame:
     return joined.select(
         *_KEY,
         "n_chars",
+        "copies",
         after["key"].alias("next_key"),
         after["hash"].alias("next_hash"),
     )
@@ -99,12 +103,14 @@ def with_edit(docs: DataFrame, links: DataFrame) -> DataFrame:
         F.col("key").alias("for_key"),
         F.col("hash").alias("for_hash"),
         F.floor(F.col("n_chars") / 2).cast("int").alias("half"),
+        "copies",
         F.col("next_key").alias("key"),
         F.col("next_hash").alias("hash"),
     )
     heads = texts.join(taken, _KEY).select(
         "for_key",
         "for_hash",
+        "copies",
         F.expr("substring(text, 1, half)").alias("head"),
         paragraphs(F.col("text")).alias("following"),
     )
