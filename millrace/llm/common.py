@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +36,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The rows, once computed and read back from the shared folder.
 
     Cuts the lineage: what follows survives the loss of any executor without
-    repeating what came before, and reads only the columns it needs.
+    repeating what came before, and reads only the columns it needs. The shuffle
+    files behind the rows are then of no use; Spark drops them once the driver's
+    memory no longer refers to them.
     """
-    path = scratch(df.sparkSession, name)
+    spark = df.sparkSession
+    path = scratch(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)

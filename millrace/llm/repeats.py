@@ -4,7 +4,7 @@ Every string of ``width`` bytes that starts at two places of the corpus is
 covered. A suffix array of a corpus does not fit a task, so it is built for the
 parts whose strings can be equal:
 
-1. Each window of ``width`` bytes has an anchor, the least hash of its 16-byte
+1. Each window of ``width`` bytes has an anchor, the least hash of its 32-byte
    parts. Equal windows have equal anchors, so windows of different anchors never
    meet. Runs of windows with one anchor are kept as (anchor, place).
 2. Runs whose anchor occurs once in the corpus hold no repeat. The others are cut
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import text_or_empty, written
 
-_PART = 16
+_PART = 32
 _CHUNK = 1 << 20
 _RUN = 224
 _BUSY = 2048
@@ -72,13 +72,15 @@ def _sliding(values: np.ndarray, size: int, best) -> np.ndarray:
 
 
 def _part_hashes(data: bytes) -> np.ndarray:
-    n = len(data) - _PART + 1
-    low = np.ndarray((n,), "<u8", data, 0, (1,))
-    high = np.ndarray((n,), "<u8", data, 8, (1,))
-    mixed = (low * _A) ^ (high * _B)
-    mixed ^= mixed >> _SHIFT
-    mixed *= _C
-    return mixed ^ (mixed >> _SHIFT)
+    """Hashes of all parts, from those of eight bytes by doubling."""
+    size = 8
+    values = np.ndarray((len(data) - size + 1,), "<u8", data, 0, (1,))
+    while size < _PART:
+        values = (values[:-size] * _A) ^ (values[size:] * _B)
+        values ^= values >> _SHIFT
+        values *= _C
+        size *= 2
+    return values ^ (values >> _SHIFT)
 
 
 def anchor_runs(data: bytes, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -449,15 +451,19 @@ def repeated_ranges(docs: DataFrame, width: int = 200, busy: int = _BUSY):
         F.count("*").alias("copies"),
     )
     segments = written(segments, "distinct")
-    crowds = (
-        segments.groupBy(F.col("anchor").alias("crowd")).agg(F.count("*").alias("n"))
-        .where(F.col("n") > busy).select("crowd")
+    crowds = written(
+        segments.groupBy(F.col("anchor").alias("crowd"))
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") > busy)
+        .select("crowd"),
+        "crowds",
     )
     on = F.col("anchor") == F.col("crowd")
     few = segments.join(crowds, on, "left_anti").select("anchor", "s1", "s2", "segment")
     many = segments.join(crowds, on, "left_semi")
     scanned = (
-        few.repartition("anchor").sortWithinPartitions("anchor")
+        few.repartition("anchor")
+        .sortWithinPartitions("anchor")
         .mapInArrow(lambda b: _scan(b, width), _RANGES_SQL)
     )
     whole = segments.where("copies > 1").select(
