@@ -1,6 +1,6 @@
 """Document fingerprints as invertible Bloom lookup sketches.
 
-A text's paragraphs (lines, cut after sentences and into pieces of at most 64
+A text's paragraphs (lines, cut after sentences and into pieces of at most 120
 characters) are a set of 64-bit digests. A sketch keeps, for three sub-tables of
 cells, how many digests fall into a cell, their xor and the xor of their check
 values. Sketches of two versions subtract cell by cell, what they share cancels,
@@ -29,10 +29,11 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import text_or_empty, written
 
-PIECE = r"[^.!?\n]{1,64}[.!?\n]*|[.!?\n]+"
+PIECE = r"[^.!?\n]{1,120}[.!?\n]*|[.!?\n]+"
 _TABLES = 3
 _CYCLES = 3
-_FOLDED = 3  # mask of the four cells per sub-table in a written fingerprint
+#: A written fingerprint has 2**2 cells per table.
+_FOLDED_BITS = 2
 _NO_ID = -(1 << 63)
 _KEY = ["key", "hash"]
 
@@ -103,14 +104,12 @@ def with_edit(docs: DataFrame, links: DataFrame) -> DataFrame:
         F.col("key").alias("for_key"),
         F.col("hash").alias("for_hash"),
         F.floor(F.col("n_chars") / 2).cast("int").alias("half"),
-        "copies",
         F.col("next_key").alias("key"),
         F.col("next_hash").alias("hash"),
     )
     heads = texts.join(taken, _KEY).select(
         "for_key",
         "for_hash",
-        "copies",
         F.expr("substring(text, 1, half)").alias("head"),
         paragraphs(F.col("text")).alias("following"),
     )
@@ -123,7 +122,6 @@ def with_edit(docs: DataFrame, links: DataFrame) -> DataFrame:
         .withColumn("edited", edited)
         .select(
             *_KEY,
-            "copies",
             n.cast("long").alias("n_chars"),
             F.sha2("edited", 256).alias("edited_sha256"),
             paragraphs(F.col("text")).alias("own"),
@@ -133,29 +131,48 @@ def with_edit(docs: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def _slot(digest: Column, table: int, seed: int, mask: Column) -> Column:
-    cell = F.xxhash64(digest, F.lit(table), F.lit(seed)).bitwiseAND(mask)
-    return cell + F.lit(table << 40)
+# A cell's number: 6 bits for the size of its tables, 2 for its tag, 2 for its
+# table, 40 for its place. A tag names what is sketched, see _subtracted. Digests that were
+# found are counted in a cell of the tag's fourth table.
+_BITS_AT, _TAG_AT, _TABLE_AT = 44, 42, 40
+_FOUND = 3
+
+
+def _number(bits: Column, tag, table: int, place: Column) -> Column:
+    tag = F.lit(tag) if isinstance(tag, int) else tag
+    high = bits.cast("long") * F.lit(1 << _BITS_AT) + tag.cast("long") * F.lit(1 << _TAG_AT)
+    return high + F.lit(table << _TABLE_AT) + place
+
+
+def _field(at: int, width: int) -> Column:
+    return F.shiftright("cell", at).bitwiseAND(F.lit((1 << width) - 1))
+
+
+def _place(digest: Column, table: int, seed: int, bits: Column) -> Column:
+    mixed = F.xxhash64(digest, F.lit(table), F.lit(seed))
+    return mixed.bitwiseAND(F.pow(F.lit(2.0), bits).cast("long") - 1)
 
 
 def _check(digest: Column) -> Column:
     return F.xxhash64(digest, F.lit(-1))
 
 
-def _cell(tag, slot: Column, count, xor: Column, check: Column) -> Column:
+def _cell(number: Column, count, xor: Column, check: Column) -> Column:
+    count = F.lit(count) if isinstance(count, int) else count
     return F.struct(
-        (F.lit(tag) if isinstance(tag, int) else tag).alias("tag"),
-        slot.alias("slot"),
-        (F.lit(count) if isinstance(count, int) else count).cast("long").alias("count"),
+        number.alias("cell"),
+        count.cast("long").alias("count"),
         xor.alias("xor"),
         check.alias("check"),
     )
 
 
-def _summed(cells: DataFrame) -> DataFrame:
-    """Add up cells; those in which everything cancels go."""
+def _summed(cells: DataFrame, column: Column) -> DataFrame:
+    """Add up cells of an array column; those in which everything cancels go."""
     return (
-        cells.groupBy(*_KEY, "mask", "tag", "slot")
+        cells.select(*_KEY, F.explode(column).alias("c"))
+        .select(*_KEY, "c.*")
+        .groupBy(*_KEY, "cell")
         .agg(
             F.sum("count").alias("count"),
             F.bit_xor("xor").alias("xor"),
@@ -169,66 +186,58 @@ def _subtracted(versions: DataFrame, seed: int, room: int) -> DataFrame:
     """Cells of own - edited (tag 0), own - following (1), own (2) and edited (3)."""
     most = F.size("own") + F.greatest(F.size("edited"), F.size("following"))
     bits = F.ceil(F.log2(F.lit(1.5 * room) * F.greatest(most, F.lit(1))))
-    bits = F.least(F.greatest(bits, F.lit(5)), F.lit(39))
-    mask = F.pow(F.lit(2.0), bits).cast("long") - 1
+    bits = F.least(F.greatest(bits, F.lit(5)), F.lit(39)).cast("int")
 
     def tagged(column: str, version: int) -> Column:
         return F.transform(column, lambda d: F.struct(F.lit(version).alias("v"), d.alias("d")))
 
-    digests = versions.withColumn("mask", mask).select(
-        *_KEY,
-        "mask",
-        F.explode(
-            F.concat(tagged("own", 0), tagged("edited", 1), tagged("following", 2))
-        ).alias("unit"),
-    )
-    d, v, check = F.col("unit.d"), F.col("unit.v"), _check(F.col("unit.d"))
+    every = F.concat(tagged("own", 0), tagged("edited", 1), tagged("following", 2))
+    digests = versions.select(*_KEY, bits.alias("bits"), F.explode(every).alias("unit"))
+    d, v = F.col("unit.d"), F.col("unit.v")
 
     def cells_of(tag: int, sign: int) -> list[Column]:
-        if tag < 2:
-            return [
-                _cell(tag, _slot(d, t, seed, F.col("mask")), sign, d, check) for t in range(_TABLES)
-            ]
-        return [_cell(tag, _slot(d, t, 0, F.lit(_FOLDED)), sign, d, check) for t in range(_TABLES)]
+        size, salt = (F.col("bits"), seed) if tag < 2 else (F.lit(_FOLDED_BITS), 0)
+        return [
+            _cell(_number(size, tag, t, _place(d, t, salt, size)), sign, d, _check(d))
+            for t in range(_TABLES)
+        ]
 
     own = F.array(*cells_of(0, 1), *cells_of(1, 1), *cells_of(2, 1))
     edited = F.array(*cells_of(0, -1), *cells_of(3, 1))
-    every = F.when(v == 0, own).when(v == 1, edited).otherwise(F.array(*cells_of(1, -1)))
-    return _summed(digests.select(*_KEY, "mask", F.explode(every).alias("c")).select(*_KEY, "mask", "c.*"))
+    return _summed(
+        digests, F.when(v == 0, own).when(v == 1, edited).otherwise(F.array(*cells_of(1, -1)))
+    )
 
 
 def _peeled(cells: DataFrame, table: int, seed: int) -> DataFrame:
-    """Take the digests that are alone in a cell of one sub-table out of all others.
-
-    What was found is counted in the row with slot -1.
-    """
-    tag, slot, count, xor, check = (F.col(c) for c in ("tag", "slot", "count", "xor", "check"))
+    """Take the digests that are alone in a cell of one table out of the others."""
+    bits, tag = _field(_BITS_AT, 6), _field(_TAG_AT, 2)
+    count, xor, check = F.col("count"), F.col("xor"), F.col("check")
     alone = (
         (tag < 2)
-        & (slot >= 0)
-        & (F.shiftright(slot, 40) == table)
+        & (_field(_TABLE_AT, 2) == table)
         & (F.abs(count) == 1)
         & (check == _check(xor))
     )
     nothing = F.lit(0).cast("long")
     out = [
-        _cell(tag, _slot(xor, t, seed, F.col("mask")), -count, xor, check)
+        _cell(_number(bits, tag, t, _place(xor, t, seed, bits)), -count, xor, check)
         for t in range(_TABLES)
         if t != table
     ]
-    found = _cell(tag, F.lit(-1).cast("long"), 1, nothing, nothing)
-    stays = F.array(_cell(tag, slot, count, xor, check))
-    rows = F.when(alone, F.array(*out, found)).otherwise(stays)
-    return _summed(cells.select(*_KEY, "mask", F.explode(rows).alias("c")).select(*_KEY, "mask", "c.*"))
+    found = _cell(_number(bits, tag, _FOUND, nothing), 1, nothing, nothing)
+    stays = F.array(_cell(F.col("cell"), count, xor, check))
+    return _summed(cells, F.when(alone, F.array(*out, found)).otherwise(stays))
 
 
 def _written_sketch(tag: int) -> Column:
-    cell = F.when(F.col("tag") == tag, F.struct("slot", "count", "xor", "check"))
+    cell = F.when(_field(_TAG_AT, 2) == tag, F.struct("cell", "count", "xor", "check"))
     text = F.transform(
         F.array_sort(F.collect_list(cell)),
         lambda c: F.concat_ws(
             ".",
-            F.shiftright(c["slot"], 40) * 4 + c["slot"].bitwiseAND(F.lit(_FOLDED)),
+            F.shiftright(c["cell"], _TABLE_AT).bitwiseAND(F.lit(3)) * (1 << _FOLDED_BITS)
+            + c["cell"].bitwiseAND(F.lit((1 << _FOLDED_BITS) - 1)),
             c["count"],
             F.hex(c["xor"]),
             F.hex(F.shiftrightunsigned(c["check"], 32)),
@@ -243,10 +252,11 @@ def _attempt(docs: DataFrame, links: DataFrame, seed: int) -> DataFrame:
     for _ in range(_CYCLES):
         for at in range(_TABLES):
             cells = _peeled(cells, at, seed)
-    is_left = (F.col("tag") < 2) & (F.col("slot") >= 0)
+    is_found = _field(_TABLE_AT, 2) == _FOUND
+    is_left = (_field(_TAG_AT, 2) < 2) & ~is_found
 
     def found(tag: int) -> Column:
-        return F.sum(F.when((F.col("slot") == -1) & (F.col("tag") == tag), F.col("count")))
+        return F.sum(F.when(is_found & (_field(_TAG_AT, 2) == tag), F.col("count")))
 
     per_doc = cells.groupBy(F.col("key").alias("k"), F.col("hash").alias("g")).agg(
         F.max(is_left).alias("stuck"),
@@ -257,7 +267,6 @@ def _attempt(docs: DataFrame, links: DataFrame, seed: int) -> DataFrame:
     )
     joined = versions.select(
         *_KEY,
-        "copies",
         "n_chars",
         "edited_sha256",
         F.size("own").alias("n_own"),
@@ -272,7 +281,6 @@ def _attempt(docs: DataFrame, links: DataFrame, seed: int) -> DataFrame:
 
     return joined.select(
         *_KEY,
-        "copies",
         "n_chars",
         "edited_sha256",
         F.coalesce("fingerprint", F.lit("")).alias("fingerprint"),
@@ -287,6 +295,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, both fingerprints, near_edited and near_next."""
     docs = docs.select("doc_id", "text")
     links = written(following(docs), "links")
+    copies = links.select(*_KEY, "copies")
     done, seed = None, 0
     while True:
         tried = written(_attempt(docs, links, seed), "sketches")
@@ -301,7 +310,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             needed, F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)) == F.col("key"), "left_semi"
         )
         seed += 1
-    rows = done.withColumn("n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    rows = done.join(copies, _KEY).withColumn("n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     return rows.select(
         F.when(F.col("key") != _NO_ID, F.col("key")).alias("doc_id"),
         "n_chars",
