@@ -42,7 +42,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
