@@ -35,6 +35,9 @@ _CYCLES = 3
 #: A written fingerprint has 2**2 cells per table.
 _FOLDED_BITS = 2
 _NO_ID = -(1 << 63)
+#: The cells of so many documents fit a task's memory; with more they spill.
+_TASK_DOCUMENTS = 2_000
+_MOST_PARTS = 100_000
 _KEY = ["key", "hash"]
 
 
@@ -44,8 +47,8 @@ def paragraphs(text: Column) -> Column:
     return F.array_distinct(F.transform(pieces, lambda piece: F.xxhash64(piece)))
 
 
-def _documents(docs: DataFrame) -> DataFrame:
-    """Each distinct (doc_id, text) once, partitioned by its key."""
+def _documents(docs: DataFrame, parts: int) -> DataFrame:
+    """Each distinct (doc_id, text) once, in ``parts`` partitions by its key."""
     text = text_or_empty()
     return (
         docs.select(
@@ -53,6 +56,7 @@ def _documents(docs: DataFrame) -> DataFrame:
             F.xxhash64(text).alias("hash"),
             text.alias("text"),
         )
+        .repartition(parts, *_KEY)
         .groupBy(*_KEY)
         .agg(F.first("text").alias("text"))
     )
@@ -99,7 +103,9 @@ def following(docs: DataFrame) -> DataFrame:
 
 def with_edit(docs: DataFrame, links: DataFrame) -> DataFrame:
     """Each linked document with its edited text and the digests of three versions."""
-    texts = _documents(docs)
+    rows = links.count()
+    usual = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = _documents(docs, max(usual, min(_MOST_PARTS, -(-rows // _TASK_DOCUMENTS))))
     taken = links.select(
         F.col("key").alias("for_key"),
         F.col("hash").alias("for_hash"),
@@ -304,8 +310,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         stuck = tried.where("stuck").select(*_KEY)
         if stuck.isEmpty():
             break
-        links = links.join(stuck, _KEY, "left_semi")
+        # Written, so that Spark knows how few they are and need not shuffle the texts.
+        links = written(links.join(stuck, _KEY, "left_semi"), "links")
         needed = links.select("key").union(links.select(F.col("next_key"))).distinct()
+        needed = written(needed, "needed")
         docs = docs.join(
             needed, F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)) == F.col("key"), "left_semi"
         )
