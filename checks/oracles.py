@@ -340,10 +340,11 @@ chosen AS (SELECT *,
   CASE WHEN candidate_promoted THEN 'random_forest' ELSE 'logistic_regression' END AS model_type,
   CASE WHEN candidate_promoted THEN candidate_test_auc ELSE baseline_test_auc END AS new_test_auc
   FROM picked),
-compared AS (SELECT c.*, round(i.roc_auc, 4) AS production_auc
+compared AS (SELECT c.*, round(i.roc_auc, 4) AS production_auc, i.c_nationkey IS NULL AS vacant
   FROM chosen c LEFT JOIN incumbent_areas i ON c.c_nationkey = i.c_nationkey)
-SELECT *, production_auc IS NULL OR {_passes("new_test_auc", "production_auc")} AS promoted,
-  CASE WHEN production_auc IS NULL
+SELECT * EXCLUDE (vacant),
+  vacant OR coalesce({_passes("new_test_auc", "production_auc")}, FALSE) AS promoted,
+  CASE WHEN vacant
     THEN 'No model currently in production; deploying retrained model.'
     ELSE {_OUTER} END AS promotion_reason
 FROM compared"""
@@ -362,11 +363,12 @@ drift AS (SELECT {_SEGMENT}, coalesce(max(drift_zscore), 0) AS z
 ages AS (SELECT {_SEGMENT}, date_diff('day', max(o_orderdate),
       (SELECT max(o_orderdate) FROM orders)) AS days
    FROM ruled JOIN orders ON c_custkey = o_custkey GROUP BY {_SEGMENT}),
-signals AS (SELECT a.c_nationkey, a.c_mktsegment, CAST(a.days AS INTEGER)
+segments AS (SELECT DISTINCT {_SEGMENT} FROM ruled),
+signals AS (SELECT s.c_nationkey, s.c_mktsegment, CAST(a.days AS INTEGER)
       AS days_since_last_training,
    coalesce(round(o.roc_auc, 4), 0) AS production_auc,
    round(n.roc_auc, 4) AS recent_labeled_auc, coalesce(d.z, 0) AS drift_zscore
-   FROM ages a LEFT JOIN old_auc o USING ({_SEGMENT}) LEFT JOIN new_auc n USING ({_SEGMENT})
+   FROM segments s LEFT JOIN ages a USING ({_SEGMENT}) LEFT JOIN old_auc o USING ({_SEGMENT}) LEFT JOIN new_auc n USING ({_SEGMENT})
    LEFT JOIN drift d USING ({_SEGMENT})),
 reasons AS (SELECT *,
    CASE WHEN days_since_last_training >= 7

@@ -96,9 +96,17 @@ def candidate_vs_baseline(
 
 
 def challenger_vs_production(
-    challenger: Column, production: Column, settings: Settings = Settings(), split: str = "test"
+    challenger: Column,
+    production: Column,
+    settings: Settings = Settings(),
+    split: str = "test",
+    deployed: Column | None = None,
 ) -> tuple[Column, Column]:
-    """(promoted, reason) for a retrained model; nothing in production lets it in unchecked."""
+    """(promoted, reason) for a retrained model; nothing in production lets it in unchecked.
+
+    ``deployed`` says whether there is a production model. A production model
+    whose AUC is undefined stays, as nothing can be compared with it.
+    """
     promoted, reason = _decide(
         challenger,
         production,
@@ -111,7 +119,7 @@ def challenger_vs_production(
             "lost": "Kept current production model",
         },
     )
-    vacant = production.isNull()
+    vacant = production.isNull() if deployed is None else ~F.coalesce(deployed, F.lit(False))
     return (
         F.when(vacant, True).otherwise(promoted),
         F.when(
@@ -146,15 +154,17 @@ def decide_segments(
     )
     of = [f"_of_{s}" for s in segment]
     current = incumbents.select(
-        *(F.col(s).alias(o) for s, o in zip(segment, of)), "production_auc"
+        *(F.col(s).alias(o) for s, o in zip(segment, of)),
+        "production_auc",
+        F.lit(True).alias("_deployed"),
     )
     promoted, reason = challenger_vs_production(
-        F.col("new_test_auc"), F.col("production_auc"), settings
+        F.col("new_test_auc"), F.col("production_auc"), settings, deployed=F.col("_deployed")
     )
     return (
         picked.join(current, same_keys(segment, of), "left")
         .withColumns({"promoted": promoted, "promotion_reason": reason})
-        .drop(*of)
+        .drop(*of, "_deployed")
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -14,7 +15,8 @@ def _value_ranges(df: DataFrame, column: str, ranges: int) -> list[float]:
     """Boundaries that cut the column into ranges of about equal row counts."""
     probabilities = [i / ranges for i in range(1, ranges)]
     inner = df.approxQuantile(column, probabilities, 1 / (2 * ranges))
-    return [float("-inf"), *(sorted(set(inner)) or [0.0]), float("inf")]
+    finite = sorted({x for x in inner if math.isfinite(x)})
+    return [float("-inf"), *(finite or [0.0]), float("inf")]
 
 
 def same_keys(left: Sequence[str], right: Sequence[str]) -> Column:

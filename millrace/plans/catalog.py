@@ -581,9 +581,10 @@ def retrain_decisions(spark, folder):
         )
     )
     production = auc(parts.where("part = 'initial'"), "production_auc")
+    segments = customers.select(*SEGMENT).distinct()
     signals = reduce(
         lambda a, b: a.join(b, SEGMENT, "left"),
-        [ages, production, auc(recent, "recent_labeled_auc"), drift],
+        [segments, ages, production, auc(recent, "recent_labeled_auc"), drift],
     )
     return promotion.retrain_decisions(signals).withColumn(
         "triggered_by", F.concat_ws(" | ", "triggered_by")

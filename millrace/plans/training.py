@@ -39,10 +39,13 @@ def split_matrix(customers: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def spread(rows: DataFrame, key: str) -> DataFrame:
-    """Use every core: shuffle by key when the input has fewer partitions than cores."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
+def spread(rows: DataFrame, key: str, partitions: int) -> DataFrame:
+    """Rows in a fixed number of partitions, in order of their key.
+
+    A forest draws its rows by partition and place, so this makes the model the
+    same on any cluster and for any layout of the input.
+    """
+    return rows.repartition(partitions, key).sortWithinPartitions(key)
 
 
 def _assembler() -> VectorAssembler:
@@ -157,7 +160,9 @@ def fit_and_evaluate(customers: DataFrame, settings: Settings = Settings()) -> F
     The matrix is persisted once for the many passes of both fits; a lost
     block is recomputed, and row membership does not change when it is.
     """
-    rows = spread(split_matrix(customers, settings), settings.id_column).persist(
+    rows = spread(
+        split_matrix(customers, settings), settings.id_column, settings.training_partitions
+    ).persist(
         StorageLevel.MEMORY_AND_DISK
     )
     try:

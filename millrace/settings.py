@@ -20,6 +20,8 @@ class Settings:
     trees: int = 300
     tree_depth: int = 8
     min_leaf_rows: int = 5
+    #: Part of the model's definition: another number gives another forest.
+    training_partitions: int = 16
 
     # promotion guardrail
     min_roc_auc: float = 0.80

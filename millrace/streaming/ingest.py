@@ -7,6 +7,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.plans.ingestion import Ingestion
 
+#: Longer than any file is old, so that a file delivered late is not passed over.
+ANY_AGE = "36500d"
+
 _FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -24,6 +27,7 @@ def new_files(
         .schema(_FILE)
         .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", ANY_AGE)
     )
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)

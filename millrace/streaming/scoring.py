@@ -9,11 +9,13 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace import schemas
 from millrace.operators.validation import check_records, quarantined
 from millrace.plans.training import score
+from millrace.streaming.ingest import ANY_AGE
 
 
 def incoming_records(spark: SparkSession, folder: str) -> DataFrame:
     """A stream of customer records from Parquet files."""
-    return spark.readStream.schema(schemas.CUSTOMER).parquet(folder)
+    reader = spark.readStream.schema(schemas.CUSTOMER).option("maxFileAge", ANY_AGE)
+    return reader.parquet(folder)
 
 
 def start_scoring(

@@ -21,13 +21,13 @@ def test_derived_columns_exist(records):
 
 def test_derived_values_of_the_standard_record(records):
     row = engineer_features(records()).first()
-    assert row.num_addon_services == 2
+    assert row.num_addon_services == 3
     assert row.is_month_to_month == 1
     assert row.high_value_customer == 1
     assert row.internet_service_encoded == 2
-    assert row.payment_method_encoded == 0
-    assert row.charges_per_tenure_month == 60.0
-    assert row.monthly_rate_deviation == 30.0
+    assert row.payment_method_encoded == 1
+    assert row.charges_per_tenure_month == 70.0
+    assert row.monthly_rate_deviation == 14.0
 
 
 def test_contract_and_charge_thresholds(records):
