@@ -195,7 +195,8 @@ def metrics_table(spark: SparkSession, fitted: Fitted) -> DataFrame:
     )
 
 
-def _decision(spark: SparkSession, fitted: Fitted, incumbent_auc, settings: Settings):
+def _decision(spark: SparkSession, fitted: Fitted, incumbent, settings: Settings):
+    """``incumbent`` is the production row, None if nothing is deployed; its AUC may be null."""
     auc = {key: m["roc_auc"] for key, m in fitted.metrics.items()}
     metrics = spark.createDataFrame(
         [
@@ -210,9 +211,8 @@ def _decision(spark: SparkSession, fitted: Fitted, incumbent_auc, settings: Sett
         "segment string, baseline_val_auc double, candidate_val_auc double, "
         "baseline_test_auc double, candidate_test_auc double",
     )
-    incumbents = spark.createDataFrame(
-        [("all", incumbent_auc)], "segment string, production_auc double"
-    )
+    deployed = [] if incumbent is None else [("all", incumbent.test_metrics.roc_auc)]
+    incumbents = spark.createDataFrame(deployed, "segment string, production_auc double")
     return promotion.decide_segments(metrics, incumbents, ["segment"], settings).first()
 
 
@@ -302,9 +302,8 @@ def retrain(customers: DataFrame, store: ModelStore, settings: Settings = Settin
     A rejected attempt is registered too; production stays as it is.
     """
     incumbent = store.production()
-    incumbent_auc = None if incumbent is None else incumbent.test_metrics.roc_auc
     fitted = fit_and_evaluate(customers, settings)
-    decision = _decision(store.spark, fitted, incumbent_auc, settings)
+    decision = _decision(store.spark, fitted, incumbent, settings)
     prefix = "[retrain] " if decision.promoted else ""
     return _store(
         store,
