@@ -116,7 +116,8 @@ def test_ingestion_end_to_end(spark, tmp_path, inbox):
         start_ingestion(ingestion, str(inbox), str(tmp_path / "checkpoint")).awaitTermination()
 
     run()
-    assert ids(ingestion) == {"a": 2, "b": 6, "c": 2}
+    usual = RECORD["tenure_months"]
+    assert ids(ingestion) == {"a": usual, "b": 6, "c": usual}
     assert ingestion.table.read().where("customer_id = 'b'").first().note == "x"
     log = {
         r.source_file.split("/")[-1]: (r.n_rows, r.status, r.missing_columns)
@@ -136,7 +137,7 @@ def test_ingestion_end_to_end(spark, tmp_path, inbox):
 
     write_records(inbox / "5.csv", [{"customer_id": "a", "tenure_months": 9}])
     run()
-    assert ids(ingestion) == {"a": 9, "b": 6, "c": 2}
+    assert ids(ingestion) == {"a": 9, "b": 6, "c": RECORD["tenure_months"]}
 
 
 def test_a_batch_delivered_twice_counts_once(spark, tmp_path, inbox):
@@ -155,7 +156,7 @@ def test_a_lost_stream_checkpoint_loses_and_repeats_nothing(spark, tmp_path, inb
     start_ingestion(ingestion, str(inbox), str(tmp_path / "checkpoint")).awaitTermination()
     write_records(inbox / "2.csv", [{"customer_id": "b"}])
     start_ingestion(ingestion, str(inbox), str(tmp_path / "another")).awaitTermination()
-    assert ids(ingestion) == {"a": 2, "b": 2}
+    assert ids(ingestion) == {"a": RECORD["tenure_months"], "b": RECORD["tenure_months"]}
     log = ingestion.table.commits().orderBy("batch_id").collect()
     assert [(r.batch_id, r.source_file.split("/")[-1]) for r in log] == [(1, "1.csv"), (2, "2.csv")]
 
@@ -192,10 +193,10 @@ def test_crash_before_the_commit_leaves_the_old_version(spark, tmp_path, inbox):
     commit, ingestion.table.commit = ingestion.table.commit, lost
     with pytest.raises(RuntimeError):
         ingestion.run_batch([str(inbox / "2.csv")])
-    assert ids(ingestion) == {"a": 2}
+    assert ids(ingestion) == {"a": RECORD["tenure_months"]}
     ingestion.table.commit = commit
     ingestion.run_batch([str(inbox / "2.csv")])
-    assert ids(ingestion) == {"a": 2, "b": 2}
+    assert ids(ingestion) == {"a": RECORD["tenure_months"], "b": RECORD["tenure_months"]}
 
 
 def test_quarantine_keeps_the_faulty_rows(spark, tmp_path, inbox):
@@ -203,7 +204,7 @@ def test_quarantine_keeps_the_faulty_rows(spark, tmp_path, inbox):
     write_records(path, [{"customer_id": "a"}, {"customer_id": "b", "partner": 7}])
     ingestion = Ingestion(spark, str(tmp_path / "table"), quarantine=str(tmp_path / "bad"))
     ingestion.run_batch([str(path)])
-    assert ids(ingestion) == {"a": 2}
+    assert ids(ingestion) == {"a": RECORD["tenure_months"]}
     bad = spark.read.parquet(str(tmp_path / "bad")).first()
     assert (bad.customer_id, bad.failed_fields) == ("b", ["partner"])
 
