@@ -483,7 +483,9 @@ SELECT customer_id, failed_fields, failed_fields = '' AS is_valid FROM checked""
     "positional_split": f"""WITH {CUSTOMERS}, {PARTS}
 SELECT customer_id, CASE WHEN is_initial THEN 'initial' ELSE 'incoming' END AS part
 FROM placed""",
-    "split_tables": f"WITH {CUSTOMERS}, {PARTS} SELECT {COLUMNS} FROM initial",
+    "split_tables": f"""WITH {CUSTOMERS}, {PARTS}
+SELECT {COLUMNS}, 'initial' AS part FROM initial
+UNION ALL SELECT {COLUMNS}, 'incoming' FROM incoming""",
     "stratified_split": f"""WITH {CUSTOMERS}, {SPLIT}
 SELECT customer_id, churn, split FROM split""",
     "stratified_split_sizes": f"""WITH {CUSTOMERS}, {SPLIT}

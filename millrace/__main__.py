@@ -3,7 +3,7 @@
     telemetry PINGS OUTPUT           summary per vehicle model, busiest vehicles
     prepare RAW OUTPUT               clean raw customers, split 90/10 by position into
                                      OUTPUT/part=initial and OUTPUT/part=incoming
-    ingest TABLE INCOMING CHECKPOINT [--seed DIR] [--quarantine DIR]
+    ingest TABLE INCOMING [--seed DIR] [--quarantine DIR] [--archive DIR] [--files-per-batch N]
     train TABLE MODELS               first training
     retrain TABLE MODELS             train again, replace production if better
     monitor TABLE REPORTS            quality and drift of the latest rows
@@ -31,7 +31,7 @@ from millrace.sources.files import (
     read_telemetry_csv,
 )
 from millrace.sources.tables import VersionedTable
-from millrace.streaming.ingest import start_ingestion
+from millrace.streaming.ingest import ingest_folder
 
 
 def run_telemetry(spark: SparkSession, args) -> None:
@@ -54,7 +54,7 @@ def run_ingest(spark: SparkSession, args) -> None:
     ingestion = Ingestion(spark, args.table, quarantine=args.quarantine)
     if args.seed and ingestion.table.state().version is None:
         ingestion.seed(list_csv(spark, args.seed))
-    start_ingestion(ingestion, args.incoming, args.checkpoint).awaitTermination()
+    ingest_folder(ingestion, args.incoming, args.files_per_batch, args.archive)
     ingestion.table.ingestion_log().show(truncate=False)
 
 
@@ -101,7 +101,7 @@ def run_score(spark: SparkSession, args) -> None:
 JOBS = {
     "telemetry": (run_telemetry, ["pings", "output"]),
     "prepare": (run_prepare, ["raw", "output"]),
-    "ingest": (run_ingest, ["table", "incoming", "checkpoint"]),
+    "ingest": (run_ingest, ["table", "incoming"]),
     "train": (run_train, ["table", "models"]),
     "retrain": (run_retrain, ["table", "models"]),
     "monitor": (run_monitor, ["table", "reports"]),
@@ -122,6 +122,8 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
         if name == "ingest":
             job.add_argument("--seed")
             job.add_argument("--quarantine")
+            job.add_argument("--archive")
+            job.add_argument("--files-per-batch", type=int, default=1000)
         if name == "retrain-check":
             job.add_argument("--days", type=int, default=0)
             job.add_argument("--recent-auc", type=float)

@@ -25,39 +25,23 @@ def keep_last(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return numbered.where("_nth = 1").drop("_nth")
 
 
-# Keys of a batch are broadcast up to this size; larger batches are shuffled.
-BROADCAST_BYTES = 64 * 2**20
-
-
-def _small_enough(keys: DataFrame, key: str, limit: int) -> bool:
-    """Measure the distinct keys: their text plus 64 bytes each for the table."""
-    size = keys.agg(
-        F.count("*").alias("n"),
-        F.coalesce(F.sum(F.octet_length(F.col(key).cast("string"))), F.lit(0)).alias("text"),
-    ).first()
-    return size["text"] + 64 * size["n"] <= limit
-
-
 def merge_latest(
     base: DataFrame,
     batch: DataFrame,
     key: str,
     order: list[str],
     base_keys_unique: bool = False,
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Upsert: rows of ``batch`` replace those of ``base`` with the same key.
 
     ``batch`` must come later in ``order`` than ``base``. Once ``base`` holds
     each key once, only the batch needs deduplication and the base is kept but
-    for its replaced keys. Those keys are measured: while they fit
-    ``broadcast_bytes`` the base is filtered in place, without a shuffle.
+    for its replaced keys. While Spark finds these small enough to broadcast, the
+    base is filtered in place, without a shuffle.
     """
     if not base_keys_unique:
         return keep_last(concat(base, batch), key, order)
     fresh = keep_last(batch, key, order)
     replaced = batch.select(F.col(key).alias("_key")).distinct()
-    if _small_enough(replaced, "_key", broadcast_bytes):
-        replaced = F.broadcast(replaced)
     kept = base.join(replaced, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
     return concat(kept, fresh)

@@ -117,14 +117,26 @@ def drift_report(
     settings: Settings = Settings(),
     groups: Sequence[str] = (),
 ) -> DataFrame:
-    """Mean drift of ``recent`` against ``train`` in training deviations.
+    """:func:`drift_from` the moments of the training rows."""
+    return drift_from(
+        feature_moments(train, list(settings.drift_features)), recent, settings, groups
+    )
+
+
+def drift_from(
+    moments: DataFrame,
+    recent: DataFrame,
+    settings: Settings = Settings(),
+    groups: Sequence[str] = (),
+) -> DataFrame:
+    """Mean drift of ``recent`` against training ``moments`` in training deviations.
 
     One row per feature, and per group of the recent rows if ``groups`` are
     given. No spread scores 0; an undefined score is null and never flagged.
     The flag looks at the unrounded score.
     """
     features = list(settings.drift_features)
-    then = feature_moments(train, features).select(
+    then = moments.select(
         F.col("feature").alias("_feature"),
         F.col("mean").alias("train_mean"),
         F.col("std").alias("train_std"),

@@ -19,8 +19,9 @@ from pyspark.sql import types as T
 
 from millrace.operators.layout import cut_lineage
 
-# A pass returns at most this many ranges (2**bits) per wanted rank, or, once
-# a range holds few rows, its distinct keys.
+# A pass returns at most this many ranges (2**bits) of whole numbers per wanted
+# rank; of texts, as many as there are characters at one place; or, once a range
+# holds few rows, its distinct keys.
 _BITS = 12
 _FEW = 20_000
 
@@ -45,19 +46,21 @@ class _Integers:
     def parent(self, value: int, level: int, coarser: int) -> int:
         return value >> (coarser - level)
 
-    def finer(self, level: int) -> int:
+    def finer(self, level: int, spans: list[tuple]) -> int:
         return max(level - _BITS, 0)
 
 
+def _shared(low: str, high: str) -> int:
+    """Length of the common start."""
+    return next((i for i, (a, b) in enumerate(zip(low, high)) if a != b), min(len(low), len(high)))
+
+
 class _Texts:
-    """Ranges of strings: the leading characters."""
+    """Ranges of strings: the leading characters, one more than a range shares."""
 
     def __init__(self, low: str, high: str, longest: int):
         self.exact = longest
-        shared = 0
-        while shared < min(len(low), len(high)) and low[shared] == high[shared]:
-            shared += 1
-        self.first = min(shared + 1, longest)
+        self.first = min(_shared(low, high) + 1, longest)
 
     def range_of(self, key: str, level: int) -> Column:
         return F.col(key) if level == self.exact else F.substring(key, 1, level)
@@ -65,8 +68,8 @@ class _Texts:
     def parent(self, value: str, level: int, coarser: int) -> str:
         return value[:coarser]
 
-    def finer(self, level: int) -> int:
-        return min(level + 1, self.exact)
+    def finer(self, level: int, spans: list[tuple]) -> int:
+        return min(min(_shared(low, high) for low, high in spans) + 1, self.exact)
 
 
 def _any(conditions: Sequence[Column]) -> Column:
@@ -123,6 +126,7 @@ def _locate(
     coarser = None
     # per target: chosen range, rank still to go inside it, rows inside it
     state = {target: (None, target[1], limits[target[0]].n) for target in wanted}
+    span: dict[tuple, tuple] = {}
     while True:
         scope = rows
         if coarser is not None:
@@ -136,23 +140,28 @@ def _locate(
                     ]
                 )
             )
-        counted = scope.groupBy("_group", ranges.range_of(key, level).alias("_range")).count()
+        counted = scope.groupBy("_group", ranges.range_of(key, level).alias("_range")).agg(
+            F.count("*").alias("n"), F.min(key).alias("low"), F.max(key).alias("high")
+        )
         per_group = defaultdict(list)
         for row in counted.collect():
-            per_group[row["_group"]].append((row["_range"], row["count"]))
+            per_group[row["_group"]].append((row["_range"], row.n, row.low, row.high))
         for target, (at, togo, _) in state.items():
-            for value, n in sorted(per_group[target[0]]):
+            for value, n, low, high in sorted(per_group[target[0]]):
                 if coarser is not None and ranges.parent(value, level, coarser) != at:
                     continue
                 if togo <= n:
                     state[target] = (value, togo, n)
+                    span[target] = (low, high)
                     break
                 togo -= n
-        if level == ranges.exact:
-            return state
+        open_spans = [(low, high) for low, high in span.values() if low != high]
+        if not open_spans:
+            # Each chosen range is a single key.
+            return {t: (span[t][0], togo, n) for t, (_, togo, n) in state.items()}
         coarser = level
         inside = max(n for _, _, n in state.values())
-        level = ranges.exact if inside <= _FEW else ranges.finer(level)
+        level = ranges.exact if inside <= _FEW else ranges.finer(level, open_spans)
 
 
 def rank_cuts(

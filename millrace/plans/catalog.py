@@ -32,7 +32,7 @@ from millrace.sources.files import (
     split_by_header,
 )
 from millrace.sources.tables import VersionedTable
-from millrace.streaming.ingest import start_ingestion
+from millrace.streaming.ingest import ingest_folder
 from millrace.streaming.monitoring import start_monitoring
 from millrace.streaming.scoring import incoming_records, start_quarantine, start_scoring
 
@@ -208,8 +208,7 @@ def split_tables(spark, folder):
     customers = views.customers(spark, folder).select(*schemas.CUSTOMER_COLUMNS, "c_custkey")
     split = ranks.positional_split(customers, ["c_custkey"], 0.9).drop("c_custkey")
     layout.write_split(split, path, form="parquet")
-    initial = spark.read.parquet(f"{path}/part=initial")
-    return initial.select(*schemas.CUSTOMER_COLUMNS)
+    return spark.read.parquet(path).select(*schemas.CUSTOMER_COLUMNS, "part")
 
 
 def _portable_hash(name: str):
@@ -303,14 +302,14 @@ def _ingested(spark: SparkSession, folder: str) -> Ingestion:
     ingestion.seed(list_csv(spark, seed))
 
     inbox = _write_csv(incoming.select(*columns), f"{root}/inbox")
-    start_ingestion(ingestion, inbox, f"{root}/checkpoint").awaitTermination()
+    ingest_folder(ingestion, inbox)
     # The second round has columns in another order and one file lacking a column.
     _write_csv(corrected.select(*reversed(columns)), inbox)
     renamed = incoming.select(*columns).withColumnRenamed("contract_type", "contract")
     _write_csv(renamed, inbox)
-    start_ingestion(ingestion, inbox, f"{root}/checkpoint").awaitTermination()
+    ingest_folder(ingestion, inbox)
     # Nothing new: a further run changes nothing.
-    start_ingestion(ingestion, inbox, f"{root}/checkpoint").awaitTermination()
+    ingest_folder(ingestion, inbox)
     return ingestion
 
 
@@ -351,7 +350,7 @@ def header_check(spark, folder):
         F.count("contract_type").alias("n_contracts"),
     )
     bad = spark.createDataFrame(
-        [(path, ",".join(missing)) for path, missing in rejected.items()],
+        [(file.path, ",".join(missing)) for file, missing in rejected.items()],
         "source_file string, missing_columns string",
     ).groupBy(export, F.lit("rejected").alias("status"), "missing_columns").agg(
         F.lit(0).cast("long").alias("n_rows"), F.lit(0).cast("long").alias("n_contracts")

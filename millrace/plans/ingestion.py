@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import schemas
@@ -26,9 +26,10 @@ class Ingestion:
     """Appends batches of files to a table, keeping the last row per customer.
 
     All files of a batch are checked before anything is written. A file lacking
-    a required column is left out and logged; the others go in together. A file
-    in the log is never taken again, so a stream may deliver a batch twice and
-    may even lose its checkpoint. Batch 0 is the seed.
+    a required column is left out and logged; the others go in together. Files
+    are known to the log by path, modification time and length: the same file
+    counts once however often it is delivered, while a corrected file and other
+    contents under a used name are taken. Batch 0 is the seed.
 
     ``quarantine`` names a folder for rows outside the record domain; without
     it every row of an accepted file enters the table.
@@ -51,16 +52,22 @@ class Ingestion:
         found = csv_files.open_headers(self.spark, paths)
         _, rejected = csv_files.split_by_header(found, required_columns(self.settings))
         if rejected:
-            raise ValueError(f"missing required columns: {rejected}")
+            gaps = {file.path: missing for file, missing in rejected.items()}
+            raise ValueError(f"missing required columns: {gaps}")
         self._ingest(found, {}, 0, self.table.state(), merge=False)
 
+    def unknown(self, files: DataFrame) -> DataFrame:
+        """Those of the listed files that the log does not know."""
+        logged = self.table.commits().select(*csv_files.IDENTITY).distinct()
+        return files.join(logged, list(csv_files.IDENTITY), "left_anti")
+
     def run_batch(self, paths: list[str]) -> None:
         """Ingest those of the files that the log does not know yet, as one batch."""
         if not paths:
             return
-        commits = self.table.commits().where(F.col("source_file").isin(paths))
-        done = {row.source_file for row in commits.select("source_file").collect()}
-        paths = [path for path in paths if path not in done]
+        fresh = self.unknown(csv_files.listed(self.spark, paths, "*"))
+        # Names of the caller's own list.
+        paths = [row.source_file for row in fresh.select("source_file").collect()]
         if not paths:
             return
         state = self.table.state()
@@ -71,13 +78,15 @@ class Ingestion:
     def _ingest(
         self,
         found: list[csv_files.CsvFile],
-        rejected: dict,
+        rejected: dict[csv_files.CsvFile, list[str]],
         batch_id: int,
         state: TableState,
         merge: bool,
     ) -> None:
         version, keys_unique = state.version, state.keys_unique
-        log = self._log([(path, None, "rejected", gap) for path, gap in sorted(rejected.items())])
+        log = self._log(
+            [(f.path, f.modified, f.length, None, "rejected", gap) for f, gap in rejected.items()]
+        )
         if found:
             rows = csv_files.read_csv_by_name(self.spark, found, schemas.CUSTOMER)
             rows = rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
@@ -121,27 +130,22 @@ class Ingestion:
 
     def _log(self, rows: list[tuple]) -> DataFrame:
         return self.spark.createDataFrame(
-            rows, "source_file string, n_rows long, status string, missing_columns array<string>"
+            rows,
+            "source_file string, modified timestamp, length long, n_rows long, status string, "
+            "missing_columns array<string>",
         )
 
     def _accepted_log(self, rows: DataFrame, found: list[csv_files.CsvFile]) -> DataFrame:
         """Rows per accepted file; a file with nothing but a header counts 0."""
         counts = rows.groupBy("source_file").agg(F.count("*").alias("n"))
         names = self.spark.createDataFrame(
-            [(file.path, file.uri) for file in found], "source_file string, uri string"
+            [(file.path, file.modified, file.length, file.uri) for file in found],
+            "source_file string, modified timestamp, length long, uri string",
         )
-        return names.join(
-            counts.select(_one_slash("source_file").alias("key"), "n"),
-            F.col("key") == _one_slash("uri"),
-            "left",
-        ).select(
-            "source_file",
+        counts = counts.withColumnRenamed("source_file", "uri")
+        return names.join(counts, "uri", "left").select(
+            *csv_files.IDENTITY,
             F.coalesce("n", F.lit(0)).alias("n_rows"),
             F.lit("ingested").alias("status"),
             F.lit(None).cast("array<string>").alias("missing_columns"),
         )
-
-
-def _one_slash(column: str) -> Column:
-    """Spark writes a scheme with one slash or three, depending on where one asks."""
-    return F.regexp_replace(column, ":/+", ":/")

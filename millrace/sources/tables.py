@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
@@ -19,6 +20,9 @@ COMMITS = T.StructType(
         T.StructField("status", T.StringType()),
         T.StructField("missing_columns", T.ArrayType(T.StringType())),
         T.StructField("keys_unique", T.BooleanType()),
+        T.StructField("modified", T.TimestampType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("folder", T.StringType()),
     ]
 )
 
@@ -56,21 +60,23 @@ class VersionedTable:
     """A table replaced as a whole: each version is a folder, readers see one.
 
     Spark cannot overwrite what it is reading, so a new version is written
-    beside the old one. It becomes current when its commit rows land: they are
-    one small file, moved into place in a single rename, holding the ingestion
-    log of the batch as well. A crash before that leaves the old version
-    current; the batch is then simply done again. There is one writer.
-
-    The last ``keep`` versions stay readable; their folders are reused in turn,
-    so storage stays bounded.
+    beside the old one, in a fresh folder that its commit rows name. It becomes
+    current when they land: they are one small file, moved into place in a single
+    rename, holding the ingestion log of the batch as well. A crash before that
+    leaves every version as it was; the batch is then simply done again. There is
+    one writer.
+
+    The last ``keep`` versions stay readable. Each commit deletes the folders of
+    older ones and those that were never committed, so storage stays bounded.
     """
 
     def __init__(self, spark: SparkSession, path: str, keep: int = 3):
-        if keep < 2:
-            raise ValueError("the current and the next version need a folder each")
+        if keep < 1:
+            raise ValueError("the current version is kept at least")
         self.spark = spark
         self.path = path.rstrip("/")
         self.keep = keep
+        self._fresh: tuple[int, str] | None = None
 
     def commits(self) -> DataFrame:
         return read_or_empty(self.spark, f"{self.path}/commits", COMMITS)
@@ -85,22 +91,29 @@ class VersionedTable:
             row.version, bool(row.keys_unique), -1 if row.batch_id is None else row.batch_id
         )
 
-    def _folder(self, version: int) -> str:
-        return f"{self.path}/data/slot{version % self.keep}"
+    def _kept(self) -> dict[int, str]:
+        """The folder of each readable version; at most ``keep`` rows."""
+        commits = self.commits().where("folder is not null")
+        newest = commits.groupBy("version").agg(F.max_by("folder", "batch_id").alias("folder"))
+        rows = newest.orderBy(F.desc("version")).limit(self.keep).collect()
+        return {row.version: row.folder for row in rows}
 
     def read(self, version: int | None = None) -> DataFrame:
-        current = self.state().version
-        if current is None:
+        kept = self._kept()
+        if not kept:
             raise ValueError(f"nothing committed yet in {self.path}")
+        current = max(kept)
         version = current if version is None else version
-        if not current - self.keep < version <= current:
+        if version not in kept:
             raise ValueError(f"version {version} is not kept; the current one is {current}")
-        return self.spark.read.parquet(self._folder(version))
+        return self.spark.read.parquet(f"{self.path}/data/{kept[version]}")
 
     def write_version(self, df: DataFrame, version: int) -> DataFrame:
         """Write a version that is not current yet; the result reads it back."""
-        df.write.mode("overwrite").parquet(self._folder(version))
-        return self.spark.read.parquet(self._folder(version))
+        self._fresh = (version, f"v{version}-{uuid.uuid4().hex}")
+        path = f"{self.path}/data/{self._fresh[1]}"
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
 
     def stage(self, df: DataFrame) -> DataFrame:
         """Write a batch beside the table once, to be read several times."""
@@ -110,9 +123,27 @@ class VersionedTable:
 
     def commit(self, log_rows: DataFrame) -> None:
         """Append the commit rows (one per file); this switches readers over."""
-        log_rows.select(*COMMITS.names).coalesce(1).write.mode("append").parquet(
-            f"{self.path}/commits"
-        )
+        version, folder = self._fresh or (-1, None)
+        named = F.when(F.col("version") == version, F.lit(folder).cast("string"))
+        given = {"folder": named}
+        for name in ("modified", "length"):
+            if name not in log_rows.columns:
+                given[name] = F.lit(None).cast(COMMITS[name].dataType)
+        log_rows.withColumns(given).select(*COMMITS.names).coalesce(1).write.mode(
+            "append"
+        ).parquet(f"{self.path}/commits")
+        if folder:
+            self._fresh = None
+            self._delete_outdated()
+
+    def _delete_outdated(self) -> None:
+        kept = set(self._kept().values())
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        data = hadoop(f"{self.path}/data")
+        system = data.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        for entry in system.listStatus(data):
+            if entry.getPath().getName() not in kept:
+                system.delete(entry.getPath(), True)
 
     def ingestion_log(self) -> DataFrame:
         """What was ingested or rejected, and when."""

@@ -2,55 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
-
 from millrace.plans.ingestion import Ingestion
+from millrace.sources.files import listed
 
 #: Longer than any file is old, so that a file delivered late is not passed over.
 ANY_AGE = "36500d"
 
-_FILE = "path string, modificationTime timestamp, length long, content binary"
-
 
-def new_files(
-    spark: SparkSession, folder: str, files_per_batch: int = 1000, archive: str | None = None
-) -> DataFrame:
-    """A stream of new ``*.csv`` paths directly in ``folder``.
+def ingest_folder(
+    ingestion: Ingestion, folder: str, files_per_batch: int = 1000, archive: str | None = None
+) -> int:
+    """Take in every ``*.csv`` directly in ``folder`` that the log does not know.
 
-    Only names flow: the content column is pruned, so no file is opened here.
-    The checkpoint of the stream remembers which files were seen. Names
-    starting with an underscore are skipped. ``archive`` moves done files.
+    A file stream remembers paths, so it would pass over a corrected file and new
+    contents under a used name; here the folder is listed and joined with the
+    log, which is the only memory. Batches follow path order and hold at most
+    ``files_per_batch`` files; all are taken. Names starting with an underscore
+    are skipped. ``archive`` names a folder to which the files of a batch are
+    moved after its commit, below the number of the batch. Returns the number of
+    batches.
     """
-    reader = (
-        spark.readStream.format("binaryFile")
-        .schema(_FILE)
-        .option("pathGlobFilter", "*.csv")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .option("maxFileAge", ANY_AGE)
-    )
-    if archive:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return reader.load(folder).select("path")
-
-
-def start_ingestion(
-    ingestion: Ingestion,
-    folder: str,
-    checkpoint: str,
-    files_per_batch: int = 1000,
-    archive: str | None = None,
-) -> StreamingQuery:
-    """Take in everything new and stop; run again for what came later."""
-
-    def ingest(paths: DataFrame, epoch: int) -> None:
-        # File names only, at most files_per_batch of them.
-        ingestion.run_batch([row.path for row in paths.collect()])
-
-    return (
-        new_files(ingestion.spark, folder, files_per_batch, archive)
-        .writeStream.foreachBatch(ingest)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    batches = 0
+    while True:
+        fresh = ingestion.unknown(listed(ingestion.spark, folder)).select("source_file")
+        rows = fresh.orderBy("source_file").limit(files_per_batch).collect()
+        if not rows:
+            return batches
+        paths = [row.source_file for row in rows]
+        ingestion.run_batch(paths)
+        batches += 1
+        if archive:
+            _move(ingestion, paths, f"{archive.rstrip('/')}/{ingestion.table.state().batch_id}")
+
+
+def _move(ingestion: Ingestion, paths: list[str], folder: str) -> None:
+    context = ingestion.spark.sparkContext
+    hadoop = context._jvm.org.apache.hadoop.fs.Path
+    target = hadoop(folder)
+    system = target.getFileSystem(context._jsc.hadoopConfiguration())
+    system.mkdirs(target)
+    for path in paths:
+        source = hadoop(path)
+        if not system.rename(source, hadoop(target, source.getName())):
+            raise OSError(f"{path} could not be moved to {folder}")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.quality import drift_report, quality_report
+from millrace.operators.quality import drift_from, feature_moments, quality_report
 from millrace.settings import Settings
 from millrace.sources.tables import write_batch
 
@@ -20,17 +20,22 @@ def start_monitoring(
 ) -> StreamingQuery:
     """Write ``drift`` and ``quality`` rows per batch below ``output``.
 
-    A batch delivered twice overwrites its own folder.
+    A batch delivered twice overwrites its own folder. The training rows are read
+    once, when the stream starts; a batch is read once for both reports.
     """
+    moments = feature_moments(train, list(settings.drift_features))
+    # One row per configured feature.
+    moments = train.sparkSession.createDataFrame(moments.collect(), moments.schema)
 
     def report(batch: DataFrame, epoch: int) -> None:
-        write_batch(
-            drift_report(train, batch, settings).coalesce(1), f"{output}/drift", epoch
-        )
+        batch.persist()
+        drift = drift_from(moments, batch, settings)
+        write_batch(drift.coalesce(1), f"{output}/drift", epoch)
         quality = quality_report(batch, settings).withColumn(
             "issues", F.coalesce("issues", F.array().cast("array<string>"))
         )
         write_batch(quality.coalesce(1), f"{output}/quality", epoch)
+        batch.unpersist()
 
     return (
         records.writeStream.foreachBatch(report)

@@ -41,7 +41,7 @@ def test_customer_jobs(spark, tmp_path, quick, capsys):
     assert initial.count() == 1350
     assert initial.agg(F.max(F.substring("customer_id", 2, 9).cast("int"))).first()[0] == 1349
 
-    ingest = ["ingest", path("table"), path("clean/part=incoming"), path("checkpoint")]
+    ingest = ["ingest", path("table"), path("clean/part=incoming")]
     main([*ingest, "--seed", path("clean/part=initial")])
     main(ingest)
     table = VersionedTable(spark, path("table"))

@@ -1,5 +1,4 @@
 import csv
-import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +9,7 @@ from millrace.plans import views
 from millrace.plans.ingestion import Ingestion
 from millrace.sources.files import list_csv, read_raw_customers, read_telemetry_csv
 from millrace.sources.tables import VersionedTable, latest, read_or_empty, write_batch
-from millrace.streaming.ingest import start_ingestion
+from millrace.streaming.ingest import ingest_folder
 from tests.conftest import RECORD
 
 ROWS = "id string, v int, b int, n int"
@@ -68,8 +67,13 @@ def test_incremental_merge_does_not_shuffle_the_base(spark, tmp_path):
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
     # Too many keys to broadcast: the same rows by a shuffle.
-    large = merge_latest(base, batch, "id", ["b", "n"], True, broadcast_bytes=10)
-    assert rows_of(large) == rows_of(merged)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = merge_latest(base, batch, "id", ["b", "n"], base_keys_unique=True)
+        assert rows_of(large) == rows_of(merged)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
 def write_records(path, records, rename=None, order=None, extra=None):
@@ -113,7 +117,7 @@ def test_ingestion_end_to_end(spark, tmp_path, inbox):
     (inbox / "readme.txt").write_text("not a table")
 
     def run():
-        start_ingestion(ingestion, str(inbox), str(tmp_path / "checkpoint")).awaitTermination()
+        ingest_folder(ingestion, str(inbox))
 
     run()
     usual = RECORD["tenure_months"]
@@ -150,12 +154,12 @@ def test_a_batch_delivered_twice_counts_once(spark, tmp_path, inbox):
     assert ingestion.table.commits().count() == 1
 
 
-def test_a_lost_stream_checkpoint_loses_and_repeats_nothing(spark, tmp_path, inbox):
+def test_another_run_loses_and_repeats_nothing(spark, tmp_path, inbox):
     ingestion = Ingestion(spark, str(tmp_path / "table"))
     write_records(inbox / "1.csv", [{"customer_id": "a"}])
-    start_ingestion(ingestion, str(inbox), str(tmp_path / "checkpoint")).awaitTermination()
+    ingest_folder(ingestion, str(inbox))
     write_records(inbox / "2.csv", [{"customer_id": "b"}])
-    start_ingestion(ingestion, str(inbox), str(tmp_path / "another")).awaitTermination()
+    ingest_folder(ingestion, str(inbox))
     assert ids(ingestion) == {"a": RECORD["tenure_months"], "b": RECORD["tenure_months"]}
     log = ingestion.table.commits().orderBy("batch_id").collect()
     assert [(r.batch_id, r.source_file.split("/")[-1]) for r in log] == [(1, "1.csv"), (2, "2.csv")]
@@ -165,20 +169,10 @@ def test_done_files_can_be_archived(spark, tmp_path, inbox):
     ingestion = Ingestion(spark, str(tmp_path / "table"))
     for number, name in enumerate(("1.csv", "2.csv", "3.csv")):
         write_records(inbox / name, [{"customer_id": name, "tenure_months": number}])
-        start_ingestion(
-            ingestion,
-            str(inbox),
-            str(tmp_path / "checkpoint"),
-            files_per_batch=1,
-            archive=str(tmp_path / "done"),
-        ).awaitTermination()
+        ingest_folder(ingestion, str(inbox), files_per_batch=1, archive=str(tmp_path / "done"))
     assert ids(ingestion) == {"1.csv": 0, "2.csv": 1, "3.csv": 2}
-    # A file is moved once the batch after its own is under way.
-    for _ in range(50):
-        if list((tmp_path / "done").rglob("1.csv")):
-            break
-        time.sleep(0.2)
-    assert list((tmp_path / "done").rglob("1.csv"))
+    assert [p.name for p in sorted((tmp_path / "done").rglob("*.csv"))] == ["1.csv", "2.csv", "3.csv"]
+    assert not list(inbox.glob("*.csv"))
 
 
 def test_crash_before_the_commit_leaves_the_old_version(spark, tmp_path, inbox):
