@@ -483,6 +483,17 @@ SELECT customer_id, failed_fields, failed_fields = '' AS is_valid FROM checked""
     "positional_split": f"""WITH {CUSTOMERS}, {PARTS}
 SELECT customer_id, CASE WHEN is_initial THEN 'initial' ELSE 'incoming' END AS part
 FROM placed""",
+    "positional_split_text": f"""WITH {CUSTOMERS},
+named AS (SELECT customer_id, c_custkey, 'store:/exports/of/customers/by/part-0000'
+     || CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE c_custkey % 5 END || '-of-many.csv' AS path
+   FROM customers)
+SELECT customer_id, path, CASE WHEN row_number() OVER (ORDER BY path, c_custkey) <=
+     CAST(floor(count(*) OVER () * CAST('0.9' AS DOUBLE)) AS BIGINT)
+   THEN 'initial' ELSE 'incoming' END AS part
+FROM named""",
+    "csv_loose_numbers": f"""WITH {CUSTOMERS}
+SELECT customer_id, CASE WHEN c_custkey % 5 < 2 THEN tenure_months END AS tenure_months
+FROM customers""",
     "split_tables": f"""WITH {CUSTOMERS}, {PARTS}
 SELECT {COLUMNS}, 'initial' AS part FROM initial
 UNION ALL SELECT {COLUMNS}, 'incoming' FROM incoming""",

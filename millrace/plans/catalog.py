@@ -202,6 +202,21 @@ def positional_split(spark, folder):
     return ranks.positional_split(customers, ["c_custkey"], 0.9).drop("c_custkey")
 
 
+@query
+def positional_split_text(spark, folder):
+    """Order by a long path that a third of all rows or more share, then by number."""
+    customers = views.customers(spark, folder).select(
+        "customer_id",
+        "c_custkey",
+        F.concat(
+            F.lit("store:/exports/of/customers/by/part-0000"),
+            F.when(F.col("c_custkey") % 3 == 0, 1).otherwise(F.col("c_custkey") % 5),
+            F.lit("-of-many.csv"),
+        ).alias("path"),
+    )
+    return ranks.positional_split(customers, ["path", "c_custkey"], 0.9).drop("c_custkey")
+
+
 @query
 def split_tables(spark, folder):
     path = scratch_path(spark, "split")
@@ -358,6 +373,26 @@ def header_check(spark, folder):
     return good.unionByName(bad)
 
 
+@query
+def csv_loose_numbers(spark, folder):
+    """Whole numbers as other tools write them: "7.0", " 7 ", "7.5", "abc", blank."""
+    path = scratch_path(spark, "loose-numbers")
+    tenure = F.col("tenure_months").cast("string")
+    kind = F.col("c_custkey") % 5
+    views.customers(spark, folder).select(
+        "customer_id",
+        F.when(kind == 0, F.concat(tenure, F.lit(".0")))
+        .when(kind == 1, F.concat(F.lit(" "), tenure, F.lit(" ")))
+        .when(kind == 2, F.concat(tenure, F.lit(".5")))
+        .when(kind == 3, F.lit("abc"))
+        .alias("tenure_months"),
+    ).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False
+    ).csv(path)
+    found = open_headers(spark, list_csv(spark, path))
+    return read_csv_by_name(spark, found, schemas.CUSTOMER).select("customer_id", "tenure_months")
+
+
 @query
 def table_round_trip(spark, folder):
     table = VersionedTable(spark, scratch_path(spark, "round-trip"))

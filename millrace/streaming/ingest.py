@@ -18,7 +18,7 @@ def ingest_folder(
     contents under a used name; here the folder is listed and joined with the
     log, which is the only memory. Batches follow path order and hold at most
     ``files_per_batch`` files; all are taken. Names starting with an underscore
-    are skipped. ``archive`` names a folder to which the files of a batch are
+    are skipped, and a file of no bytes is passed over until it has some. ``archive`` names a folder to which the files of a batch are
     moved after its commit, below the number of the batch. Returns the number of
     batches.
     """

@@ -1,3 +1,4 @@
+import os
 import csv
 
 import pytest
@@ -269,3 +270,55 @@ def test_raw_customers_by_name_with_an_unused_column(spark, folder, tmp_path):
     back = read_raw_customers(spark, str(tmp_path / "raw"))
     assert rows_of(back.select(*raw.columns)) == rows_of(raw)
     assert "gender" in back.columns
+
+
+def test_corrected_renewed_and_late_files_are_taken(spark, tmp_path, inbox):
+    ingestion = Ingestion(spark, str(tmp_path / "table"))
+    usual = RECORD["tenure_months"]
+    write_records(inbox / "a.csv", [{"customer_id": "a"}])
+    write_records(inbox / "b.csv", [{"customer_id": "b"}], rename={"contract_type": "contract"})
+    ingest_folder(ingestion, str(inbox))
+    assert ids(ingestion) == {"a": usual}
+
+    # A corrected file, new contents under a used name, and a file a month old.
+    write_records(inbox / "b.csv", [{"customer_id": "b"}])
+    write_records(inbox / "a.csv", [{"customer_id": "d"}, {"customer_id": "a", "tenure_months": 3}])
+    write_records(inbox / "old.csv", [{"customer_id": "l"}])
+    month_ago = (inbox / "old.csv").stat().st_mtime - 30 * 86_400
+    os.utime(inbox / "old.csv", (month_ago, month_ago))
+    ingest_folder(ingestion, str(inbox))
+    assert ids(ingestion) == {"a": 3, "b": usual, "d": usual, "l": usual}
+
+    commits = ingestion.table.commits().count()
+    assert ingest_folder(ingestion, str(inbox)) == 0
+    assert ingestion.table.commits().count() == commits == 5
+
+
+def test_an_uncommitted_write_changes_no_readable_version(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), keep=2)
+    log = "ingested_at timestamp, source_file string, n_rows long, status string, missing_columns array<string>"
+    for version in range(3):
+        table.write_version(spark.createDataFrame([(version,)], "v int"), version)
+        rows = spark.createDataFrame([(None, "f", 1, "ingested", None)], log)
+        table.commit(
+            rows.selectExpr("*", f"{version}L AS version", f"{version}L AS batch_id", "true AS keys_unique")
+        )
+    table.write_version(spark.createDataFrame([(3,)], "v int"), 3)
+    assert [table.read(n).first().v for n in (1, 2)] == [1, 2]
+    assert table.read().first().v == 2
+
+
+def test_a_blank_file_is_rejected_and_an_empty_one_waits(spark, tmp_path, inbox):
+    (inbox / "none.csv").write_text("")
+    (inbox / "blank.csv").write_text("\n")
+    ingestion = Ingestion(spark, str(tmp_path / "table"))
+    ingest_folder(ingestion, str(inbox))
+    assert [r.status for r in ingestion.table.commits().collect()] == ["rejected"]
+
+
+def test_telemetry_columns_in_any_order_with_extras(spark, tmp_path):
+    names = [*reversed(schemas.TELEMETRY.names), "note"]
+    values = ["2.5", "0.9", "1.0", "1.0", "1.0", "80.5", "2024-01-01T00:00:00", "M", "V1", "x"]
+    (tmp_path / "t.csv").write_text(",".join(names) + "\n" + ",".join(values) + "\n")
+    row = read_telemetry_csv(spark, str(tmp_path / "t.csv")).first()
+    assert (row.engine_temp_c, row.vehicle_id, row.miles_driven) == (80.5, "V1", 2.5)

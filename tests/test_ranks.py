@@ -130,3 +130,17 @@ def test_recent_rows_prunes_by_the_order_key(spark, tmp_path):
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(id,93)" in plan
     assert recent.count() == 7
+
+
+def test_long_shared_paths_take_few_passes(spark, monkeypatch):
+    name = F.concat(F.lit("store:/a/long/folder/of/exports/part-"), F.col("id") % 4, F.lit("-x.csv"))
+    df = spark.range(200_000).select(name.alias("path"), "id")
+    passes = []
+    finer = ranks._Texts.finer
+    monkeypatch.setattr(ranks._Texts, "finer", lambda *a: passes.append(1) or finer(*a))
+    split = ranks.positional_split(df, ["path", "id"], 0.9)
+    assert len(passes) <= 8
+    initial = split.where("part = 'initial'")
+    assert initial.count() == 180_000
+    # 150,000 rows stand in the first three paths, so the cut is inside the fourth.
+    assert initial.where("path like '%-3-x.csv'").agg(F.max("id")).first()[0] == 4 * 30_000 - 1
