@@ -50,15 +50,17 @@ def word_blocks(texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, np.nd
     rows: list[int] = []
     values: list[int] = []
     for row, text in enumerate(texts):
-        for n, piece in enumerate(_pieces((text or "").lower())):
+        # The last two words of this text's blocks; it may have none so far.
+        tail: list[int] = []
+        for piece in _pieces((text or "").lower()):
             found = [_hash(w) for w in _WORD.findall(piece)]
-            if n and not values:
-                found = tail + found
+            if found and tail:
+                found, tail = tail + found, []
             values += found
             rows += [row] * len(found)
             if len(values) >= _BLOCK_WORDS:
                 yield np.array(rows, np.int64), np.array(values, np.uint64)
-                tail = values[-2:] if rows[-1] == row else []
+                tail = [v for r, v in zip(rows[-2:], values[-2:]) if r == row]
                 rows, values = [], []
     if values:
         yield np.array(rows, np.int64), np.array(values, np.uint64)

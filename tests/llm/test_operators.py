@@ -18,6 +18,7 @@ from tokenizers import Tokenizer
 from millrace.llm import (
     components,
     exact,
+    hashed,
     lookup_sketch,
     mixing,
     packing,
@@ -409,3 +410,18 @@ def test_chains_and_alignment_match_plain():
             for j in range(25):
                 table[i + 1, j + 1] = table[i, j] + 1 if x[i] == y[j] else max(table[i, j + 1], table[i + 1, j])
         assert passages.common_words(x, y) == table[-1, -1]
+
+
+# --- words in blocks
+
+
+def test_text_that_starts_without_words():
+    blank = "--- " * (3 << 18)
+    for texts in ([blank + "one two three"], ["a b c " * 60_000, blank + "one two"]):
+        got = [(r, w) for rows, values in hashed.word_blocks(texts) for r, w in zip(rows.tolist(), values.tolist())]
+        plain = [(n, xxhash.xxh64_intdigest(w)) for n, t in enumerate(texts) for w in re.findall(r"\w+", t)]
+        assert got == plain
+    # A block ended by an earlier text leaves nothing to the next one.
+    texts = ["a b " * 140_000, "-" * (1 << 20) + " one two " * 3]
+    rows = np.concatenate([r for r, _ in hashed.word_blocks(texts)])
+    assert (rows == 1).sum() == 6
