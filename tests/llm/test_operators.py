@@ -412,6 +412,63 @@ def test_chains_and_alignment_match_plain():
         assert passages.common_words(x, y) == table[-1, -1]
 
 
+def made_words(rng, n, size=30_000):
+    return [f"w{x}" for x in rng.integers(0, size, n)]
+
+
+def test_passage_of_frequent_lines_is_found(spark):
+    rng = np.random.default_rng(5)
+    lines = [made_words(rng, 25) for _ in range(3)]
+    texts = [made_words(rng, 30) + sum(lines, []) + made_words(rng, 30)]
+    texts += [made_words(rng, 40) + lines[n % 3] + made_words(rng, 40) for n in range(300)]
+    texts += [made_words(rng, 50) + sum(lines, []) + made_words(rng, 10)]
+    rows = [(n, " ".join(t)) for n, t in enumerate(texts)]
+    got = {r.doc_id: r for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    last = len(texts) - 1
+    assert got[0].class_id == got[last].class_id == 0
+    assert got[0].n_links == got[last].n_links == 1
+    assert got[0].n_repeated >= 75 and got[last].n_repeated >= 75
+    assert all(got[n].n_links == 0 for n in range(1, last))
+
+
+def test_common_places_and_stretches_match_plain():
+    rng = np.random.default_rng(3)
+    for _ in range(30):
+        x, y = rng.integers(0, 6, 40), rng.integers(0, 6, 35)
+        p, q = passages.common_places(x, y)
+        assert (x[p] == y[q]).all() and (np.diff(p) > 0).all() and (np.diff(q) > 0).all()
+        assert len(p) == passages.common_words(x, y)
+    s = passages.Settings(least_words=4)
+    for _ in range(30):
+        p, q = (np.cumsum(rng.integers(1, 3, 20)) for _ in range(2))
+        best = max(
+            [v - u + 1 for u in range(20) for v in range(u + 3, 20)
+             if v - u + 1 >= 0.8 * (max(p[v] - p[u], q[v] - q[u]) + 1) - 1e-9], default=0,
+        )
+        u, v = passages.longest_similar(p, q, s)
+        assert v - u + 1 == best
+
+
+def test_frequent_keys_pair_across_batches():
+    import pandas as pd
+
+    s = passages.Settings(pairs_upto=4, reach=2)
+    rng = np.random.default_rng(1)
+    sizes = [1, 4, 9, 2, 12, 3, 5]
+    rows = [(k, b"", int(t), 7, 7) for k, n in enumerate(sizes) for t in rng.permutation(100)[:n]]
+    want = Counter()
+    for k, n in enumerate(sizes):
+        tids = [r[2] for r in rows if r[0] == k]
+        for i in range(n):
+            for j in range(i + 1, n if n <= 4 else min(n, i + 3)):
+                want[tuple(sorted((tids[i], tids[j])))] += 1
+    table = pd.DataFrame(rows, columns=["key", "ctx", "tid", "place", "place2"])
+    for step in (3, 6, 100):
+        parts = [table[at : at + step] for at in range(0, len(table), step)]
+        got = pd.concat(list(passages.paired(iter(parts), s)))
+        assert Counter(zip(got.tid, got.other)) == want, step
+
+
 # --- words in blocks
 
 
