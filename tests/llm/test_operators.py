@@ -120,6 +120,24 @@ def test_simhash_components(docs, rows, nothing, errors):
     assert simhash.near_duplicates(nothing).count() == 0
 
 
+def test_near_copies_equal_brute_force(spark):
+    rng = np.random.default_rng(8)
+    texts = []
+    for n in range(40):
+        one = [f"w{x}" for x in rng.integers(0, 9999, 200)]
+        texts.append(one)
+        # Jaccard of about 0.95 down to 0.6.
+        texts.append([f"x{i}" if i % 200 in {7 + 23 * k for k in range(n % 10)} else w for i, w in enumerate(one)])
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    gone = {
+        j for i in range(80) for j in range(i + 1, 80)
+        if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    }
+    docs = spark.createDataFrame([(n, " ".join(t)) for n, t in enumerate(texts)], "doc_id long, text string")
+    kept = {r.doc_id for r in simhash.without_similar(docs).collect()}
+    assert len(gone) >= 15 and set(range(80)) - kept == gone
+
+
 @pytest.mark.parametrize("depth", [0, 3])
 def test_trie_walk_finds_all_close_pairs(depth):
     rng = np.random.default_rng(3)
