@@ -12,9 +12,11 @@ packing the first j tokens,
 
 where the first minimum moves along with j and is kept in a monotone queue.
 
-Each scan task packs its own rows in the order in which they are stored, so the
-corpus is read once and never shuffled; a table that is sorted into training
-order is packed in that order. Task retries pack the same rows alike.
+Each scan task packs its own rows in the order in which they are stored, so texts
+are never shuffled. Spark hands out the splits of files by size; sequences are
+numbered by file name and place in the file instead, so a table that is written in
+training order has its sequences numbered in that order, over any number of files.
+Rows that are no file scan are numbered by partition. Task retries pack alike.
 
 Nulls: a null text has only its end token, a null doc_id is passed on. Repeated
 rows are packed once each; an empty table gives no sequences.
@@ -23,6 +25,7 @@ rows are packed once each; an empty table gives no sequences.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from array import array
 from collections import deque
@@ -31,6 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -203,13 +207,26 @@ def pack(
     if size & (size - 1):
         raise ValueError("size must be a power of two")
 
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        *_split_columns(docs),
+    )
+    firsts = {split: n << 40 for n, split in enumerate(_splits(docs))}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(ranks_path)
         end = array("I", [END_ID]).tobytes()
-        number = TaskContext.get().partitionId() << 40
+        number, split = TaskContext.get().partitionId() << 40, None
         doc_ids, tokens, held = [], [], 0
         for batch in batches:
-            for doc_id, text in zip(*batch.columns):
+            for doc_id, text, *place in zip(*batch.columns):
+                place = [p.as_py() for p in place]
+                if place and place != split:
+                    if tokens:
+                        yield packed_block(doc_ids, tokens, coder.closes, size, prices, number)[0]
+                        doc_ids, tokens, held = [], [], 0
+                    split, number = place, firsts[tuple(place)]
                 doc_ids.append(doc_id.as_py())
                 tokens.append(coder.ids(text.as_py()) + end)
                 held += len(tokens[-1]) // 4
@@ -222,12 +239,32 @@ def pack(
         if tokens:
             yield packed_block(doc_ids, tokens, coder.closes, size, prices, number)[0]
 
-    texts = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    )
     return texts.mapInArrow(
         run,
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
         "sequence_id long, offset long",
     )
+
+
+def _split_columns(docs: DataFrame) -> list:
+    """File and place of the split a row is read from; none if rows are no file scan."""
+    columns = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start")]
+    try:
+        docs.select(*columns).schema
+    except AnalysisException:
+        return []
+    return columns
+
+
+def _splits(docs: DataFrame) -> list[tuple[str, int]]:
+    """The splits that hold rows, by file name and place; reads no column."""
+    columns = _split_columns(docs)
+    if not columns:
+        return []
+    rows = docs.select(*columns).distinct().collect()
+    return sorted(map(tuple, rows), key=lambda split: (_by_number(split[0]), split[1]))
+
+
+def _by_number(path: str) -> list:
+    """A sort key that puts part-100000 after part-99999."""
+    return [int(x) if n % 2 else x for n, x in enumerate(re.split(r"(\d+)", path))]

@@ -192,6 +192,19 @@ def test_pack_covers_every_id_once(docs, rows, nothing):
     assert packing.pack(nothing, RANKS).count() == 0
 
 
+def test_sequences_follow_the_stored_order_over_files(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    # A few words in the first rows and many in the last: the last file is largest.
+    rows = [(n, " ".join(f"w{x}" for x in rng.integers(0, 999, 3 + n // 4))) for n in range(400)]
+    for at, stop in ((0, 150), (150, 160), (160, 400)):
+        part = spark.createDataFrame(rows[at:stop], "doc_id long, text string").coalesce(1)
+        part.write.parquet(str(tmp_path / "t" / f"part-{at:05d}"))
+    table = spark.read.parquet(*[str(tmp_path / "t" / f"part-{at:05d}") for at in (0, 150, 160)])
+    got = packing.pack(table, RANKS, size=256).orderBy("sequence_id", "offset").collect()
+    order = [r.doc_id for r in got]
+    assert order == sorted(order) and set(order) == set(range(400))
+
+
 def test_cuts_are_the_cheapest():
     rng = np.random.default_rng(5)
     for _ in range(30):
