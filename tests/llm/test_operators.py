@@ -462,6 +462,22 @@ def test_passage_of_frequent_lines_is_found(spark):
     assert all(got[n].n_links == 0 for n in range(1, last))
 
 
+def test_edited_passages_are_found_at_the_promised_similarity(spark):
+    rng = np.random.default_rng(6)
+    texts = []
+    for n in range(60):
+        one = made_words(rng, 60)
+        # Each fifth word replaced: 48 of 60 in common, and no five in a row.
+        two = [w if i % 5 != 4 else f"x{n}y{i}" for i, w in enumerate(one)]
+        for body in (one, two):
+            texts.append(made_words(rng, 50) + body + made_words(rng, 50))
+    rows = [(n, " ".join(t)) for n, t in enumerate(texts)]
+    got = {r.doc_id: r for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = sum(got[n].class_id == got[n + 1].class_id == n for n in range(0, 120, 2))
+    assert found >= 57
+    assert all(r.class_id // 2 == r.doc_id // 2 for r in got.values())
+
+
 def test_common_places_and_stretches_match_plain():
     rng = np.random.default_rng(3)
     for _ in range(30):
