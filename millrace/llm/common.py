@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import gc
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,17 +33,27 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextmanager
+def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Within it Spark drops a query's shuffle files as soon as the query has ended."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows, once computed and read back from the shared folder.
 
     Cuts the lineage: what follows survives the loss of any executor without
     repeating what came before, and reads only the columns it needs. The shuffle
-    files behind the rows are then of no use; Spark drops them once the driver's
-    memory no longer refers to them.
+    files behind the rows are then of no use and go.
     """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    with _shuffles_freed(spark):
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
+    bestfit,
     exact,
+    importance,
+    lloyd,
     lookup_sketch,
     mixing,
     packing,
@@ -112,3 +115,20 @@ def op6_quality(spark, sf_dir):
         F.col("quality_metadata").alias("metadata_score"),
         (F.col("quality") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query
+def op11_centroids(spark, sf_dir):
+    return lloyd.clustered(table(spark, sf_dir, "embeddings"), clusters=40, rounds=5, block=16)
+
+
+@query
+def op12_best_fit(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return bestfit.pack(docs, public_tokenizers.path("word_bpe_49k.json"), size=2048)
+
+
+@query
+def op13_resampling(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return importance.resampled(docs, table(spark, sf_dir, "benchmark"), percent=25, least_words=20)
