@@ -16,6 +16,8 @@ rows are packed once each; an empty table gives no pieces. Task retries pack ali
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -28,36 +30,85 @@ from pyspark.sql import functions as F
 from millrace.llm.common import written
 
 END_ID = 0
-_KNOWN_PIECES = 300_000
+_KNOWN_WORDS = 300_000
 _OUT_ROWS = 8_192
 _JOINED_BINS = 1_000_000
 _encoders: dict[str, Encoder] = {}
 
 
+#: White space parts words, so a text may be encoded space by space. Pieces of these
+#: characters need no normalising but lower case, and are letters, digits or neither alike
+#: in all versions of Unicode.
+_PLAIN = re.compile(r"[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
+#: The splits that the tokenizer makes, for these characters in lower case.
+_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9 \t-\r]+")
+
+
+def _byte_characters() -> dict[str, int]:
+    """Byte-level vocabularies write visible bytes as they are and others from U+0100 on."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {chr(b): b for b in visible} | {chr(256 + n): b for n, b in enumerate(hidden)}
+
+
 class Encoder:
-    """Ids of a tokenizer file whose tokens never hold a space.
+    """Ids of a lower-case vocabulary with word ends ("</w>"), as its tokenizer file gives them.
 
-    White space only parts words there, so a text may be encoded space by space, and
-    what stands between spaces is remembered.
+    Words met before are remembered. New ones of plain characters are merged by a faster
+    library: a byte is a character from U+0100 on, the last one of a word from U+0200 on,
+    so that ends differ. Anything else goes through the tokenizer itself.
     """
 
     def __init__(self, path: str) -> None:
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
-
-    def _piece(self, piece: str) -> bytes:
-        out = self.known.get(piece)
-        if out is None:
-            out = array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
-            if len(self.known) < _KNOWN_PIECES:
-                self.known[piece] = out
+        with open(path, encoding="utf-8") as file:
+            parsed = json.load(file)
+        special = {t["content"] for t in parsed["added_tokens"]}
+        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
+        values, ranks = _byte_characters(), {}
+        for token, number in parsed["model"]["vocab"].items():
+            if token not in special:
+                body = [values[c] for c in token.removesuffix("</w>")]
+                ranks[self._symbols(body, token.endswith("</w>")).encode()] = number
+        self.merged = tiktoken.Encoding(
+            "words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}
+        ).encode_ordinary
+        self.known: dict[str, bytes] = {}
+
+    @staticmethod
+    def _symbols(body, ends: bool) -> str:
+        characters = [chr(256 + b) for b in body]
+        if ends:
+            characters[-1] = chr(512 + body[-1])
+        return "".join(characters)
+
+    def _word(self, word: str) -> bytes:
+        out = array("I", self.merged(self._symbols(word.encode(), True))).tobytes()
+        if len(self.known) < _KNOWN_WORDS and len(word) < 64:
+            self.known[word] = out
         return out
 
+    def _plain(self, text: str) -> bytes:
+        words, known = _WORDS.findall(text.lower()), self.known
+        try:
+            return b"".join([known[word] for word in words])
+        except KeyError:
+            return b"".join([known.get(word) or self._word(word) for word in words])
+
     def ids(self, text: str) -> bytes:
         """Unsigned 32-bit little-endian ids."""
-        return b"".join(map(self._piece, text.split(" ")))
+        if _PLAIN.fullmatch(text) and not self.special.search(text):
+            return self._plain(text)
+        out = []
+        for piece in text.split(" "):
+            if _PLAIN.fullmatch(piece) and not self.special.search(piece):
+                out.append(self._plain(piece))
+            else:
+                out.append(array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes())
+        return b"".join(out)
 
 
 def encoder(path: str) -> Encoder:
