@@ -189,7 +189,8 @@ def resampled(
     gains = bucket_gains(bucket_totals(rows, buckets), bucket_totals(counted(texts, buckets), buckets))
     able = F.col("n_words") >= least_words
     order = [F.desc("able"), F.desc("score"), F.asc_nulls_last("doc_id"), "n_features", "weight"]
-    sorted_ = weighed(rows, gains, seed).withColumn("able", able).repartitionByRange(*order).sortWithinPartitions(*order)
+    scores = written(weighed(rows, gains, seed), "scores")
+    sorted_ = scores.withColumn("able", able).repartitionByRange(*order).sortWithinPartitions(*order)
     # The id holds the partition above its lowest 33 bits, and the place in it.
     placed = written(sorted_.withColumn("place", F.monotonically_increasing_id()), "ranked")
     part, place = F.shiftright("place", 33), F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
