@@ -3,6 +3,7 @@
     telemetry PINGS OUTPUT           summary per vehicle model, busiest vehicles
     prepare RAW OUTPUT               clean raw customers, split 90/10 by position into
                                      OUTPUT/part=initial and OUTPUT/part=incoming
+    compact TABLE [--least-deltas N] write buckets that hold deltas anew
     ingest TABLE INCOMING [--seed DIR] [--quarantine DIR] [--archive DIR] [--files-per-batch N]
     train TABLE MODELS               first training
     retrain TABLE MODELS             train again, replace production if better
@@ -30,7 +31,7 @@ from millrace.sources.files import (
     read_raw_customers,
     read_telemetry_csv,
 )
-from millrace.sources.tables import VersionedTable
+from millrace.sources.tables import BucketedTable
 from millrace.streaming.ingest import ingest_folder
 
 
@@ -58,8 +59,12 @@ def run_ingest(spark: SparkSession, args) -> None:
     ingestion.table.ingestion_log().show(truncate=False)
 
 
+def run_compact(spark: SparkSession, args) -> None:
+    print(f"{BucketedTable(spark, args.table).compact(args.least_deltas)} buckets written anew")
+
+
 def _customers(spark: SparkSession, path: str):
-    return VersionedTable(spark, path).read()
+    return BucketedTable(spark, path).read()
 
 
 def run_train(spark: SparkSession, args) -> None:
@@ -73,7 +78,7 @@ def run_retrain(spark: SparkSession, args) -> None:
 
 
 def run_monitor(spark: SparkSession, args) -> None:
-    version = VersionedTable(spark, args.table).state().version
+    version = BucketedTable(spark, args.table).state().version
     quality, drift = monitoring.monitor(_customers(spark, args.table), INGEST_ORDER)
     monitoring.write_reports(quality, drift, args.reports, version)
     monitoring.latest_drift(spark, args.reports).show()
@@ -102,6 +107,7 @@ JOBS = {
     "telemetry": (run_telemetry, ["pings", "output"]),
     "prepare": (run_prepare, ["raw", "output"]),
     "ingest": (run_ingest, ["table", "incoming"]),
+    "compact": (run_compact, ["table"]),
     "train": (run_train, ["table", "models"]),
     "retrain": (run_retrain, ["table", "models"]),
     "monitor": (run_monitor, ["table", "reports"]),
@@ -124,6 +130,8 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
             job.add_argument("--quarantine")
             job.add_argument("--archive")
             job.add_argument("--files-per-batch", type=int, default=1000)
+        if name == "compact":
+            job.add_argument("--least-deltas", type=int, default=1)
         if name == "retrain-check":
             job.add_argument("--days", type=int, default=0)
             job.add_argument("--recent-auc", type=float)

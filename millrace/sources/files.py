@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections import Counter, defaultdict
 from datetime import datetime
 from functools import reduce
@@ -55,8 +56,14 @@ class CsvFile(NamedTuple):
 IDENTITY = ("source_file", "modified", "length")
 
 
+def literal(path: str) -> str:
+    """A path as readers take it that expand patterns: brackets and the like stand for themselves."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def listed(spark: SparkSession, paths: str | list[str], pattern: str = "*.csv") -> DataFrame:
-    """Files by :data:`IDENTITY` and their ``uri``; no file is opened."""
+    """Files by :data:`IDENTITY` and their ``uri``; no file is opened. Paths are literal."""
+    paths = [literal(path) for path in ([paths] if isinstance(paths, str) else paths)]
     listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(paths)
     return listing.select(
         F.col("path").alias("source_file"),
@@ -90,7 +97,7 @@ def open_headers(spark: SparkSession, paths: list[str]) -> list[CsvFile]:
     """
     if not paths:
         return []
-    lines = spark.read.text(paths).select(
+    lines = spark.read.text([literal(path) for path in paths]).select(
         F.col("_metadata.file_path").alias("uri"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("place"),
@@ -169,7 +176,7 @@ def read_csv_by_name(
         return spark.createDataFrame([], empty)
     layouts: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for file in found:
-        layouts[file.columns].append(file.path)
+        layouts[file.columns].append(literal(file.path))
     known = {field.name: field.dataType for field in types.fields}
     scans = []
     for names, paths in layouts.items():

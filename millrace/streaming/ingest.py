@@ -1,14 +1,47 @@
-"""Ingest files as they arrive in a folder."""
+"""Ingest files as they arrive in a folder: as a stream, or by a listing now and then."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
+
 from millrace.plans.ingestion import Ingestion
 from millrace.sources.files import listed
+from millrace.sources.folder_stream import FORMAT, FolderFiles
 
 #: Longer than any file is old, so that a file delivered late is not passed over.
 ANY_AGE = "36500d"
 
 
+def start_ingest(
+    ingestion: Ingestion,
+    folder: str,
+    checkpoint: str,
+    files_per_batch: int = 1000,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Ingest files as they arrive, corrected and renewed ones too, until stopped.
+
+    ``trigger`` are the arguments of the stream's trigger; by default it takes what is
+    there and ends. A micro-batch names the files that are new or changed; they go
+    in by batches of ``files_per_batch``. One that is repeated after a crash changes
+    nothing, as the ingestion log knows its files.
+    """
+    spark = ingestion.spark
+    spark.dataSource.register(FolderFiles)
+    checkpoint = checkpoint.rstrip("/")
+    stream = spark.readStream.format(FORMAT).option("log", f"{checkpoint}/files").load(folder)
+
+    def take(files: DataFrame, _: int) -> None:
+        # As many names as a listing of the folder has that are new.
+        paths = [row.path for row in files.select("path").distinct().orderBy("path").collect()]
+        for at in range(0, len(paths), files_per_batch):
+            ingestion.run_batch(paths[at : at + files_per_batch])
+
+    writer = stream.writeStream.foreachBatch(take).option("checkpointLocation", f"{checkpoint}/stream")
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
 def ingest_folder(
     ingestion: Ingestion, folder: str, files_per_batch: int = 1000, archive: str | None = None
 ) -> int:

@@ -8,7 +8,7 @@ from millrace.__main__ import main
 from millrace.operators.promotion import with_status
 from millrace.plans import training, views
 from millrace.settings import Settings
-from millrace.sources.tables import VersionedTable
+from millrace.sources.tables import BucketedTable
 
 
 @pytest.fixture()
@@ -44,7 +44,7 @@ def test_customer_jobs(spark, tmp_path, quick, capsys):
     ingest = ["ingest", path("table"), path("clean/part=incoming")]
     main([*ingest, "--seed", path("clean/part=initial")])
     main(ingest)
-    table = VersionedTable(spark, path("table"))
+    table = BucketedTable(spark, path("table"))
     expected = views.customers(spark, "/root/testdata/sf0.01").select(*schemas.CUSTOMER_COLUMNS)
     got = table.read().select(*schemas.CUSTOMER_COLUMNS)
     assert sorted(map(repr, got.collect())) == sorted(map(repr, expected.collect()))

@@ -9,7 +9,7 @@ from millrace.operators.merge import concat, keep_last, merge_latest
 from millrace.plans import views
 from millrace.plans.ingestion import Ingestion
 from millrace.sources.files import list_csv, read_raw_customers, read_telemetry_csv
-from millrace.sources.tables import VersionedTable, latest, read_or_empty, write_batch
+from millrace.sources.tables import BucketedTable, latest, read_or_empty, write_batch
 from millrace.streaming.ingest import ingest_folder
 from tests.conftest import RECORD
 
@@ -182,7 +182,7 @@ def test_crash_before_the_commit_leaves_the_old_version(spark, tmp_path, inbox):
     write_records(inbox / "2.csv", [{"customer_id": "b"}])
     ingestion.run_batch([str(inbox / "1.csv")])
 
-    def lost(rows):
+    def lost(*rows):
         raise RuntimeError("lost")
 
     commit, ingestion.table.commit = ingestion.table.commit, lost
@@ -212,26 +212,14 @@ def test_seed_with_a_bad_header_is_an_error(spark, tmp_path):
 
 def test_reading_before_the_first_commit(spark, tmp_path):
     with pytest.raises(ValueError, match="nothing committed"):
-        VersionedTable(spark, str(tmp_path / "none")).read()
+        BucketedTable(spark, str(tmp_path / "none")).read()
     assert read_or_empty(spark, str(tmp_path / "none"), "a int").count() == 0
 
 
 def test_old_versions_stay_readable_for_a_while(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), keep=2)
+    table = BucketedTable(spark, str(tmp_path / "t"), "v", keep=2)
     for version in range(3):
-        table.write_version(spark.createDataFrame([(version,)], "v int"), version)
-        table.commit(
-            spark.range(1).selectExpr(
-                f"{version}L AS version",
-                f"{version}L AS batch_id",
-                "current_timestamp() AS ingested_at",
-                "'f' AS source_file",
-                "1L AS n_rows",
-                "'ingested' AS status",
-                "CAST(NULL AS array<string>) AS missing_columns",
-                "true AS keys_unique",
-            )
-        )
+        table.commit(written=table.replace(spark.createDataFrame([(version,)], "v int")))
     assert [table.read().first().v, table.read(1).first().v] == [2, 1]
     for gone in (0, 3):
         with pytest.raises(ValueError, match="not kept"):
@@ -295,15 +283,10 @@ def test_corrected_renewed_and_late_files_are_taken(spark, tmp_path, inbox):
 
 
 def test_an_uncommitted_write_changes_no_readable_version(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), keep=2)
-    log = "ingested_at timestamp, source_file string, n_rows long, status string, missing_columns array<string>"
+    table = BucketedTable(spark, str(tmp_path / "t"), "v", keep=2)
     for version in range(3):
-        table.write_version(spark.createDataFrame([(version,)], "v int"), version)
-        rows = spark.createDataFrame([(None, "f", 1, "ingested", None)], log)
-        table.commit(
-            rows.selectExpr("*", f"{version}L AS version", f"{version}L AS batch_id", "true AS keys_unique")
-        )
-    table.write_version(spark.createDataFrame([(3,)], "v int"), 3)
+        table.commit(written=table.replace(spark.createDataFrame([(version,)], "v int")))
+    table.replace(spark.createDataFrame([(3,)], "v int"))
     assert [table.read(n).first().v for n in (1, 2)] == [1, 2]
     assert table.read().first().v == 2
 
