@@ -197,6 +197,27 @@ everything AS (
 SELECT {COLUMNS}, CAST(batch_id AS BIGINT) AS batch_id FROM everything
 QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY batch_id DESC) = 1"""
 
+# A table after four batches, and all their rows.
+CHANGED = f"""WITH {CUSTOMERS}, {PARTS},
+everything AS (
+  SELECT {COLUMNS}, 0 AS batch_id FROM initial
+  UNION ALL SELECT {COLUMNS}, 1 FROM incoming
+  UNION ALL SELECT {COLUMNS}, 2 FROM corrected
+  UNION ALL SELECT {COLUMNS}, 3 FROM
+    (SELECT * REPLACE (monthly_charges + 1 AS monthly_charges) FROM corrected
+     WHERE c_nationkey < 5)),
+changed AS (SELECT * FROM everything
+  QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY batch_id DESC) = 1)"""
+
+STREAMED = f"""WITH {CUSTOMERS}, {PARTS},
+everything AS (
+  SELECT {COLUMNS}, 1 AS batch_id FROM initial
+  UNION ALL SELECT {COLUMNS}, 2 FROM {{second}}
+  UNION ALL SELECT {COLUMNS}, 3 FROM corrected),
+rows AS (SELECT batch_id, CAST(count(*) AS BIGINT) AS rows_of_batch FROM everything GROUP BY batch_id),
+latest AS (SELECT {COLUMNS}, CAST(batch_id AS BIGINT) AS batch_id FROM everything
+  QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY batch_id DESC) = 1)"""
+
 
 def _auc(relation: str, score: str, label: str, groups: str = "") -> str:
     """Rank-sum AUC with average ranks for ties."""
@@ -217,7 +238,7 @@ FROM (SELECT *, 2 * rank() OVER ({part} ORDER BY {score})
 
 
 SCORED = """
-scored AS (SELECT d.source, d.n_chars, l.quality,
+scored AS (SELECT d.doc_id, d.source, d.n_chars, l.quality,
     CASE WHEN d.n_chars > 400 THEN 1 ELSE 0 END AS predicted
   FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
 
@@ -507,6 +528,10 @@ SELECT churn, split, count(*) AS n_rows FROM split GROUP BY churn, split""",
 SELECT customer_id, tenure_months, churn, CAST(NULL AS INTEGER) AS c_nationkey FROM initial
 UNION ALL SELECT customer_id, NULL, churn, c_nationkey FROM incoming""",
     "stream_ingest": INGESTED,
+    "ingest_redelivered": STREAMED.format(second="incoming") + """
+SELECT * FROM latest JOIN rows USING (batch_id)""",
+    "ingest_odd_names": STREAMED.format(second="(SELECT * FROM initial WHERE false)") + """
+SELECT * REPLACE (CAST(least(batch_id, 2) AS BIGINT) AS batch_id) FROM latest""",
     "ingestion_log_counts": f"""WITH {CUSTOMERS}, {PARTS}
 SELECT CAST(0 AS BIGINT) AS batch_id, 'ingested' AS status, '' AS missing_columns,
   count(*) AS n_rows FROM initial
@@ -516,6 +541,12 @@ UNION ALL SELECT 2, 'rejected', 'contract_type', 0""",
     "table_round_trip": f"""WITH {CUSTOMERS}, {PARTS}
 SELECT {COLUMNS}, 0 AS version FROM initial
 UNION ALL SELECT {COLUMNS}, 1 FROM incoming""",
+    "table_deltas": f"""{CHANGED}
+SELECT *, 3 AS version FROM changed
+UNION ALL SELECT *, 1 FROM everything WHERE batch_id < 2""",
+    "table_compaction": f"""{CHANGED}
+SELECT * REPLACE (CASE WHEN tenure_months = 5 THEN 1 ELSE churn END AS churn,
+                  CASE WHEN tenure_months = 5 THEN 4 ELSE batch_id END AS batch_id) FROM changed""",
     "recent_rows": f"""WITH {CUSTOMERS}
 SELECT {COLUMNS} FROM customers ORDER BY c_custkey DESC LIMIT 400""",
     "missing_fractions": f"WITH {TELEMETRY} "
@@ -535,9 +566,16 @@ SELECT column_name, kind, value, message FROM issues""",
     "quality_report": f"""WITH {CUSTOMERS}, {FAULTY}, {ISSUES}
 SELECT (SELECT count(*) FROM faulty) AS n_rows_checked,
   coalesce(string_agg(message, ' | ' ORDER BY nth), '') AS issues, count(*) = 0 AS passed
+FROM issues""",
+    "stream_quality": f"""WITH {CUSTOMERS}, {FAULTY}, {ISSUES}
+SELECT (SELECT count(*) FROM faulty) AS n_rows_checked,
+  coalesce(string_agg(message, ' | ' ORDER BY nth), '') AS issues, count(*) = 0 AS passed
 FROM issues""",
     "drift_report": f"""WITH {CUSTOMERS},
 recent AS (SELECT * FROM customers ORDER BY c_custkey DESC LIMIT 400)
+{_drift("customers", "recent")}""",
+    "drift_from_profiles": f"""WITH {CUSTOMERS},
+recent AS (SELECT * FROM customers ORDER BY c_custkey DESC LIMIT 400)
 {_drift("customers", "recent")}""",
     "drift_by_batch": f"WITH {CUSTOMERS} {_drift('customers', 'customers', 'c_nationkey')}",
     "drift_by_batch_summary": f"""WITH {CUSTOMERS},
@@ -546,6 +584,10 @@ SELECT c_nationkey, coalesce(max(drift_zscore), 0) AS max_drift_zscore,
   bool_or(flagged) AS drift_detected FROM report GROUP BY c_nationkey""",
     "stream_drift": f"WITH {CUSTOMERS}, {PARTS} {_drift('initial', 'incoming')}",
     "roc_auc": f"WITH {SCORED} {_auc('scored', 'n_chars', 'quality')}",
+    "roc_auc_infinite": f"""WITH {SCORED}, extreme AS (
+  SELECT source, quality, CASE doc_id % 7 WHEN 0 THEN 'inf'::DOUBLE WHEN 1 THEN '-inf'::DOUBLE
+    ELSE CAST(n_chars AS DOUBLE) END AS score FROM scored)
+{_auc("extreme", "score", "quality", "source")}""",
     "roc_auc_by_source": f"WITH {SCORED} {_auc('scored', 'n_chars', 'quality', 'source')}",
     "accuracy": f"""WITH {SCORED}
 SELECT CAST(count(*) FILTER (predicted = quality) AS DOUBLE) / count(*) AS accuracy,

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from millrace.settings import Settings
 
 
-def _missing(df: DataFrame, name: str) -> Column:
+def is_missing(df: DataFrame, name: str) -> Column:
     """Null, or NaN where the type has it."""
     value = F.col(name)
     if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
@@ -37,7 +37,7 @@ def missing_fractions(df: DataFrame, columns: Sequence[str] | None = None) -> Da
     names = list(columns or df.columns)
     one = df.agg(
         F.count("*").alias("n_rows"),
-        *(F.avg(_missing(df, n).cast("int")).alias(f"{n}__missing_fraction") for n in names),
+        *(F.avg(is_missing(df, n).cast("int")).alias(f"{n}__missing_fraction") for n in names),
     )
     rows = _to_rows(one, names, ["missing_fraction"], groups=["n_rows"])
     return rows.select(F.col("feature").alias("column_name"), "n_rows", "missing_fraction")
@@ -50,7 +50,7 @@ def _checked(df: DataFrame, settings: Settings, columns: Sequence[str] | None) -
     limit = settings.max_missing_fraction
     one = df.agg(
         F.count("*").alias("n_rows_checked"),
-        *(F.avg(_missing(df, n).cast("int")).alias(f"missing__{n}") for n in names),
+        *(F.avg(is_missing(df, n).cast("int")).alias(f"missing__{n}") for n in names),
         *(F.count_if(F.col(n) < 0).alias(f"negative__{n}") for n in signed),
     )
 
@@ -136,12 +136,19 @@ def drift_from(
     The flag looks at the unrounded score.
     """
     features = list(settings.drift_features)
+    now = feature_moments(recent, features, groups).withColumnRenamed("mean", "recent_mean")
+    return flag_drift(moments, now, settings, groups)
+
+
+def flag_drift(
+    moments: DataFrame, now: DataFrame, settings: Settings, groups: Sequence[str] = ()
+) -> DataFrame:
+    """Scores of recent means (feature, recent_mean) against (feature, mean, std)."""
     then = moments.select(
         F.col("feature").alias("_feature"),
         F.col("mean").alias("train_mean"),
         F.col("std").alias("train_std"),
     )
-    now = feature_moments(recent, features, groups).withColumnRenamed("mean", "recent_mean")
     # One row per configured feature: the size is known, whatever the data.
     joined = now.join(F.broadcast(then), F.col("feature") == F.col("_feature"))
     score = F.when(F.col("train_std") == 0, F.lit(0.0)).otherwise(

@@ -2,21 +2,13 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-
-def _value_ranges(df: DataFrame, column: str, ranges: int) -> list[float]:
-    """Boundaries that cut the column into ranges of about equal row counts."""
-    probabilities = [i / ranges for i in range(1, ranges)]
-    inner = df.approxQuantile(column, probabilities, 1 / (2 * ranges))
-    finite = sorted({x for x in inner if math.isfinite(x)})
-    return [float("-inf"), *(finite or [0.0]), float("inf")]
+from millrace.session import stored
 
 
 def same_keys(left: Sequence[str], right: Sequence[str]) -> Column:
@@ -32,7 +24,7 @@ def running_totals(
     groups: Sequence[str],
     order: str,
     measures: Mapping[str, Column],
-    ranges: int = 200,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Tally rows per group and ``order`` value, with running and full totals.
 
@@ -40,39 +32,32 @@ def running_totals(
     row per group and value with each measure's sum ``m``, the group's sum over
     smaller values ``m_before`` and over all values ``m_total``.
 
-    A window over a whole group would put a large group in one task, so values
-    are cut into ranges first (estimated boundaries, which only balance the
-    work): totals run within a range, and the totals of the lower ranges are
-    added. Those are a small table, summed from the rows themselves with
-    map-side partials. A task sees about 1/``ranges`` of the distinct values,
-    however the rows are spread over groups and values.
+    A window over a whole group would put a large group in one task. So the tally,
+    one row per group and value, is range-partitioned by both and stored: the source is read
+    once. Pairs of group and value are distinct, so the partitions are even however the rows
+    are spread, infinite values included. Totals run within a partition; the totals of a
+    group's earlier partitions, as many rows as partitions and groups, are added.
     """
-    bucketizer = Bucketizer(
-        splits=_value_ranges(rows, order, ranges),
-        inputCol=order,
-        outputCol="_range",
-        handleInvalid="keep",
-    )
+    sums = [F.sum(value).alias(name) for name, value in measures.items()]
+    tally = rows.groupBy(*groups, order).agg(*sums)
+    places = [*groups, order]
+    # ``ranges`` None leaves their number to the session and its adaptive planning.
+    ranged = tally.repartitionByRange(*([ranges] if ranges else []), *places)
+    placed = stored(ranged.withColumn("_part", F.spark_partition_id()), "tally")
+
     # Keys without nulls: plain equality then matches null groups too, and the
     # join below reuses the partitioning of the window.
     filled = {}
     for i, name in enumerate(groups):
         filled[f"_key{i}"] = F.coalesce(F.col(name).cast("string"), F.lit(""))
         filled[f"_null{i}"] = F.col(name).isNull()
-    keys = ["_range", *filled]
-
-    def placed(df: DataFrame) -> DataFrame:
-        return bucketizer.transform(df).withColumns(
-            {**filled, "_range": F.coalesce(F.col("_range").cast("int"), F.lit(-1))}
-        )
-
-    sums = [F.sum(value).alias(name) for name, value in measures.items()]
-    below = W.partitionBy(*filled).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    placed = placed.withColumns(filled)
+    keys = ["_part", *filled]
+    below = W.partitionBy(*filled).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     everywhere = W.partitionBy(*filled)
-    per_range = (
-        placed(rows)
-        .groupBy(*keys)
-        .agg(*sums)
+    per_part = (
+        placed.groupBy(*keys)
+        .agg(*(F.sum(m).alias(m) for m in measures))
         .select(
             *keys,
             *(F.coalesce(F.sum(m).over(below), F.lit(0)).alias(f"_lower_{m}") for m in measures),
@@ -80,10 +65,10 @@ def running_totals(
         )
     )
     before = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    within = placed(rows.groupBy(*groups, order).agg(*sums)).withColumns(
+    within = placed.withColumns(
         {f"_within_{m}": F.coalesce(F.sum(m).over(before), F.lit(0)) for m in measures}
     )
-    return within.join(per_range, keys).select(
+    return within.join(per_part, keys).select(
         *groups,
         order,
         *measures,

@@ -18,6 +18,8 @@ from millrace import schemas
 from millrace.functions.cleaning import clean_customers
 from millrace.functions.features import engineer_features, to_model_matrix
 from millrace.operators import aggregates, evaluation, layout, merge, promotion, quality, ranks
+from millrace.operators.profiles import drift_from_profiles as profile_drift
+from millrace.operators.profiles import merged, profile
 from millrace.operators.validation import check_records
 from millrace.plans import monitoring, telemetry, training, views
 from millrace.plans.ingestion import Ingestion, required_columns
@@ -31,8 +33,9 @@ from millrace.sources.files import (
     read_telemetry_csv,
     split_by_header,
 )
-from millrace.sources.tables import VersionedTable
-from millrace.streaming.ingest import ingest_folder
+from millrace.sources.tables import BucketedTable, write_batch
+from millrace.sources.commits import Folder
+from millrace.streaming.ingest import ingest_folder, start_ingest
 from millrace.streaming.monitoring import start_monitoring
 from millrace.streaming.scoring import incoming_records, start_quarantine, start_scoring
 
@@ -342,6 +345,58 @@ def ingestion_log_counts(spark, folder):
     ).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"))
 
 
+def _named_csv(df: DataFrame, folder: str, name: str) -> None:
+    """One file of that very name, in place of any of the same name."""
+    spark = df.sparkSession
+    place = Folder(spark, folder)
+    aside = f"_aside-{name.encode().hex()}"
+    df.coalesce(1).write.mode("overwrite").option("header", True).csv(place.at(aside))
+    (part,) = [n for n in place.names(aside) if n.endswith(".csv")]
+    place.delete(name)
+    place.rename(f"{aside}/{part}", name)
+    place.delete(aside)
+
+
+@query
+def ingest_odd_names(spark, folder):
+    """Files whose names hold brackets, braces, blanks and per cent signs, one misnamed in a column."""
+    initial, incoming, corrected = customer_batches(spark, folder)
+    columns = schemas.CUSTOMER_COLUMNS
+    inbox = scratch_path(spark, "odd names [in] {box} 100%")
+    part = F.col("c_custkey") % 3
+    _named_csv(initial.where(part == 0).select(*columns), inbox, "b[1].csv")
+    _named_csv(initial.where(part == 1).select(*columns), inbox, "b{x,y} 50%.csv")
+    _named_csv(initial.where(part == 2).select(*reversed(columns)), inbox, "what? *.csv")
+    _named_csv(incoming.select(*columns).withColumnRenamed("churn", "left"), inbox, "c%20d.csv")
+    ingestion = Ingestion(spark, f"{scratch_path(spark, 'odd-names')}/table")
+    ingest_folder(ingestion, inbox)
+    _named_csv(corrected.select(*columns), inbox, "z[a-c]\\d.csv")
+    ingest_folder(ingestion, inbox)
+    return ingestion.table.read().select(*columns, "batch_id")
+
+
+@query
+def ingest_redelivered(spark, folder):
+    """A stream over a folder, restarted between deliveries of new and changed files."""
+    initial, incoming, corrected = customer_batches(spark, folder)
+    columns = schemas.CUSTOMER_COLUMNS
+    root = scratch_path(spark, "redelivered")
+    inbox = f"{root}/inbox"
+    ingestion = Ingestion(spark, f"{root}/table")
+
+    def deliver(rows: DataFrame, name: str) -> None:
+        _named_csv(rows.select(*columns), inbox, name)
+        start_ingest(ingestion, inbox, f"{root}/checkpoint").awaitTermination()
+
+    deliver(initial, "a[1].csv")
+    deliver(incoming, "b.csv")
+    # The first name again with other contents; then nothing new.
+    deliver(corrected, "a[1].csv")
+    start_ingest(ingestion, inbox, f"{root}/checkpoint").awaitTermination()
+    log = ingestion.table.commits().groupBy("batch_id").agg(F.sum("n_rows").alias("rows_of_batch"))
+    return ingestion.table.read().select(*columns, "batch_id").join(log, "batch_id")
+
+
 @query
 def header_check(spark, folder):
     """Three exports of all customers: as expected, rearranged with an extra, misnamed."""
@@ -395,25 +450,50 @@ def csv_loose_numbers(spark, folder):
 
 @query
 def table_round_trip(spark, folder):
-    table = VersionedTable(spark, scratch_path(spark, "round-trip"))
+    table = BucketedTable(spark, scratch_path(spark, "round-trip"), "customer_id")
     initial, incoming, _ = customer_batches(spark, folder)
     for number, rows in enumerate((initial, incoming)):
-        table.write_version(rows.select(*schemas.CUSTOMER_COLUMNS), number)
+        written = table.replace(rows.select(*schemas.CUSTOMER_COLUMNS))
         log = rows.agg(F.count("*").alias("n_rows")).selectExpr(
-            f"{number}L AS version",
-            f"{number}L AS batch_id",
-            "current_timestamp() AS ingested_at",
-            "'rows' AS source_file",
-            "n_rows",
-            "'ingested' AS status",
-            "CAST(NULL AS array<string>) AS missing_columns",
-            "true AS keys_unique",
+            "'rows' AS source_file", "n_rows", "'ingested' AS status"
         )
-        table.commit(log)
+        table.commit(log, written, number)
     old = table.read(0).withColumn("version", F.lit(0))
     return old.unionByName(table.read().withColumn("version", F.lit(1)))
 
 
+def _changed_table(spark: SparkSession, folder: str) -> BucketedTable:
+    """The initial customers, then the incoming ones and two rounds of corrections as deltas."""
+    initial, incoming, corrected = customer_batches(spark, folder)
+    raised = F.col("monthly_charges") + 1
+    twice = corrected.where("c_nationkey < 5").withColumn("monthly_charges", raised)
+    table = BucketedTable(spark, scratch_path(spark, "buckets"), "customer_id", ["batch_id"], buckets=8)
+    for batch, rows in enumerate((initial, incoming, corrected, twice)):
+        rows = rows.select(*schemas.CUSTOMER_COLUMNS, F.lit(batch).alias("batch_id"))
+        table.commit(written=table.upsert(rows), batch_id=batch)
+    return table
+
+
+@query
+def table_deltas(spark, folder):
+    """A table read with its deltas: as it is and two versions back."""
+    table = _changed_table(spark, folder)
+    now = table.read().withColumn("version", F.lit(3))
+    return now.unionByName(table.read(1).withColumn("version", F.lit(1)))
+
+
+@query
+def table_compaction(spark, folder):
+    """The same table after compaction, and a correction after that."""
+    table = _changed_table(spark, folder)
+    table.compact()
+    late = table.read().where("tenure_months = 5").withColumns(
+        {"churn": F.lit(1), "batch_id": F.lit(4)}
+    )
+    table.commit(written=table.upsert(late), batch_id=4)
+    return table.read()
+
+
 @query
 def recent_rows(spark, folder):
     customers = views.customers(spark, folder)
@@ -448,6 +528,19 @@ def drift_report(spark, folder):
     return drift
 
 
+@query
+def drift_from_profiles(spark, folder):
+    """The drift of the latest rows from stored profiles of batches, merged; no table is read again."""
+    customers = views.customers(spark, folder).select(*schemas.CUSTOMER_COLUMNS, "c_custkey", "c_nationkey")
+    path = scratch_path(spark, "profiles")
+    features = list(Settings().drift_features)
+    for batch in range(3):
+        rows = customers.where(F.col("c_nationkey") % 3 == batch)
+        write_batch(profile(rows, features).coalesce(1), path, batch)
+    recent = profile(ranks.recent_rows(customers, ["c_custkey"]), features)
+    return profile_drift(merged(spark.read.parquet(path)), recent)
+
+
 @query
 def drift_by_batch(spark, folder):
     return monitoring.drift_by_batch(views.customers(spark, folder), "c_nationkey")
@@ -473,6 +566,24 @@ def stream_drift(spark, folder):
     return spark.read.parquet(f"{root}/reports/drift").drop("batch_id")
 
 
+@query
+def stream_quality(spark, folder):
+    """Quality rows of a stream of faulty records, its profiles merged over all batches."""
+    root = scratch_path(spark, "stream-quality")
+    faulty = faulty_records(spark, folder)
+    faulty.write.parquet(f"{root}/in")
+    clean = views.customers(spark, folder).select(*schemas.CUSTOMER_COLUMNS)
+    start_monitoring(
+        incoming_records(spark, f"{root}/in"),
+        profile(clean, list(Settings().drift_features)),
+        f"{root}/reports",
+        f"{root}/checkpoint",
+    ).awaitTermination()
+    return spark.read.parquet(f"{root}/reports/quality").select(
+        "n_rows_checked", F.concat_ws(" | ", "issues").alias("issues"), "passed"
+    )
+
+
 # --- evaluation ------------------------------------------------------------
 
 
@@ -489,6 +600,19 @@ def roc_auc(spark, folder):
     return evaluation.roc_auc(_quality_scores(spark, folder), "n_chars", "quality")
 
 
+@query
+def roc_auc_infinite(spark, folder):
+    """Scores that are infinite either way for a seventh of the rows each."""
+    kind = F.col("doc_id") % 7
+    score = (
+        F.when(kind == 0, F.lit(float("inf")))
+        .when(kind == 1, F.lit(float("-inf")))
+        .otherwise(F.col("n_chars").cast("double"))
+    )
+    scored = _quality_scores(spark, folder).withColumn("score", score)
+    return evaluation.roc_auc(scored, "score", "quality", ["source"])
+
+
 @query
 def roc_auc_by_source(spark, folder):
     return evaluation.roc_auc(_quality_scores(spark, folder), "n_chars", "quality", ["source"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "millrace", cores: str = "*", memory: str = "8g") -> SparkSession:
@@ -44,3 +44,22 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; two calls never collide."""
     return f"{shared_dir(spark).rstrip('/')}/millrace/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows, computed once into the shared folder and read back; their files go with the JVM.
+
+    Spark drops the shuffle files behind them as soon as they are written.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(setting, before)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.quality import drift_from, feature_moments, quality_report
+from millrace.operators.profiles import drift_from_profiles, issues, profile
 from millrace.settings import Settings
 from millrace.sources.tables import write_batch
 
@@ -18,24 +17,22 @@ def start_monitoring(
     checkpoint: str,
     settings: Settings = Settings(),
 ) -> StreamingQuery:
-    """Write ``drift`` and ``quality`` rows per batch below ``output``.
+    """Write a ``profile`` per batch below ``output``, and its ``drift`` and ``quality`` rows.
 
-    A batch delivered twice overwrites its own folder. The training rows are read
-    once, when the stream starts; a batch is read once for both reports.
+    ``train`` are the training rows, or a profile of them (such as a model's or the merged
+    ones of batches), which saves reading them. A batch is read once; both reports come
+    from its profile. A batch delivered twice overwrites its own folders.
     """
-    moments = feature_moments(train, list(settings.drift_features))
-    # One row per configured feature.
-    moments = train.sparkSession.createDataFrame(moments.collect(), moments.schema)
+    if "m2" not in train.columns:
+        train = profile(train, list(settings.drift_features))
+    # A row per column.
+    train = train.sparkSession.createDataFrame(train.collect(), train.schema)
 
     def report(batch: DataFrame, epoch: int) -> None:
-        batch.persist()
-        drift = drift_from(moments, batch, settings)
-        write_batch(drift.coalesce(1), f"{output}/drift", epoch)
-        quality = quality_report(batch, settings).withColumn(
-            "issues", F.coalesce("issues", F.array().cast("array<string>"))
-        )
-        write_batch(quality.coalesce(1), f"{output}/quality", epoch)
-        batch.unpersist()
+        write_batch(profile(batch).coalesce(1), f"{output}/profile", epoch)
+        own = batch.sparkSession.read.parquet(f"{output}/profile/batch_id={epoch}")
+        write_batch(drift_from_profiles(train, own, settings).coalesce(1), f"{output}/drift", epoch)
+        write_batch(issues(own, settings).coalesce(1), f"{output}/quality", epoch)
 
     return (
         records.writeStream.foreachBatch(report)

@@ -28,7 +28,7 @@ def pairwise_auc(rows):
     st.lists(
         st.tuples(
             st.sampled_from(["hot", "hot", "hot", "b", None]),
-            st.sampled_from([0.0, 0.1, 0.25, 0.5, 0.5, 0.9, -1e300, 1e300]),
+            st.sampled_from([0.0, 0.1, 0.25, 0.5, 0.5, 0.9, -1e300, 1e300, float("inf"), float("-inf")]),
             st.integers(0, 1),
         ),
         max_size=40,
@@ -73,6 +73,26 @@ def test_running_totals_cross_ranges(spark):
         assert row.n_total == sum(n for _, n in same)
 
 
+def test_running_totals_read_their_source_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(1000).selectExpr("id % 3 AS g", "id % 100 AS v").mapInArrow(counted, "g long, v long")
+    got = running_totals(rows, ["g"], "v", {"n": F.lit(1)}).collect()
+    assert sum(r.n for r in got) == 1000 and read.value == 1000
+
+
+def test_infinite_scores_have_their_place(spark):
+    far = float("inf")
+    rows = [(far, 1), (far, 0), (5.0, 1), (0.0, 0), (-0.0, 1), (-far, 0), (-far, 1), (1e308, 0)] * 3
+    got = roc_auc(spark.createDataFrame(rows, "s double, y int"), "s", "y").first()
+    assert got.roc_auc == pairwise_auc(rows)
+
+
 @QUICK
 @given(
     st.lists(
