@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import written
+from millrace.llm.common import byte_characters, written
 
 END_ID = 0
 _KNOWN_WORDS = 300_000
@@ -44,13 +44,6 @@ _PLAIN = re.compile(r"[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9 \t-\r]+")
 
 
-def _byte_characters() -> dict[str, int]:
-    """Byte-level vocabularies write visible bytes as they are and others from U+0100 on."""
-    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in visible]
-    return {chr(b): b for b in visible} | {chr(256 + n): b for n, b in enumerate(hidden)}
-
-
 class Encoder:
     """Ids of a lower-case vocabulary with word ends ("</w>"), as its tokenizer file gives them.
 
@@ -68,7 +61,7 @@ class Encoder:
             parsed = json.load(file)
         special = {t["content"] for t in parsed["added_tokens"]}
         self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
-        values, ranks = _byte_characters(), {}
+        values, ranks = byte_characters(), {}
         for token, number in parsed["model"]["vocab"].items():
             if token not in special:
                 body = [values[c] for c in token.removesuffix("</w>")]

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,3 +58,40 @@ def written(df: DataFrame, name: str) -> DataFrame:
     with _shuffles_freed(spark):
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def set_aside(docs: DataFrame, used: Sequence[str]) -> tuple[DataFrame, list[Column]]:
+    """The rows with every column but ``used`` under a name of its own, and the way back.
+
+    Operators may then add columns of any name; selecting the second part gives the
+    caller's columns again, in their order.
+    """
+    mine = {name: f"given_{n}" for n, name in enumerate(docs.columns) if name not in used}
+    aside = docs.select(*(F.col(f"`{n}`").alias(mine.get(n, n)) for n in docs.columns))
+    return aside, [F.col(mine[n]).alias(n) if n in mine else F.col(n) for n in docs.columns]
+
+
+def numbered(rows: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """The rows with ``number``, their place from 0 in the order of some columns.
+
+    A range sort, with one count per shuffle partition; no task sees all rows.
+    """
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    # The id holds the partition above its lowest 33 bits, and the place in it.
+    placed = written(ordered.withColumn("place", F.monotonically_increasing_id()), name)
+    part = F.shiftright("place", 33)
+    sizes = placed.groupBy(part.alias("part")).count().orderBy("part").collect()
+    firsts = accumulate((row["count"] for row in sizes), initial=0)
+    begins = rows.sparkSession.createDataFrame(
+        [(row.part, n) for row, n in zip(sizes, firsts)], "part long, before long"
+    )
+    number = F.col("before") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.join(F.broadcast(begins), part == F.col("part")).select(*rows.columns, number.alias("number"))
+
+
+def byte_characters() -> dict[str, int]:
+    """The bytes that byte-level vocabularies mean by their characters: visible ones are
+    written as they are, the others as characters from U+0100 on."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {chr(b): b for b in visible} | {chr(256 + n): b for n, b in enumerate(hidden)}

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import text_or_empty
+from millrace.llm.common import set_aside, text_or_empty
 
 _LOCAL_BYTES = 24 << 20
 _OWNER_BYTES = 96 << 20
@@ -259,12 +259,13 @@ def owned(docs: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """One row of each group of equal texts, that with the smallest doc_id."""
-    groups = owners(docs).where("group_size > 1").select("owner_sha", "keep_id", "owner_ties")
-    marked = docs.withColumn("exact_sha", F.sha2(normalised(), 256)).join(
+    rows, back = set_aside(docs, ("doc_id", "text"))
+    groups = owners(rows).where("group_size > 1").select("owner_sha", "keep_id", "owner_ties")
+    marked = rows.withColumn("exact_sha", F.sha2(normalised(), 256)).join(
         groups, F.col("exact_sha") == F.col("owner_sha"), "left"
     )
     stays = F.col("owner_sha").isNull() | F.col("doc_id").eqNullSafe(F.col("keep_id"))
     stays = marked.where(stays)
     tied = stays.where("owner_ties > 1").dropDuplicates(["doc_id", "exact_sha"])
     single = stays.where("owner_ties is null or owner_ties = 1")
-    return single.unionByName(tied).select(*docs.columns)
+    return single.unionByName(tied).select(*back)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WORD, text_or_empty, written
+from millrace.llm.common import WORD, set_aside, text_or_empty, written
 
 Schedule = Sequence[tuple[float, float]]
 
@@ -109,14 +109,17 @@ def mix(
 
     Adds mix_size, mix_source_size, mix_target, mix_taken and mix_times, the
     times (0..1) of each pass over the document. Order within a source is by
-    the digest of doc_id, so reruns agree on any cluster.
+    the digest of doc_id, so reruns agree on any cluster. Columns of these names that
+    docs has already are replaced.
 
     A source may hold any share of the rows: running sums go over 256 and again
     256 digest ranges of partial sums, then within one range of the source.
     """
+    docs = docs.drop("mix_size", "mix_source_size", "mix_target", "mix_taken", "mix_times")
+    given, back = set_aside(docs, ("doc_id", "text", "source"))
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    placed = docs.select(
-        *[F.col(c) for c in docs.columns],
+    placed = given.select(
+        *given.columns,
         word_count().alias("mix_size"),
         digest.alias("mix_digest"),
         F.substring(digest, 1, 2).alias("mix_r1"),
@@ -177,7 +180,7 @@ def mix(
             when = F.when(F.col("mix_turn") % kinds == kind, time_of(demand, schedule)).otherwise(when)
         times.append(F.when(part[n] > 0, when))
     return rows.select(
-        *[F.col(c) for c in docs.columns],
+        *back,
         "mix_size",
         "mix_source_size",
         "mix_target",
@@ -192,5 +195,6 @@ def in_training_order(docs: DataFrame, **options) -> DataFrame:
     A document taken in part comes whole; one the mix does not take is left out.
     Ties in time are ordered by doc_id.
     """
-    mixed = mix(docs, **options).withColumn("mix_time", F.explode("mix_times"))
-    return mixed.orderBy("mix_time", "doc_id").select(*docs.columns)
+    rows, back = set_aside(docs, ("doc_id", "text", "source"))
+    mixed = mix(rows, **options).withColumn("mix_time", F.explode("mix_times"))
+    return mixed.orderBy("mix_time", "doc_id").select(*back)

@@ -15,7 +15,8 @@ where the first minimum moves along with j and is kept in a monotone queue.
 Each scan task packs its own rows in the order in which they are stored, so texts
 are never shuffled. Spark hands out the splits of files by size; sequences are
 numbered by file name and place in the file instead, so a table that is written in
-training order has its sequences numbered in that order, over any number of files.
+training order has its sequences numbered in that order, over any number of files. The
+splits are numbered by a range sort and joined with the pieces, which are small rows.
 Rows that are no file scan are numbered by partition. Task retries pack alike.
 
 Nulls: a null text has only its end token, a null doc_id is passed on. Repeated
@@ -24,7 +25,7 @@ rows are packed once each; an empty table gives no sequences.
 
 from __future__ import annotations
 
-import base64
+import json
 import re
 import zlib
 from array import array
@@ -38,6 +39,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import byte_characters, numbered
+
 END_ID = 1
 _KNOWN_PIECES = 300_000
 _BLOCK_TOKENS = 1 << 20
@@ -45,23 +48,30 @@ _encoders: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """Ids of a byte-level vocabulary, remembered for pieces between single spaces.
+    """Ids of a byte-level tokenizer file, remembered for pieces between single spaces.
 
     The split pattern always starts a new piece at a single space before a word,
-    so text without runs of spaces may be encoded piece by piece.
+    so text without runs of spaces may be encoded piece by piece. The file's special
+    tokens keep their ids in a text.
     """
 
-    def __init__(self, ranks_path: str) -> None:
+    def __init__(self, path: str) -> None:
         import public_tokenizers
         import tiktoken
 
-        with open(ranks_path, "rb") as file:
-            ranks = {base64.b64decode(t): int(n) for t, n in map(bytes.split, file)}
-        self.encode = tiktoken.Encoding(
-            "corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-        ).encode_ordinary
+        with open(path, encoding="utf-8") as file:
+            parsed = json.load(file)
+        special = {t["content"]: t["id"] for t in parsed["added_tokens"]}
+        plain = {t: n for t, n in parsed["model"]["vocab"].items() if t not in special}
+        values = byte_characters()
+        ranks = {bytes(values[c] for c in token): number for token, number in plain.items()}
+        coder = tiktoken.Encoding(
+            "corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special
+        )
+        self.encode = lambda text: coder.encode(text, allowed_special="all")
+        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
         self.known: dict[str, bytes] = {}
-        self.closes = np.zeros(max(ranks.values()) + 2, bool)
+        self.closes = np.zeros(max([*ranks.values(), *special.values()]) + 2, bool)
         for token, number in ranks.items():
             self.closes[number] = token[-1:] in b".!?\n"
 
@@ -75,7 +85,7 @@ class Encoder:
 
     def ids(self, text: str) -> bytes:
         """Unsigned 32-bit little-endian ids."""
-        if "  " in text:
+        if "  " in text or self.special.search(text):
             return array("I", self.encode(text)).tobytes()
         first, *rest = text.split(" ")
         known = self.known
@@ -89,10 +99,10 @@ class Encoder:
         return array("I", self.encode(first)).tobytes() + body
 
 
-def encoder(ranks_path: str) -> Encoder:
-    if ranks_path not in _encoders:
-        _encoders[ranks_path] = Encoder(ranks_path)
-    return _encoders[ranks_path]
+def encoder(path: str) -> Encoder:
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def choose_cuts(places: np.ndarray, costs: np.ndarray, size: int) -> list[int]:
@@ -195,7 +205,7 @@ def packed_block(doc_ids: list, tokens: list[bytes], closes, size, prices, first
 
 def pack(
     docs: DataFrame,
-    ranks_path: str,
+    path: str,
     size: int = 2048,
     prices: tuple[float, float, float] = (4.0, 8.0, 16.0),
 ) -> DataFrame:
@@ -207,48 +217,59 @@ def pack(
     if size & (size - 1):
         raise ValueError("size must be a power of two")
 
+    split = _split_columns(docs)
+    scanned = bool(split)
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-        *_split_columns(docs),
+        *split,
     )
-    firsts = {split: n << 40 for n, split in enumerate(_splits(docs))}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(ranks_path)
+        coder = encoder(path)
         end = array("I", [END_ID]).tobytes()
-        number, split = TaskContext.get().partitionId() << 40, None
-        doc_ids, tokens, held = [], [], 0
+        number = 0 if scanned else TaskContext.get().partitionId() << 40
+        doc_ids, tokens, held, now = [], [], 0, None
+
+        def block() -> pa.RecordBatch:
+            nonlocal number
+            found, number = packed_block(doc_ids, tokens, coder.closes, size, prices, number)
+            if now:
+                for name, value in zip(_SPLIT, now):
+                    found = found.append_column(name, pa.array([value] * found.num_rows))
+            return found
+
         for batch in batches:
             for doc_id, text, *place in zip(*batch.columns):
                 place = [p.as_py() for p in place]
-                if place and place != split:
+                if (place and place != now) or held >= _BLOCK_TOKENS:
                     if tokens:
-                        yield packed_block(doc_ids, tokens, coder.closes, size, prices, number)[0]
+                        yield block()
                         doc_ids, tokens, held = [], [], 0
-                    split, number = place, firsts[tuple(place)]
+                    if place != now and place:
+                        now, number = place, 0
                 doc_ids.append(doc_id.as_py())
                 tokens.append(coder.ids(text.as_py()) + end)
                 held += len(tokens[-1]) // 4
-                if held >= _BLOCK_TOKENS:
-                    block, number = packed_block(
-                        doc_ids, tokens, coder.closes, size, prices, number
-                    )
-                    yield block
-                    doc_ids, tokens, held = [], [], 0
         if tokens:
-            yield packed_block(doc_ids, tokens, coder.closes, size, prices, number)[0]
+            yield block()
+
+    names = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+    if not split:
+        return texts.mapInArrow(run, names)
+    pieces = texts.mapInArrow(run, f"{names}, file string, block long")
+    order = _numbered_splits(docs, split)
+    found = pieces.join(order, (F.col("file") == F.col("of_file")) & (F.col("block") == F.col("of_block")))
+    sequence = F.shiftleft("number", 40) + F.col("sequence_id")
+    return found.withColumn("sequence_id", sequence).select(*_PIECES.names)
 
-    return texts.mapInArrow(
-        run,
-        "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
-        "sequence_id long, offset long",
-    )
+
+_SPLIT = ("file", "block")
 
 
 def _split_columns(docs: DataFrame) -> list:
     """File and place of the split a row is read from; none if rows are no file scan."""
-    columns = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start")]
+    columns = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
     try:
         docs.select(*columns).schema
     except AnalysisException:
@@ -256,15 +277,11 @@ def _split_columns(docs: DataFrame) -> list:
     return columns
 
 
-def _splits(docs: DataFrame) -> list[tuple[str, int]]:
-    """The splits that hold rows, by file name and place; reads no column."""
-    columns = _split_columns(docs)
-    if not columns:
-        return []
-    rows = docs.select(*columns).distinct().collect()
-    return sorted(map(tuple, rows), key=lambda split: (_by_number(split[0]), split[1]))
-
-
-def _by_number(path: str) -> list:
-    """A sort key that puts part-100000 after part-99999."""
-    return [int(x) if n % 2 else x for n, x in enumerate(re.split(r"(\d+)", path))]
+def _numbered_splits(docs: DataFrame, split: list) -> DataFrame:
+    """The splits that hold rows, numbered by file name and place; reads no column."""
+    # Runs of digits compare as numbers: part-100000 comes after part-99999.
+    parts = F.split("file", r"(?<=\d)(?=\D)|(?<=\D)(?=\d)")
+    by_number = F.transform(parts, lambda x: F.when(x.rlike(r"^\d"), F.lpad(x, 40, "0")).otherwise(x))
+    rows = docs.select(*split).distinct().withColumn("by_number", by_number)
+    order = numbered(rows, ["by_number", "block", "file"], "splits")
+    return order.select(F.col("file").alias("of_file"), F.col("block").alias("of_block"), "number")

@@ -68,7 +68,7 @@ def op9_exact_dedup(spark, sf_dir):
 @query
 def op3_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 @query

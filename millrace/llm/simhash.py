@@ -27,9 +27,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import text_or_empty, written
+from millrace.llm.common import set_aside, text_or_empty, written
 from millrace.llm.components import components
-from millrace.llm.passages import Settings, paired
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _HASHES = 1 << 15
@@ -47,105 +46,6 @@ def shingle_places(text: str, width: int) -> tuple[bytes, list[int], list[int]]:
     return joined, np.concatenate([[0], after[:-width]]).tolist(), (after[width - 1 :] - 1).tolist()
 
 
-def shingles(text: str, width: int) -> np.ndarray:
-    """Hashes of the distinct shingles; a text without words has one, the empty one."""
-    joined, starts, ends = shingle_places(text, width)
-    hashed = xxhash.xxh64_intdigest
-    return np.unique(np.array([hashed(joined[a:b], 42) for a, b in zip(starts, ends)], np.uint64))
-
-
-_BANDS, _ROWS = 20, 4
-_TURNS = np.random.default_rng(64).integers(0, 1 << 63, (_BANDS * _ROWS, 1), np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-def band_keys(values: np.ndarray) -> np.ndarray:
-    """One number per band of least hashes; sets of similarity 0.8 share one of 20 with
-    probability 1 - (1 - 0.8 ** 4) ** 20, above 0.9999."""
-    least = np.full(len(_TURNS), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(values), 4096):
-        turned = values[None, at : at + 4096] * _TURNS
-        turned ^= turned >> np.uint64(32)
-        turned *= np.uint64(0xD6E8FEB86659FD93)
-        least = np.minimum(least, turned.min(axis=1))
-    rows = least.reshape(_BANDS, _ROWS)
-    key = np.arange(1, _BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for n in range(_ROWS):
-        key = (key ^ rows[:, n]) * np.uint64(0xC2B2AE3D27D4EB4F)
-        key ^= key >> np.uint64(29)
-    return key.view(np.int64)
-
-
-def jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    """Of two arrays of distinct values."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / (len(a) + len(b) - both)
-
-
-def similar_texts(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFrame:
-    """Links (src, dst) of text digests whose shingles have a Jaccard similarity of at
-    least ``least``. Candidates share a band; each is compared by its
-    shingles. A band of many texts pairs neighbours by the next bands.
-    """
-    body = text_or_empty()
-    texts = docs.select(F.xxhash64(body).alias("tid"), body.alias("body"))
-
-    def banded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch[at : at + 512]
-                keys = np.array([band_keys(shingles(t, width)) for t in part["body"]])
-                flat = keys.astype(">i8")
-                ctx = [row[[(n + 1) % _BANDS, (n + 2) % _BANDS]].tobytes() for row in flat for n in range(_BANDS)]
-                yield pd.DataFrame(
-                    {"key": keys.ravel(), "ctx": ctx, "tid": part["tid"].to_numpy().repeat(_BANDS), "place": 0, "place2": 0}
-                )
-
-    rows = texts.mapInPandas(banded, "key long, ctx binary, tid long, place int, place2 int")
-    ordered = rows.repartition("key").sortWithinPartitions("key", "ctx", "tid")
-    rule = Settings()
-    found = ordered.mapInPandas(lambda b: paired(b, rule), "tid long, other long, a int, b int")
-    pairs = written(found.select("tid", "other").distinct(), "candidates")
-    asked = pairs.select(F.explode(F.array("tid", "other")).alias("asked")).distinct()
-    kept = texts.join(asked, F.col("tid") == F.col("asked"), "left_semi")
-    bodies = written(kept.groupBy("tid").agg(F.first("body").alias("body")), "asked")
-
-    @F.pandas_udf("boolean")
-    def similar(one: pd.Series, two: pd.Series) -> pd.Series:
-        known = {}
-        for t in (*one, *two):
-            if t not in known:
-                known[t] = shingles(t, width)
-        return pd.Series([jaccard(known[a], known[b]) >= least for a, b in zip(one, two)], dtype=bool)
-
-    first = bodies.select(F.col("tid").alias("src"), F.col("body").alias("one"))
-    second = bodies.select(F.col("tid").alias("dst"), F.col("body").alias("two"))
-    return (
-        pairs.join(first, F.col("tid") == F.col("src"))
-        .join(second, F.col("other") == F.col("dst"))
-        .where(similar("one", "two"))
-        .select("src", "dst")
-    )
-
-
-def without_similar(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFrame:
-    """One document of each group that links of :func:`similar_texts` tie together: that
-    with the smallest doc_id. Rows without an id cannot be told apart and stay."""
-    links_found = written(similar_texts(docs, width, least), "similar")
-    roots = components(links_found)
-    named = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("tid")).join(
-        roots, F.col("tid") == F.col("node"), "left"
-    )
-    named = named.select("doc_id", F.coalesce("root", "tid").alias("top"))
-    smallest = named.groupBy(F.col("top").alias("t")).agg(F.min("doc_id").alias("first_id"))
-    dropped = (
-        named.join(smallest, F.col("top") == F.col("t"))
-        .where("doc_id <> first_id")
-        .select(F.col("doc_id").alias("dropped_id"))
-        .distinct()
-    )
-    return docs.join(dropped, docs["doc_id"] == F.col("dropped_id"), "left_anti")
-
-
 def fingerprint(text: str, width: int) -> int:
     """The 64-bit fingerprint, as a signed integer."""
     joined, starts, ends = shingle_places(text, width)
@@ -315,38 +215,58 @@ def links(prints: DataFrame, errors: int = 4) -> DataFrame:
     return groups.groupBy("trie", "low", "high").applyInPandas(walk, "src long, dst long")
 
 
-def near_duplicates(docs: DataFrame, errors: int = 4, width: int = 4) -> DataFrame:
-    """doc_id, simhash (signed) and component_id of every row.
-
-    component_id is the smallest doc_id reachable over links of fingerprints
-    that differ in at most ``errors`` bits.
-    """
+def grouped(docs: DataFrame, errors: int = 4, width: int = 4) -> DataFrame:
+    """doc_id, simhash and component_id of every row, with two hashes of its text."""
+    text = text_or_empty()
+    keys = [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2")]
     rows = written(
-        with_fingerprint(docs.select("doc_id", "text"), width=width).drop("text"), "simhash"
+        with_fingerprint(docs.select("doc_id", "text", *keys), width=width).drop("text"), "simhash"
     )
     prints = rows.groupBy("simhash").agg(F.min("doc_id").alias("first_id"))
     roots = components(links(prints, errors))
-    grouped = prints.join(roots, F.col("simhash") == F.col("node"), "left").select(
+    tied = prints.join(roots, F.col("simhash") == F.col("node"), "left").select(
         F.col("simhash").alias("print"),
         "first_id",
         F.coalesce("root", "simhash").alias("root"),
     )
-    smallest = grouped.groupBy(F.col("root").alias("top")).agg(F.min("first_id").alias("component_id"))
-    named = grouped.join(smallest, F.col("root") == F.col("top")).select("print", "component_id")
-    return rows.join(named, F.col("simhash") == F.col("print")).select(
-        "doc_id", "simhash", "component_id"
-    )
+    smallest = tied.groupBy(F.col("root").alias("top")).agg(F.min("first_id").alias("component_id"))
+    named = tied.join(smallest, F.col("root") == F.col("top")).select("print", "component_id", "root")
+    return rows.join(named, F.col("simhash") == F.col("print")).drop("print")
+
+
+def near_duplicates(docs: DataFrame, errors: int = 4, width: int = 4) -> DataFrame:
+    """doc_id, simhash (signed) and component_id of every row.
+
+    component_id is the smallest doc_id reachable over links of fingerprints
+    that differ in at most ``errors`` bits.
+    """
+    return grouped(docs, errors, width).select("doc_id", "simhash", "component_id")
 
 
 def deduplicated(docs: DataFrame, errors: int = 4, width: int = 4) -> DataFrame:
-    """One document of each group of near duplicates: that with the smallest doc_id.
+    """One row of each group of near duplicates: that with the smallest doc_id.
 
-    Rows without an id cannot be told apart and stay.
+    Rows are told apart by id and text together: of rows that share the smallest id the one
+    with the smallest hashes of its text stays, and of rows alike in both one. A null id
+    counts as larger than any other.
     """
-    dropped = (
-        near_duplicates(docs, errors, width)
-        .where("doc_id <> component_id")
-        .select(F.col("doc_id").alias("dropped_id"))
-        .distinct()
+    rows, back = set_aside(docs, ("doc_id", "text"))
+    # Copies of a row count once; a group's first row is its smallest by id, then text.
+    found = grouped(rows, errors, width).groupBy("doc_id", "t1", "t2", "root").agg(F.count("*").alias("copies"))
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "t1", "t2")
+    firsts = found.groupBy(F.col("root").alias("top")).agg(F.min(place).alias("first"))
+    marked = found.join(firsts, F.col("root") == F.col("top")).select(
+        F.col("doc_id").alias("id"), "t1", "t2", (place == F.col("first")).alias("first"), "copies"
+    )
+    # What stays as it is, nearly all rows, need not be named.
+    named = marked.where(~F.col("first") | (F.col("copies") > 1))
+    text = text_or_empty()
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("id"))
+        & (F.xxhash64(text) == F.col("t1"))
+        & (F.xxhash64(F.lit(1), text) == F.col("t2"))
     )
-    return docs.join(dropped, docs["doc_id"] == F.col("dropped_id"), "left_anti")
+    joined = rows.join(named, same, "left")
+    single = joined.where("first is null")
+    repeated = joined.where("first").dropDuplicates(["id", "t1", "t2"])
+    return single.unionByName(repeated).select(*back)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -30,7 +31,7 @@ from millrace.llm import (
     warc,
 )
 
-RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def words(text):
@@ -120,22 +121,49 @@ def test_simhash_components(docs, rows, nothing, errors):
     assert simhash.near_duplicates(nothing).count() == 0
 
 
-def test_near_copies_equal_brute_force(spark):
+def test_one_row_of_each_near_group_stays(spark):
     rng = np.random.default_rng(8)
-    texts = []
+    rows = []
     for n in range(40):
-        one = [f"w{x}" for x in rng.integers(0, 9999, 200)]
-        texts.append(one)
-        # Jaccard of about 0.95 down to 0.6.
-        texts.append([f"x{i}" if i % 200 in {7 + 23 * k for k in range(n % 10)} else w for i, w in enumerate(one)])
-    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
-    gone = {
-        j for i in range(80) for j in range(i + 1, 80)
-        if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
-    }
-    docs = spark.createDataFrame([(n, " ".join(t)) for n, t in enumerate(texts)], "doc_id long, text string")
-    kept = {r.doc_id for r in simhash.without_similar(docs).collect()}
-    assert len(gone) >= 15 and set(range(80)) - kept == gone
+        one = [f"w{x}" for x in rng.integers(0, 9999, 300)]
+        rows.append((2 * n, " ".join(one)))
+        # One word changed, or many.
+        rows.append((2 * n + 1, " ".join(one[: 299 - n] + ["x"] + (one[300 - n :] if n % 2 else []))))
+    # An id that two texts share, rows that repeat, rows without an id.
+    rows += [(7, rows[10][1]), (7, "quite another text of its own"), (3, "quite another text of its own")]
+    rows += [(200, "said once more"), (200, "said once more"), (None, "said once more"), (None, None), (None, None), (201, "")]
+    prints = [plain_fingerprint(t) for _, t in rows]
+    label = list(range(len(rows)))
+    for _ in rows:
+        for i, a in enumerate(prints):
+            for j, b in enumerate(prints):
+                if (a ^ b).bit_count() <= 4:
+                    label[i] = label[j] = min(label[i], label[j])
+    groups = defaultdict(list)
+    for row, k in zip(rows, label):
+        groups[k].append(row)
+    # Texts of a group that share the smallest id may each be the one that stays.
+    left = [{r for r in g if (r[0] is None, r[0] or 0) == min((x[0] is None, x[0] or 0) for x in g)} for g in groups.values()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    docs = docs.withColumns({c: F.lit(c) for c in ("t1", "root", "first", "id", "copies", "simhash", "dropped_id")})
+    kept = simhash.deduplicated(docs)
+    assert kept.columns == docs.columns and {r.root for r in kept.collect()} == {"root"}
+    kept = [(r.doc_id, r.text) for r in kept.collect()]
+    assert len(kept) == len(groups) and 40 < len(groups) < len(rows)
+    for group in left:
+        assert sum((d, t) in group or (d, t or None) in group for d, t in set(kept)) == 1
+    assert simhash.deduplicated(docs.limit(0)).collect() == []
+
+
+def test_reserved_names_are_given_back(spark, rows):
+    names = ("keep_id", "exact_sha", "owner_sha", "mix_size", "mix_time", "mix_times", "toxicity", "given_0", "source_size")
+    docs = spark.createDataFrame([r[:2] + r[3:4] for r in rows], "doc_id long, text string, source string")
+    docs = docs.withColumns({name: F.lit(name) for name in names})
+    for found in (exact.deduplicated(docs), mixing.in_training_order(docs), simhash.deduplicated(docs)):
+        assert found.columns == docs.columns
+        assert {tuple(r[n] for n in names) for r in found.collect()} == {names}
+    mixed = mixing.mix(docs)
+    assert {r.mix_size for r in mixed.collect()} != {"mix_size"} and mixed.columns.count("mix_size") == 1
 
 
 @pytest.mark.parametrize("depth", [0, 3])
@@ -168,10 +196,9 @@ def test_components_of_a_long_chain(spark):
 
 
 def test_pack_covers_every_id_once(docs, rows, nothing):
-    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
+    tokenizer = Tokenizer.from_file(BYTE_BPE)
     ids = {r[0]: tokenizer.encode(r[1] or "", add_special_tokens=False).ids + [1] for r in rows}
-    got = packing.pack(docs, RANKS, size=256).collect()
+    got = packing.pack(docs, BYTE_BPE, size=256).collect()
     pieces, sequences = defaultdict(list), defaultdict(list)
     for r in got:
         body = np.array(ids[r.doc_id][r.start : r.start + r.length], np.uint32)
@@ -189,7 +216,15 @@ def test_pack_covers_every_id_once(docs, rows, nothing):
             assert offset == at
             at += length
         assert at <= 256
-    assert packing.pack(nothing, RANKS).count() == 0
+    assert packing.pack(nothing, BYTE_BPE).count() == 0
+
+
+def test_special_tokens_keep_their_ids():
+    ours, tokenizer = packing.Encoder(BYTE_BPE), Tokenizer.from_file(BYTE_BPE)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|><|endoftext|>\n y", "<|endof", "  a  b ", "é\u00a0中\U0001f600 "]
+    for text in texts:
+        assert np.frombuffer(ours.ids(text), np.uint32).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(ours.ids(texts[0]), np.uint32).tolist() == [64, 220, 50256, 275]
 
 
 def test_sequences_follow_the_stored_order_over_files(spark, tmp_path):
@@ -200,7 +235,7 @@ def test_sequences_follow_the_stored_order_over_files(spark, tmp_path):
         part = spark.createDataFrame(rows[at:stop], "doc_id long, text string").coalesce(1)
         part.write.parquet(str(tmp_path / "t" / f"part-{at:05d}"))
     table = spark.read.parquet(*[str(tmp_path / "t" / f"part-{at:05d}") for at in (0, 150, 160)])
-    got = packing.pack(table, RANKS, size=256).orderBy("sequence_id", "offset").collect()
+    got = packing.pack(table, BYTE_BPE, size=256).orderBy("sequence_id", "offset").collect()
     order = [r.doc_id for r in got]
     assert order == sorted(order) and set(order) == set(range(400))
 
@@ -256,6 +291,41 @@ def test_toxicity_learns_and_is_total(labelled, docs, nothing, spark):
     assert toxicity.fit(texts, labels.limit(0)).bias == -35.0
 
 
+def test_toxicity_is_a_plain_ftrl_loop(labelled):
+    texts, labels = labelled
+    settings = toxicity.Settings()
+    model = toxicity.fit(texts, labels, settings)
+    rows = sorted(
+        toxicity.training_sample(texts, labels, "toxic", settings.max_rows).collect(),
+        key=lambda r: (r.doc_id * -7046029254386353131 + (1 << 63)) % (1 << 64) - (1 << 63),
+    )
+    positive = sum(r.label for r in rows)
+    bias, bias_n = math.log((positive + 0.5) / (len(rows) - positive + 0.5)), 0.0
+    z, n = defaultdict(float), defaultdict(float)
+    l1 = toxicity.Ftrl(settings, 0.0, len(rows)).l1
+
+    def weight(slot):
+        if abs(z[slot]) <= l1:
+            return 0.0
+        rate = (settings.beta + math.sqrt(n[slot])) / settings.alpha + settings.l2
+        return -(z[slot] - math.copysign(l1, z[slot])) / rate
+
+    sets = hashed.gram_sets([r.text for r in rows], settings.bits)
+    for _ in range(settings.rounds):
+        for row, slots in zip(rows, sets):
+            slots = slots.tolist()
+            weights = [weight(s) for s in slots]
+            g = 1 / (1 + math.exp(-(bias + sum(weights)))) - row.label
+            for s, w in zip(slots, weights):
+                z[s] += g - (math.sqrt(n[s] + g * g) - math.sqrt(n[s])) / settings.alpha * w
+                n[s] += g * g
+            bias_n += g * g
+            bias -= settings.alpha / (settings.beta + math.sqrt(bias_n)) * g
+    assert model.bias == pytest.approx(bias, abs=1e-9)
+    expected = {s: weight(s) for s in z if weight(s)}
+    assert dict(zip(model.slots.tolist(), model.weights.tolist())) == pytest.approx(expected, abs=1e-9)
+
+
 def test_quality_combines_views(labelled, docs, nothing):
     texts, labels = labelled
     model = quality.fit(texts, labels.where("doc_id < 400"))
