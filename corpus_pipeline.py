@@ -11,13 +11,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import exact, mixing, packing, simhash, toxicity
-from millrace.llm.common import table, written
+from millrace.llm.common import set_aside, table, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below one half; the model is fitted on the labelled ones."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.scored(docs, model, "toxicity_score").where("toxicity_score < 0.5").select(*docs.columns)
+    rows, back = set_aside(docs, ("text",))
+    return toxicity.scored(rows, model, "toxicity").where("toxicity < 0.5").select(*back)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +27,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word shingles have a Jaccard of 0.8 or more."""
-    return simhash.without_similar(docs, width=5, least=0.8)
+    """One document of each group whose fingerprints of four-word shingles differ in four bits at most."""
+    return simhash.deduplicated(docs, errors=4, width=4)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +38,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of training sequences, packed in the stored order."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [
