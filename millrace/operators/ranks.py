@@ -1,9 +1,11 @@
 """Exact rank cuts without a global sort: positional and stratified splits.
 
 A window over a whole table is one task. To split at an exact rank only one
-value is needed: the key of the row at that rank. It is found by counting rows
-per coarse key range, choosing the range that holds the rank, and repeating
-inside it. Every pass is an aggregation with partial sums; rows are not moved.
+value is needed: the key of the row at that rank. Numbers, dates and times: a sketch of the
+keys brackets the rank in the pass that counts them, and exact counts below and in
+the bracket finish it, after further sketches inside if it holds very many rows. Texts:
+rows are counted per leading characters, the range that holds the rank is chosen, and
+so on inside it. Every pass is an aggregation with partial sums; rows are not moved.
 """
 
 from __future__ import annotations
@@ -19,37 +21,18 @@ from pyspark.sql import types as T
 
 from millrace.operators.layout import cut_lineage
 
-# A pass returns at most this many ranges (2**bits) of whole numbers per wanted
-# rank; of texts, as many as there are characters at one place; or, once a range
-# holds few rows, its distinct keys.
-_BITS = 12
-_FEW = 20_000
+# A pass over texts returns as many ranges as there are characters at one place; once a
+# range or bracket is expected to hold few rows, the distinct keys in it are returned.
+_FEW = 50_000
+# Size of a sketch, quantiles taken from it, and by how many of these a rank may be off:
+# five times the sketch's normalised error at that size.
+_SKETCH, _QUANTILES, _SLACK = 8_000, 1_024, 4
 
 
 class TiedRank(ValueError):
     """The keys do not tell apart the rows on both sides of a cut."""
 
 
-class _Integers:
-    """Ranges of integers: the leading bits."""
-
-    exact = 0
-
-    def __init__(self, low: int, high: int, longest: int):
-        self.first = 0
-        while (high >> self.first) - (low >> self.first) >= 1 << _BITS:
-            self.first += 1
-
-    def range_of(self, key: str, level: int) -> Column:
-        return F.shiftright(F.col(key).cast("long"), level) if level else F.col(key)
-
-    def parent(self, value: int, level: int, coarser: int) -> int:
-        return value >> (coarser - level)
-
-    def finer(self, level: int, spans: list[tuple]) -> int:
-        return max(level - _BITS, 0)
-
-
 def _shared(low: str, high: str) -> int:
     """Length of the common start."""
     return next((i for i, (a, b) in enumerate(zip(low, high)) if a != b), min(len(low), len(high)))
@@ -79,19 +62,42 @@ def _any(conditions: Sequence[Column]) -> Column:
     return out
 
 
+def _measure(df: DataFrame, key: str) -> tuple[Column, str] | None:
+    """A number that never falls where the key rises, and the sketches for it; None for text."""
+    kind, column = df.schema[key].dataType, F.col(key)
+    if isinstance(kind, T.StringType):
+        return None
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("long"), "bigint"
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column), "bigint"
+    if isinstance(kind, (T.IntegralType, T.BooleanType)):
+        return column.cast("long"), "bigint"
+    # NaN is the largest number in Spark's order.
+    return F.nanvl(column.cast("double"), F.lit(math.inf)), "double"
+
+
+def _quantiles(number: Column, kind: str) -> Column:
+    """Evenly spaced quantiles of the numbers that are not null; null if there are none."""
+    sketch = getattr(F, f"kll_sketch_agg_{kind}")(number, F.lit(_SKETCH))
+    places = F.array(*(F.lit(i / _QUANTILES) for i in range(_QUANTILES + 1)))
+    return F.when(F.count(number) > 0, getattr(F, f"kll_sketch_get_quantile_{kind}")(sketch, places))
+
+
 @dataclass(frozen=True)
 class Limits:
-    """Rows of a group and the span of their keys."""
+    """Rows of a group, the span of their keys and quantiles of keys that are numbers."""
 
     n: int
     low: object
     high: object
     longest: int
+    quantiles: list | None = None
 
 
 def key_limits(df: DataFrame, key: str, group: Column) -> dict:
     """Limits per group value, in one pass."""
-    is_text = isinstance(df.schema[key].dataType, T.StringType)
+    number = _measure(df, key)
     found = (
         df.groupBy(group.alias("_group"))
         .agg(
@@ -99,24 +105,132 @@ def key_limits(df: DataFrame, key: str, group: Column) -> dict:
             F.count(key).alias("keyed"),
             F.min(key).alias("low"),
             F.max(key).alias("high"),
-            F.max(F.length(key)).alias("longest") if is_text else F.lit(0).alias("longest"),
+            (F.lit(0) if number else F.max(F.length(key))).alias("longest"),
+            (_quantiles(*number) if number else F.lit(None)).alias("quantiles"),
         )
         .collect()
     )
     if any(row.n != row.keyed for row in found):
         raise ValueError(f"rows without {key} have no place in the order")
-    return {row["_group"]: Limits(row.n, row.low, row.high, row.longest) for row in found}
+    return {row["_group"]: Limits(row.n, row.low, row.high, row.longest, row.quantiles) for row in found}
+
+
+@dataclass(frozen=True)
+class _Region:
+    """Keys between two bounds (None: open) that hold ``n`` rows, the wanted one as the
+    ``togo``-th; ``quantiles`` of them if a sketch was made."""
+
+    low: object
+    high: object
+    n: int
+    togo: int
+    quantiles: list | None
+
+    def holds(self, number: Column) -> Column:
+        inside = F.lit(True)
+        if self.low is not None:
+            inside = inside & (number > F.lit(self.low))
+        if self.high is not None:
+            inside = inside & (number < F.lit(self.high))
+        return inside
+
+    def bracket(self) -> tuple:
+        """Two keys between which the wanted row is expected, and the rows expected there."""
+        q = self.quantiles
+        at = self.togo * _QUANTILES // self.n
+        first, last = max(at - _SLACK, 0), min(at + 1 + _SLACK, _QUANTILES)
+        return q[first], q[last], 0 if q[first] == q[last] else self.n * (last - first) // _QUANTILES
+
+
+def _locate_number(df: DataFrame, key: str, group: Column, wanted: list[tuple], limits: dict) -> dict:
+    """As :func:`_locate`, by quantile sketches and exact counts.
+
+    A bracket's own ends are counted apart, so each pass leaves fewer keys even where
+    many rows share one; a rank outside its bracket is looked for on that side.
+    """
+    number, kind = _measure(df, key)
+    rows = df.select(group.alias("_group"), key, number.alias("_measure"))
+    number, out = F.col("_measure"), {}
+    state = {
+        (g, rank): _Region(None, None, limits[g].n, rank, limits[g].quantiles) for g, rank in wanted
+    }
+    while state:
+        # Narrow: the keys themselves are counted. Wide: only the bracket's parts, and its
+        # inside is sketched.
+        parts, narrow_ones, wide_ones, per_key = {}, [], [], F.lit(False)
+        for n, (target, region) in enumerate(state.items()):
+            low, high, expected = region.bracket() if region.quantiles else (None, None, region.n)
+            of_group = F.col("_group").eqNullSafe(F.lit(target[0])) & region.holds(number)
+            part = F.when(of_group, 2)
+            if low is not None:
+                part = (
+                    F.when(of_group & (number < F.lit(low)), 0)
+                    .when(of_group & (number == F.lit(low)), 1)
+                    .when(of_group & (number < F.lit(high)), 2)
+                    .when(of_group & (number == F.lit(high)), 3)
+                    .when(of_group, 4)
+                )
+            ends = part.isin(1, 3)
+            if expected <= _FEW:
+                narrow_ones.append(part.alias(f"_p{n}"))
+                per_key = per_key | F.coalesce(ends | (part == 2), F.lit(False))
+            else:
+                wide_ones += [F.count_if(part == i).alias(f"_p{n}_{i}") for i in (0, 2, 4)]
+                wide_ones.append(_quantiles(F.when(part == 2, number), kind).alias(f"_q{n}"))
+                narrow_ones.append(F.when(ends, part).alias(f"_p{n}"))
+                per_key = per_key | F.coalesce(ends, F.lit(False))
+            parts[target] = (n, low, high, expected <= _FEW)
+        names = [f"_p{n}" for n in range(len(parts))]
+        counted = (
+            rows.select("_group", F.when(per_key, F.col(key)).alias("_key"), *narrow_ones)
+            .where(_any([F.col(n).isNotNull() for n in names]))
+            .groupBy("_group", "_key", *names)
+            .agg(F.count("*").alias("n"))
+            .collect()
+        )
+        wide = {r["_group"]: r for r in rows.groupBy("_group").agg(*wide_ones).collect()} if wide_ones else {}
+        following = {}
+        for target, region in state.items():
+            n, low, high, narrow = parts[target]
+            mine = [r for r in counted if r["_group"] == target[0] and r[f"_p{n}"] is not None]
+            togo = region.togo
+            for part in range(5):
+                keys: dict = defaultdict(int)
+                for r in mine:
+                    if r[f"_p{n}"] == part:
+                        keys[r["_key"]] += r.n
+                by_key = narrow or part in (1, 3)
+                size = sum(keys.values()) if by_key else wide[target[0]][f"_p{n}_{part}"]
+                if togo > size:
+                    togo -= size
+                    continue
+                if by_key and part in (1, 2, 3):
+                    for value in sorted(keys, key=lambda v: (v != v, v)):
+                        if togo <= keys[value]:
+                            out[target] = (value, togo, keys[value])
+                            break
+                        togo -= keys[value]
+                elif part == 2:
+                    bounds = (region.low, region.high) if low is None else (low, high)
+                    following[target] = _Region(*bounds, size, togo, wide[target[0]][f"_q{n}"])
+                else:
+                    bounds = (region.low, low) if part == 0 else (high, region.high)
+                    following[target] = _Region(*bounds, size, togo, None)
+                break
+        state = following
+    return out
 
 
 def _locate(
     df: DataFrame, key: str, group: Column, wanted: list[tuple], limits: dict
 ) -> dict:
     """For each (group value, rank): key value there, rank among its equals, equals."""
-    is_text = isinstance(df.schema[key].dataType, T.StringType)
+    if _measure(df, key):
+        return _locate_number(df, key, group, wanted, limits)
     groups = {g for g, _ in wanted}
     rows = df.select(group.alias("_group"), key)
     rows = rows.where(_any([F.col("_group").eqNullSafe(F.lit(g)) for g in groups]))
-    ranges = (_Texts if is_text else _Integers)(
+    ranges = _Texts(
         min(limits[g].low for g in groups),
         max(limits[g].high for g in groups),
         max(limits[g].longest for g in groups),
@@ -173,7 +287,7 @@ def rank_cuts(
 ) -> dict:
     """The key values of the rows at the wanted (group value, rank) places.
 
-    ``keys`` are integer or text columns, compared in turn; later ones are
+    ``keys`` are columns of numbers, dates, times or text, compared in turn; later ones are
     looked at only among rows equal in the earlier ones. The result gives, per
     wanted pair, the leading key values that decide the cut.
     """

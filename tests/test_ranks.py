@@ -10,8 +10,9 @@ from millrace.sources.files import POSITION, with_position
 @pytest.fixture()
 def narrow(monkeypatch):
     """Force many descent passes on small data."""
-    monkeypatch.setattr(ranks, "_BITS", 3)
     monkeypatch.setattr(ranks, "_FEW", 4)
+    for name, value in (("_SKETCH", 8), ("_QUANTILES", 8), ("_SLACK", 1)):
+        monkeypatch.setattr(ranks, name, value)
 
 
 def part_of(df, order, fraction):
@@ -27,6 +28,42 @@ def test_cut_of_integers_equals_sorting(spark, narrow, keys, fraction):
     assert {k for (k,), part in got.items() if part == "initial"} == set(first)
 
 
+def passes(spark, monkeypatch):
+    """Counts the aggregations whose rows come to the driver."""
+    frame = type(spark.range(0))
+    counted, collect = [], frame.collect
+
+    def counting(df):
+        counted.append(df)
+        return collect(df)
+
+    monkeypatch.setattr(frame, "collect", counting)
+    return counted
+
+
+@pytest.mark.parametrize(
+    "key",
+    ["id * 7919 % 300007", "date_add(DATE'1990-01-01', CAST(id % 20011 AS int))", "id / 7.0D", "timestamp_seconds(id)", "CAST(id AS decimal(20, 3)) / 3"],
+)
+def test_numbers_and_dates_take_two_passes(spark, monkeypatch, key):
+    df = spark.range(300_000).selectExpr(f"{key} AS k", "id")
+    counted = passes(spark, monkeypatch)
+    limits = ranks.key_limits(df, "k", F.lit(0))
+    ((value, place, equals),) = ranks._locate(df, "k", F.lit(0), [(0, 270_000)], limits).values()
+    assert len(counted) == 2
+    below = df.where(F.col("k") < F.lit(value)).count()
+    assert below + place == 270_000 and df.where(F.col("k") == F.lit(value)).count() == equals
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf"), float("-inf")])
+def test_cut_of_doubles_with_infinite_ones(spark, narrow, bad):
+    values = [bad] * 3 + [x / 3 for x in range(-20, 20)] + [1e300, -1e300, 0.0]
+    df = spark.createDataFrame([(v, n) for n, v in enumerate(values)], "k double, n int")
+    got = {k[1] for k, part in part_of(df, ["k", "n"], 0.9).items() if part == "initial"}
+    order = sorted(range(len(values)), key=lambda n: (values[n] != values[n], values[n], n))
+    assert got == set(order[: int(len(values) * 0.9)])
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.sets(
