@@ -473,6 +473,17 @@ SELECT vehicle_id, n_rows,
 FROM counts""",
     "telemetry_plain_avg": f"WITH {TELEMETRY}, {VEHICLES} SELECT * FROM vehicles",
     "telemetry_salted_avg": f"WITH {TELEMETRY}, {VEHICLES} SELECT * FROM vehicles",
+    "telemetry_selective_salt": f"WITH {TELEMETRY}, {VEHICLES} SELECT * FROM vehicles",
+    "registry_as_of": """WITH promoted AS (
+  SELECT o_orderpriority AS segment, o_orderdate AS trained_on, 'v' || max(o_orderkey) AS model_version
+  FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL)
+SELECT o.o_orderkey, o.o_orderpriority AS segment, o.o_orderdate, p.model_version, p.trained_on
+FROM orders o ASOF LEFT JOIN promoted p ON o.o_orderpriority = p.segment AND o.o_orderdate >= p.trained_on
+WHERE o.o_orderstatus <> 'F'""",
+    "segment_models": f"""WITH {CUSTOMERS}
+SELECT c_nationkey, senior_citizen, count(*) AS n_rows,
+  floor(avg(churn) * 10000 + CAST('0.500001' AS DOUBLE)) / 10000 AS probability
+FROM customers GROUP BY c_nationkey, senior_citizen""",
     "telemetry_top_vehicles": f"""WITH {TELEMETRY}, {VEHICLES} SELECT * FROM vehicles
 ORDER BY total_readings DESC, vehicle_id, vehicle_model LIMIT 10""",
     "telemetry_hash_layout": f"WITH {TELEMETRY}, {VEHICLES} SELECT * FROM vehicles",
@@ -612,6 +623,7 @@ SELECT customer_id, {", ".join(
     "stream_formula_scores": FORMULA_SCORES,
     "promotion_decisions": PROMOTION,
     "retrain_decisions": RETRAIN,
+    "retrain_log": RETRAIN,
     "registry_current": f"""WITH {REGISTRY} SELECT * FROM registry WHERE promoted
 QUALIFY row_number() OVER (PARTITION BY segment ORDER BY sequence DESC) = 1""",
     "registry_status": f"""WITH {REGISTRY}

@@ -10,6 +10,12 @@
     monitor TABLE REPORTS            quality and drift of the latest rows
     retrain-check MODELS REPORTS [--days N] [--recent-auc X]
     score TABLE MODELS OUTPUT        scores of valid rows, the others apart
+    ingest-stream TABLE INCOMING CHECKPOINT         ingest what is new or changed in a folder
+    score-stream RECORDS MODELS OUTPUT CHECKPOINT   score records that arrive as Parquet files
+    monitor-stream RECORDS MODELS OUTPUT CHECKPOINT reports per arriving batch against the training rows
+
+Every job takes --settings FILE, a JSON file of fields of Settings. The streaming jobs take
+what is there and end; --every SECONDS keeps them running.
 """
 
 from __future__ import annotations
@@ -32,7 +38,10 @@ from millrace.sources.files import (
     read_telemetry_csv,
 )
 from millrace.sources.tables import BucketedTable
-from millrace.streaming.ingest import ingest_folder
+from millrace.settings import Settings
+from millrace.streaming.ingest import ingest_folder, start_ingest
+from millrace.streaming.monitoring import start_monitoring
+from millrace.streaming.scoring import incoming_records, start_quarantine, start_scoring
 
 
 def run_telemetry(spark: SparkSession, args) -> None:
@@ -52,7 +61,7 @@ def run_prepare(spark: SparkSession, args) -> None:
 
 
 def run_ingest(spark: SparkSession, args) -> None:
-    ingestion = Ingestion(spark, args.table, quarantine=args.quarantine)
+    ingestion = Ingestion(spark, args.table, args.settings, quarantine=args.quarantine)
     if args.seed and ingestion.table.state().version is None:
         ingestion.seed(list_csv(spark, args.seed))
     ingest_folder(ingestion, args.incoming, args.files_per_batch, args.archive)
@@ -69,17 +78,17 @@ def _customers(spark: SparkSession, path: str):
 
 def run_train(spark: SparkSession, args) -> None:
     store = training.ModelStore(spark, args.models)
-    print(training.train(_customers(spark, args.table), store).reason)
+    print(training.train(_customers(spark, args.table), store, args.settings).reason)
 
 
 def run_retrain(spark: SparkSession, args) -> None:
     store = training.ModelStore(spark, args.models)
-    print(training.retrain(_customers(spark, args.table), store).reason)
+    print(training.retrain(_customers(spark, args.table), store, args.settings).reason)
 
 
 def run_monitor(spark: SparkSession, args) -> None:
     version = BucketedTable(spark, args.table).state().version
-    quality, drift = monitoring.monitor(_customers(spark, args.table), INGEST_ORDER)
+    quality, drift = monitoring.monitor(_customers(spark, args.table), INGEST_ORDER, args.settings)
     monitoring.write_reports(quality, drift, args.reports, version)
     monitoring.latest_drift(spark, args.reports).show()
 
@@ -88,14 +97,14 @@ def run_retrain_check(spark: SparkSession, args) -> None:
     store = training.ModelStore(spark, args.models)
     production = training.promotion.production_models(store.registry())
     drift = monitoring.latest_drift(spark, args.reports)
-    monitoring.retrain_check(args.days, args.recent_auc, production, drift).show(truncate=False)
+    checked = monitoring.retrain_check(args.days, args.recent_auc, production, drift, args.settings)
+    monitoring.log_checks(checked, f"{args.models}/retrain_checks")
+    checked.show(truncate=False)
 
 
 def run_score(spark: SparkSession, args) -> None:
     store = training.ModelStore(spark, args.models)
-    production = store.production()
-    if production is None:
-        raise SystemExit("no model in production; run train first")
+    production = _production(store)
     customers = _customers(spark, args.table)
     model = store.load(production)
     scores = training.score(model, customers, production.model_version, production.model_type)
@@ -103,6 +112,42 @@ def run_score(spark: SparkSession, args) -> None:
     overwrite_parquet(quarantined(check_records(customers)), f"{args.output}/invalid")
 
 
+def _until_done(query) -> None:
+    query.awaitTermination()
+
+
+def run_ingest_stream(spark: SparkSession, args) -> None:
+    ingestion = Ingestion(spark, args.table, args.settings)
+    _until_done(start_ingest(ingestion, args.incoming, args.checkpoint, trigger=args.trigger))
+
+
+def _production(store: training.ModelStore):
+    production = store.production()
+    if production is None:
+        raise SystemExit("no model in production; run train first")
+    return production
+
+
+def run_score_stream(spark: SparkSession, args) -> None:
+    store = training.ModelStore(spark, args.models)
+    row = _production(store)
+    records = incoming_records(spark, args.records)
+    scores = start_scoring(
+        store.load(row), records, f"{args.output}/scores", f"{args.checkpoint}/scores",
+        row.model_version, row.model_type, args.trigger,
+    )
+    bad = start_quarantine(records, f"{args.output}/invalid", f"{args.checkpoint}/invalid", args.trigger)
+    for query in (scores, bad):
+        _until_done(query)
+
+
+def run_monitor_stream(spark: SparkSession, args) -> None:
+    store = training.ModelStore(spark, args.models)
+    train = store.profile(_production(store))
+    records = incoming_records(spark, args.records)
+    _until_done(start_monitoring(records, train, args.output, args.checkpoint, args.settings, args.trigger))
+
+
 JOBS = {
     "telemetry": (run_telemetry, ["pings", "output"]),
     "prepare": (run_prepare, ["raw", "output"]),
@@ -113,6 +158,9 @@ JOBS = {
     "monitor": (run_monitor, ["table", "reports"]),
     "retrain-check": (run_retrain_check, ["models", "reports"]),
     "score": (run_score, ["table", "models", "output"]),
+    "ingest-stream": (run_ingest_stream, ["table", "incoming", "checkpoint"]),
+    "score-stream": (run_score_stream, ["records", "models", "output", "checkpoint"]),
+    "monitor-stream": (run_monitor_stream, ["records", "models", "output", "checkpoint"]),
 }
 
 
@@ -125,6 +173,9 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
         job = jobs.add_parser(name)
         for argument in positional:
             job.add_argument(argument)
+        job.add_argument("--settings", type=Settings.read, default=Settings())
+        if name.endswith("-stream"):
+            job.add_argument("--every", type=float)
         if name == "ingest":
             job.add_argument("--seed")
             job.add_argument("--quarantine")
@@ -140,6 +191,8 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
 
 def main(arguments: list[str] | None = None) -> None:
     args = parse(arguments)
+    every = getattr(args, "every", None)
+    args.trigger = {"processingTime": f"{every} seconds"} if every else None
     spark = SparkSession.builder.appName(f"millrace {args.job}").getOrCreate()
     JOBS[args.job][0](spark, args)
 

@@ -17,11 +17,21 @@ from pyspark.sql import functions as F
 from millrace import schemas
 from millrace.functions.cleaning import clean_customers
 from millrace.functions.features import engineer_features, to_model_matrix
-from millrace.operators import aggregates, evaluation, layout, merge, promotion, quality, ranks
+from millrace.operators import (
+    aggregates,
+    asof,
+    evaluation,
+    hot_keys,
+    layout,
+    merge,
+    promotion,
+    quality,
+    ranks,
+)
 from millrace.operators.profiles import drift_from_profiles as profile_drift
 from millrace.operators.profiles import merged, profile
 from millrace.operators.validation import check_records
-from millrace.plans import monitoring, telemetry, training, views
+from millrace.plans import monitoring, segments, telemetry, training, views
 from millrace.plans.ingestion import Ingestion, required_columns
 from millrace.session import scratch_path
 from millrace.settings import Settings
@@ -98,6 +108,18 @@ def telemetry_salted_avg(spark, folder):
     return telemetry.vehicle_averages(views.telemetry(spark, folder), ["event_id"], scale=2)
 
 
+@query
+def telemetry_selective_salt(spark, folder):
+    """Vehicle averages in which only the hot vehicles, named by a sketch per day, are salted."""
+    pings = telemetry.readings(views.telemetry(spark, folder), "event_id", "event_time")
+    days = hot_keys.hot_key_state(
+        pings.withColumn("day", F.to_date("event_time")), telemetry.VEHICLE, ["day"]
+    )
+    return hot_keys.selectively_salted_agg(
+        pings, telemetry.VEHICLE, telemetry.averages(scale=2), ["event_id"], states=days
+    )
+
+
 @query
 def telemetry_top_vehicles(spark, folder):
     return telemetry.busiest_vehicles(telemetry_salted_avg(spark, folder))
@@ -772,9 +794,45 @@ def registry_status(spark, folder):
     )
 
 
+@query
+def registry_as_of(spark, folder):
+    """For each open order: the model in production for its priority on its date."""
+    orders = views.table(spark, folder, "orders")
+    promoted = _order_registry(spark, folder).where("promoted").join(
+        orders.select(F.col("o_orderkey").alias("sequence"), F.col("o_orderdate").alias("trained_on")), "sequence"
+    )
+    asked = orders.where("o_orderstatus <> 'F'").select(
+        "o_orderkey", F.col("o_orderpriority").alias("segment"), "o_orderdate"
+    )
+    return asof.as_of(
+        asked, "o_orderdate", promoted, "trained_on", ["model_version", "trained_on"], ["segment"], ["sequence"]
+    )
+
+
+@query
+def retrain_log(spark, folder):
+    """Retraining decisions as stored and read back."""
+    path = scratch_path(spark, "retrain-log")
+    monitoring.log_checks(retrain_decisions(spark, folder), path)
+    return spark.read.parquet(path).drop("checked_at")
+
+
 # --- models ----------------------------------------------------------------
 
 
+@query
+def segment_models(spark, folder):
+    """Churn by a model per nation of one 0/1 column: its probabilities are the groups' shares."""
+    customers = views.customers(spark, folder).select("c_nationkey", "senior_citizen", "churn")
+    models = segments.fit_segments(customers, ["c_nationkey"], ["senior_citizen"], "churn")
+    cells = customers.groupBy("c_nationkey", "senior_citizen").agg(F.count("*").alias("n_rows"))
+    scored = segments.score_segments(cells, models, ["c_nationkey"], ["senior_citizen"])
+    return scored.withColumn(
+        "probability", F.floor(F.col("probability") * 10_000 + F.lit(0.500001)) / 10_000
+    )
+
+
+
 @query
 def train_evaluate(spark, folder):
     fitted = training.fit_and_evaluate(customer_clean(spark, folder))

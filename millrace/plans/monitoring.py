@@ -62,3 +62,8 @@ def retrain_check(
     return retrain_decisions(
         given.withColumns({"production_auc": auc, "drift_zscore": score}), settings
     )
+
+
+def log_checks(decisions: DataFrame, path: str) -> None:
+    """Append retraining decisions with their signals, reasons and the time of the check."""
+    decisions.withColumn("checked_at", F.current_timestamp()).write.mode("append").parquet(path)

@@ -26,6 +26,16 @@ def model_summary(telemetry: DataFrame, scale: int | None = None) -> DataFrame:
     return keyed_agg(readings(telemetry), ["vehicle_model"], measures).orderBy("vehicle_model")
 
 
+VEHICLE = ["vehicle_id", "vehicle_model"]
+
+
+def averages(scale: int | None = None) -> dict[str, Measure]:
+    return {
+        "avg_engine_temp_c": Measure("avg", "engine_temp_c", scale),
+        "total_readings": Measure("count"),
+    }
+
+
 def vehicle_averages(
     telemetry: DataFrame,
     row_key: list[str],
@@ -34,11 +44,7 @@ def vehicle_averages(
     buckets: int = 8,
 ) -> DataFrame:
     """Mean temperature and readings per vehicle; hot vehicles split by a salt."""
-    measures = {
-        "avg_engine_temp_c": Measure("avg", "engine_temp_c", scale),
-        "total_readings": Measure("count"),
-    }
-    keys = ["vehicle_id", "vehicle_model"]
+    measures, keys = averages(scale), VEHICLE
     rows = readings(telemetry, *(k for k in row_key if k not in READING_COLUMNS))
     if not salted:
         return keyed_agg(rows, keys, measures)

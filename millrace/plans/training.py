@@ -12,7 +12,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -20,6 +20,7 @@ from millrace import schemas
 from millrace.functions.features import to_model_matrix
 from millrace.operators import promotion
 from millrace.operators.evaluation import accuracy, roc_auc
+from millrace.operators.profiles import PROFILE, profile
 from millrace.operators.ranks import stratified_split
 from millrace.operators.validation import accepted, check_records
 from millrace.settings import Settings
@@ -27,8 +28,13 @@ from millrace.sources.tables import read_or_empty
 
 
 def split_matrix(customers: DataFrame, settings: Settings) -> DataFrame:
-    """Model columns with id, label and an exact stratified ``split``."""
+    """Model columns with id, label and an exact stratified ``split``.
+
+    Rows of which no model feature can be made, such as those of a tenure outside
+    its buckets, or without a label are left out.
+    """
     matrix = to_model_matrix(customers, (settings.id_column, settings.target_column))
+    matrix = matrix.dropna(subset=[*schemas.MODEL_FEATURES, settings.target_column])
     return stratified_split(
         matrix,
         settings.target_column,
@@ -104,12 +110,23 @@ def candidate_pipeline(settings: Settings) -> Pipeline:
     )
 
 
+#: One row per training.
+REPORT = (
+    "model_version string, trained_at timestamp, candidate_promoted boolean, selection_reason string, "
+    "promoted boolean, reason string, incumbent_version string, incumbent_auc double, n_rows long, "
+    "n_left_out long, baseline_path string, candidate_path string"
+)
+
+
 @dataclass(frozen=True)
 class Fitted:
     baseline: PipelineModel
     candidate: PipelineModel
     metrics: dict[tuple[str, str], dict]
     n_rows: int
+    n_left_out: int = 0
+    #: Profile of the drift features of all rows given.
+    profile: list[Row] = ()
 
 
 def probability(column: str = "probability"):
@@ -160,9 +177,11 @@ def fit_and_evaluate(customers: DataFrame, settings: Settings = Settings()) -> F
     The matrix is persisted once for the many passes of both fits; a lost
     block is recomputed, and row membership does not change when it is.
     """
-    rows = spread(
-        split_matrix(customers, settings), settings.id_column, settings.training_partitions
-    ).persist(
+    given = profile(customers, list(settings.drift_features)).collect()
+    n_given = given[0].n_rows if given else 0
+    # By the rows alone, so a forest is the same on any cluster.
+    partitions = max(16, math.ceil(n_given / settings.training_partition_rows))
+    rows = spread(split_matrix(customers, settings), settings.id_column, partitions).persist(
         StorageLevel.MEMORY_AND_DISK
     )
     try:
@@ -182,7 +201,8 @@ def fit_and_evaluate(customers: DataFrame, settings: Settings = Settings()) -> F
         }
         for r in report
     }
-    return Fitted(baseline, candidate, metrics, sum(sizes.values()))
+    used = sum(sizes.values())
+    return Fitted(baseline, candidate, metrics, used, n_given - used, given)
 
 
 def metrics_table(spark: SparkSession, fitted: Fitted) -> DataFrame:
@@ -251,6 +271,14 @@ class ModelStore:
     def evaluations(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/evaluations")
 
+    def reports(self) -> DataFrame:
+        """One row per training: the decision, its reasons, the incumbent and both models."""
+        return self.spark.read.parquet(f"{self.path}/reports")
+
+    def profile(self, row) -> DataFrame:
+        """The profile of the rows a model was trained on."""
+        return self.spark.read.parquet(f"{self.path}/profiles/model_version={row.model_version}")
+
     def load(self, row) -> PipelineModel:
         return PipelineModel.load(row.model_path)
 
@@ -262,15 +290,27 @@ class ModelStore:
         return 0 if top is None else top + 1
 
 
-def _store(store: ModelStore, fitted: Fitted, decision, promoted, reason, settings: Settings):
-    """Save the picked model, the evaluation rows and the registry row, in that order."""
+def _store(store: ModelStore, fitted: Fitted, decision, promoted, reason, incumbent=None):
+    """Save both models, the training profile, report and evaluation rows and, last, the registry row."""
     spark = store.spark
     at = datetime.now(timezone.utc)
     sequence = store.next_sequence()
     version = f"{at:v%Y%m%d_%H%M%S}_{sequence}"
     picked = "candidate" if decision.candidate_promoted else "baseline"
-    path = f"{store.path}/models/{version}"
-    getattr(fitted, picked).write().overwrite().save(path)
+    paths = {name: f"{store.path}/models/{version}/{name}" for name in ("baseline", "candidate")}
+    for name, path in paths.items():
+        getattr(fitted, name).write().overwrite().save(path)
+    path = paths[picked]
+    spark.createDataFrame(fitted.profile, PROFILE).coalesce(1).write.mode("overwrite").parquet(
+        f"{store.path}/profiles/model_version={version}"
+    )
+    report = (
+        version, at, decision.candidate_promoted, decision.selection_reason, promoted, reason,
+        incumbent.model_version if incumbent else None,
+        incumbent.test_metrics.roc_auc if incumbent else None,
+        fitted.n_rows, fitted.n_left_out, paths["baseline"], paths["candidate"],
+    )
+    spark.createDataFrame([report], REPORT).coalesce(1).write.mode("append").parquet(f"{store.path}/reports")
     metrics_table(spark, fitted).withColumn("model_version", F.lit(version)).coalesce(
         1
     ).write.mode("append").parquet(f"{store.path}/evaluations")
@@ -293,7 +333,7 @@ def train(customers: DataFrame, store: ModelStore, settings: Settings = Settings
     """First training: deploy the candidate if it passes the guardrail, else the baseline."""
     fitted = fit_and_evaluate(customers, settings)
     decision = _decision(store.spark, fitted, None, settings)
-    return _store(store, fitted, decision, True, decision.selection_reason, settings)
+    return _store(store, fitted, decision, True, decision.selection_reason)
 
 
 def retrain(customers: DataFrame, store: ModelStore, settings: Settings = Settings()):
@@ -311,7 +351,7 @@ def retrain(customers: DataFrame, store: ModelStore, settings: Settings = Settin
         decision,
         decision.promoted,
         prefix + decision.promotion_reason,
-        settings,
+        incumbent,
     )
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import dataclass, fields
 
 
 @dataclass(frozen=True)
@@ -20,8 +21,8 @@ class Settings:
     trees: int = 300
     tree_depth: int = 8
     min_leaf_rows: int = 5
-    #: Part of the model's definition: another number gives another forest.
-    training_partitions: int = 16
+    #: Part of the model's definition: another number may give another forest.
+    training_partition_rows: int = 100_000
 
     # promotion guardrail
     min_roc_auc: float = 0.80
@@ -47,3 +48,15 @@ class Settings:
     min_new_days: int = 7
     auc_drop: float = 0.03
     drift_trigger: float = 2.0
+
+    @classmethod
+    def read(cls, path: str | None) -> Settings:
+        """Settings from a JSON file of some of the fields; others keep their defaults."""
+        if not path:
+            return cls()
+        with open(path, encoding="utf-8") as file:
+            given = json.load(file)
+        unknown = sorted(set(given) - {field.name for field in fields(cls)})
+        if unknown:
+            raise ValueError(f"unknown settings: {unknown}")
+        return cls(**{name: tuple(v) if isinstance(v, list) else v for name, v in given.items()})

@@ -16,6 +16,7 @@ def start_monitoring(
     output: str,
     checkpoint: str,
     settings: Settings = Settings(),
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Write a ``profile`` per batch below ``output``, and its ``drift`` and ``quality`` rows.
 
@@ -37,6 +38,6 @@ def start_monitoring(
     return (
         records.writeStream.foreachBatch(report)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )

@@ -25,6 +25,7 @@ def start_scoring(
     checkpoint: str,
     model_version: str,
     model_type: str,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Append the scores of valid records to a table."""
     return (
@@ -32,18 +33,20 @@ def start_scoring(
         .writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start(output)
     )
 
 
-def start_quarantine(records: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
+def start_quarantine(
+    records: DataFrame, output: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
     """Append records outside the domain, with the fields at fault, to a table."""
     return (
         quarantined(check_records(records))
         .writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start(output)
     )

@@ -65,6 +65,30 @@ def test_customer_jobs(spark, tmp_path, quick, capsys):
     assert (scores.count(), invalid.count()) == (1485, 15)
 
 
+    log = spark.read.parquet(path("models/retrain_checks")).first()
+    assert log.should_retrain and log.checked_at and log.triggered_by[0].startswith("8 days")
+
+    table.read().select(*schemas.CUSTOMER_COLUMNS).write.parquet(path("arrived"))
+    main(["score-stream", path("arrived"), path("models"), path("out2"), path("c1")])
+    assert spark.read.parquet(path("out2/scores")).count() == scores.count()
+    assert spark.read.parquet(path("out2/invalid")).count() == invalid.count()
+    main(["monitor-stream", path("arrived"), path("models"), path("reports2"), path("c2")])
+    assert spark.read.parquet(path("reports2/drift")).agg(F.max("drift_zscore")).first()[0] == 0
+    main(["ingest-stream", path("table"), path("clean/part=incoming"), path("c3")])
+    assert table.commits().agg(F.max("batch_id")).first()[0] == 1
+    main(["compact", path("table")])
+    assert table.read().count() == 1500
+
+
+def test_settings_come_from_a_file(tmp_path):
+    (tmp_path / "s.json").write_text('{"trees": 7, "drift_features": ["tenure_months"]}')
+    found = Settings.read(str(tmp_path / "s.json"))
+    assert (found.trees, found.drift_features, found.seed) == (7, ("tenure_months",), 42)
+    (tmp_path / "bad.json").write_text('{"tree": 7}')
+    with pytest.raises(ValueError, match="tree"):
+        Settings.read(str(tmp_path / "bad.json"))
+
+
 def test_score_needs_a_model(spark, tmp_path):
     with pytest.raises(SystemExit, match="run train first"):
         main(["score", str(tmp_path / "t"), str(tmp_path / "m"), str(tmp_path / "o")])

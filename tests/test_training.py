@@ -2,6 +2,7 @@ from dataclasses import replace
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from millrace import schemas
@@ -81,9 +82,24 @@ def test_first_retrain_becomes_production(customers, store, few_trees):
     assert store.production().model_version == row.model_version
     assert row.feature_columns == schemas.MODEL_FEATURES
     assert store.evaluations().count() == 4
+    report = store.reports().first()
+    assert (report.model_version, report.reason, report.incumbent_version) == (row.model_version, row.reason, None)
+    assert (report.n_rows, report.n_left_out) == (customers.count(), 0)
+    for path in (report.baseline_path, report.candidate_path):
+        assert PipelineModel.load(path).transform(to_model_matrix(customers.limit(3))).count() == 3
+    assert {r.feature: r.n for r in store.profile(row).collect()}["tenure_months"] == customers.count()
     assert store.load(row).transform(to_model_matrix(customers.limit(3))).count() == 3
 
 
+def test_rows_outside_the_domain_are_left_out(customers, store, few_trees):
+    odd = customers.limit(2).withColumns(
+        {"customer_id": F.concat(F.lit("odd"), "customer_id"), "tenure_months": F.lit(-1)}
+    )
+    row = training.train(customers.unionByName(odd), store, few_trees)
+    report = store.reports().first()
+    assert row.promoted and (report.n_rows, report.n_left_out) == (customers.count(), 2)
+
+
 def test_much_stronger_production_is_kept(customers, store, few_trees):
     forged(store, 0.999)
     row = training.retrain(customers, store, few_trees)
