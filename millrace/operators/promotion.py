@@ -33,6 +33,9 @@ REGISTRY = T.StructType(
 )
 
 
+# The wording of reasons and issues below is part of the results.
+
+
 def _text(value: Column) -> Column:
     return F.coalesce(value.cast("string"), F.lit("undefined"))
 

@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 from millrace.settings import Settings
 
 
+# The wording of reasons and issues below is part of the results.
+
+
 def is_missing(df: DataFrame, name: str) -> Column:
     """Null, or NaN where the type has it."""
     value = F.col(name)

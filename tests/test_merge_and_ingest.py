@@ -2,15 +2,17 @@ import os
 import csv
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.operators.merge import concat, keep_last, merge_latest
 from millrace.plans import views
 from millrace.plans.ingestion import Ingestion
+from millrace.sources import files as ingestion_files
 from millrace.sources.files import list_csv, read_raw_customers, read_telemetry_csv
 from millrace.sources.tables import BucketedTable, latest, read_or_empty, write_batch
-from millrace.streaming.ingest import ingest_folder
+from millrace.streaming.ingest import ingest_folder, start_ingest
 from tests.conftest import RECORD
 
 ROWS = "id string, v int, b int, n int"
@@ -305,3 +307,56 @@ def test_telemetry_columns_in_any_order_with_extras(spark, tmp_path):
     (tmp_path / "t.csv").write_text(",".join(names) + "\n" + ",".join(values) + "\n")
     row = read_telemetry_csv(spark, str(tmp_path / "t.csv")).first()
     assert (row.engine_temp_c, row.vehicle_id, row.miles_driven) == (80.5, "V1", 2.5)
+
+
+def test_a_file_that_cannot_be_read_holds_up_no_other(spark, tmp_path, inbox, monkeypatch):
+    for name in ("a", "b[1]", "c", "d"):
+        write_records(inbox / f"{name}.csv", [{"customer_id": name}])
+    ingestion = Ingestion(spark, str(tmp_path / "table"))
+    opened = ingestion_files.open_headers
+
+    class Unreadable(PySparkException):
+        def getCondition(self):
+            return "FAILED_READ_FILE.NO_HINT"
+
+    def broken(spark, paths):
+        if any(path.endswith("c.csv") for path in paths):
+            raise Unreadable("lost")
+        return opened(spark, paths)
+
+    monkeypatch.setattr(ingestion_files, "open_headers", broken)
+    ingest_folder(ingestion, str(inbox))
+    assert set(ids(ingestion)) == {"a", "b[1]", "d"}
+    status = {r.source_file.split("/")[-1]: r.status for r in ingestion.table.commits().collect()}
+    assert status["c.csv"] == "unreadable" and status["b[1].csv"] == "ingested"
+    # It is taken once it is another file.
+    monkeypatch.setattr(ingestion_files, "open_headers", opened)
+    assert ingest_folder(ingestion, str(inbox)) == 0
+    write_records(inbox / "c.csv", [{"customer_id": "c"}, {"customer_id": "e"}])
+    ingest_folder(ingestion, str(inbox))
+    assert set(ids(ingestion)) == {"a", "b[1]", "c", "d", "e"}
+
+
+def test_a_stream_goes_on_where_it_stopped(spark, tmp_path, inbox):
+    ingestion = Ingestion(spark, str(tmp_path / "table"))
+    write_records(inbox / "b{x,y}.csv", [{"customer_id": "a"}])
+
+    def run(failing=None):
+        batch, ingestion.run_batch = ingestion.run_batch, failing or ingestion.run_batch
+        try:
+            start_ingest(ingestion, str(inbox), str(tmp_path / "checkpoint")).awaitTermination()
+        finally:
+            ingestion.run_batch = batch
+
+    def lost(paths):
+        raise RuntimeError("lost")
+
+    with pytest.raises(Exception, match="lost"):
+        run(lost)
+    run()
+    assert set(ids(ingestion)) == {"a"}
+    write_records(inbox / "b{x,y}.csv", [{"customer_id": "a", "tenure_months": 3}, {"customer_id": "z"}])
+    run()
+    run()
+    assert ids(ingestion) == {"a": 3, "z": RECORD["tenure_months"]}
+    assert len(list((tmp_path / "checkpoint" / "files").glob("*.json"))) == 2
