@@ -587,6 +587,9 @@ recent AS (SELECT * FROM customers ORDER BY c_custkey DESC LIMIT 400)
 {_drift("customers", "recent")}""",
     "drift_from_profiles": f"""WITH {CUSTOMERS},
 recent AS (SELECT * FROM customers ORDER BY c_custkey DESC LIMIT 400)
+{_drift("customers", "recent")}""",
+    "drift_of_latest_batch": f"""WITH {CUSTOMERS},
+recent AS (SELECT * FROM customers WHERE c_nationkey = (SELECT max(c_nationkey) FROM customers))
 {_drift("customers", "recent")}""",
     "drift_by_batch": f"WITH {CUSTOMERS} {_drift('customers', 'customers', 'c_nationkey')}",
     "drift_by_batch_summary": f"""WITH {CUSTOMERS},

@@ -7,7 +7,7 @@
     ingest TABLE INCOMING [--seed DIR] [--quarantine DIR] [--archive DIR] [--files-per-batch N]
     train TABLE MODELS               first training
     retrain TABLE MODELS             train again, replace production if better
-    monitor TABLE REPORTS            quality and drift of the latest rows
+    monitor TABLE REPORTS [--latest-batch]  quality and drift of the latest rows or batch
     retrain-check MODELS REPORTS [--days N] [--recent-auc X]
     score TABLE MODELS OUTPUT        scores of valid rows, the others apart
     ingest-stream TABLE INCOMING CHECKPOINT         ingest what is new or changed in a folder
@@ -88,7 +88,9 @@ def run_retrain(spark: SparkSession, args) -> None:
 
 def run_monitor(spark: SparkSession, args) -> None:
     version = BucketedTable(spark, args.table).state().version
-    quality, drift = monitoring.monitor(_customers(spark, args.table), INGEST_ORDER, args.settings)
+    quality, drift = monitoring.monitor(
+        _customers(spark, args.table), INGEST_ORDER, args.settings, "batch_id" if args.latest_batch else None
+    )
     monitoring.write_reports(quality, drift, args.reports, version)
     monitoring.latest_drift(spark, args.reports).show()
 
@@ -181,6 +183,8 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
             job.add_argument("--quarantine")
             job.add_argument("--archive")
             job.add_argument("--files-per-batch", type=int, default=1000)
+        if name == "monitor":
+            job.add_argument("--latest-batch", action="store_true")
         if name == "compact":
             job.add_argument("--least-deltas", type=int, default=1)
         if name == "retrain-check":

@@ -405,6 +405,15 @@ def stratified_split(
     return ordered.select(*columns, split.alias("split"))
 
 
+def latest_batch(df: DataFrame, batch: str) -> DataFrame:
+    """The rows of the greatest ``batch``; rows without one are in none.
+
+    The number is looked up in that column alone, and file statistics skip older batches.
+    """
+    newest = df.agg(F.max(batch)).first()[0]
+    return df.where(F.col(batch) == F.lit(newest)) if newest is not None else df.limit(0)
+
+
 def recent_rows(df: DataFrame, order: Sequence[str], n: int = 400) -> DataFrame:
     """The last ``n`` rows of the order.
 

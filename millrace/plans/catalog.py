@@ -550,6 +550,14 @@ def drift_report(spark, folder):
     return drift
 
 
+@query
+def drift_of_latest_batch(spark, folder):
+    """The latest batch (the greatest nation) against all rows."""
+    customers = views.customers(spark, folder).select(*schemas.CUSTOMER_COLUMNS, "c_custkey", "c_nationkey")
+    _, drift = monitoring.monitor(customers, ["c_nationkey", "c_custkey"], batch="c_nationkey")
+    return drift
+
+
 @query
 def drift_from_profiles(spark, folder):
     """The drift of the latest rows from stored profiles of batches, merged; no table is read again."""

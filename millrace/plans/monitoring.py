@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.promotion import retrain_decisions
 from millrace.operators.quality import drift_report, drift_summary, quality_report
-from millrace.operators.ranks import recent_rows
+from millrace.operators.ranks import latest_batch, recent_rows
 from millrace.settings import Settings
 from millrace.sources.tables import latest, read_or_empty, write_batch
 
@@ -17,10 +17,12 @@ DRIFT_REPORT = (
 )
 
 
-def monitor(table: DataFrame, order: list[str], settings: Settings = Settings()):
-    """(quality, drift) of the last rows of a table against the whole table."""
+def monitor(
+    table: DataFrame, order: list[str], settings: Settings = Settings(), batch: str | None = None
+):
+    """(quality, drift) of the last rows of a table, or of its latest ``batch``, against the whole."""
     columns = [c for c in table.columns if c not in order]
-    recent = recent_rows(table, order, settings.recent_rows)
+    recent = latest_batch(table, batch) if batch else recent_rows(table, order, settings.recent_rows)
     quality = quality_report(recent, settings, columns)
     return quality, drift_report(table, recent, settings)
 

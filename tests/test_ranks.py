@@ -181,3 +181,10 @@ def test_long_shared_paths_take_few_passes(spark, monkeypatch):
     assert initial.count() == 180_000
     # 150,000 rows stand in the first three paths, so the cut is inside the fourth.
     assert initial.where("path like '%-3-x.csv'").agg(F.max("id")).first()[0] == 4 * 30_000 - 1
+
+
+def test_latest_batch(spark):
+    df = spark.createDataFrame([(1, "a"), (3, "b"), (3, "c"), (None, "d")], "batch int, v string")
+    assert sorted(r.v for r in ranks.latest_batch(df, "batch").collect()) == ["b", "c"]
+    assert ranks.latest_batch(df.where("batch is null"), "batch").count() == 0
+    assert ranks.latest_batch(df.limit(0), "batch").count() == 0
