@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import xxhash
@@ -517,6 +518,31 @@ def made_words(rng, n, size=30_000):
     return [f"w{x}" for x in rng.integers(0, size, n)]
 
 
+@pytest.mark.parametrize("size", [1, 7, 64, 10_000])
+def test_seeds_are_split_like_plain_groups(size):
+    rng = np.random.default_rng(size)
+    s = passages.Settings(pairs_upto=5)
+    rows = [(int(k), int(t), int(p)) for k, t, p in zip(rng.zipf(1.5, 600) % 50 - 9, rng.integers(0, 9, 600), rng.integers(0, 99, 600))]
+    rows = sorted(set(rows + [(90, 3, p) for p in range(12)] + [(91, 3, 1)]))
+    batches = [pd.DataFrame(rows[at : at + size], columns=["seed", "tid", "place"]) for at in range(0, len(rows), size)]
+    got = pd.concat(list(passages._split(iter(batches), s)))
+    groups, pairs, many = defaultdict(list), Counter(), Counter()
+    for k, t, p in rows:
+        groups[k].append((t, p))
+    for k, places in groups.items():
+        if len({t for t, _ in places}) < 2:
+            continue
+        if len(places) > 5:
+            many.update((k, t, p) for t, p in places)
+        else:
+            pairs.update((t, u, p, q) for n, (t, p) in enumerate(places) for u, q in places[n + 1 :] if t != u)
+    hot = got[got.frequent.astype(bool)]
+    rest = got[~got.frequent.astype(bool)]
+    assert Counter(hot[["seed", "tid", "a"]].itertuples(index=False, name=None)) == many
+    assert Counter(rest[["tid", "other", "a", "b"]].itertuples(index=False, name=None)) == pairs
+    assert many and pairs
+
+
 def test_passage_of_frequent_lines_is_found(spark):
     rng = np.random.default_rng(5)
     lines = [made_words(rng, 25) for _ in range(3)]
@@ -567,7 +593,6 @@ def test_common_places_and_stretches_match_plain():
 
 
 def test_frequent_keys_pair_across_batches():
-    import pandas as pd
 
     s = passages.Settings(pairs_upto=4, reach=2)
     rng = np.random.default_rng(1)
