@@ -1,7 +1,7 @@
 """DuckDB SQL giving the expected result of each query in the catalog.
 
 Written from the rules of the operators, not from the Spark code. Queries
-without an entry (model fits) are compared in the tests by other means.
+without an entry (models of all columns) are compared in the tests by other means.
 """
 
 from __future__ import annotations
@@ -456,6 +456,68 @@ FROM (SELECT f.customer_id, monthly_charges / (monthly_charges + tenure_months)
   FROM faulty f JOIN checked c ON f.customer_id = c.customer_id
   WHERE c.failed_fields = '') valid"""
 
+# Customers of two kinds (x): a model can only learn the share of churn in each.
+def two_groups(*rounds: tuple[int, int]) -> str:
+    values = ", ".join(f"({r}, {high}, {low})" for r, (high, low) in enumerate(rounds))
+    return f"""{CUSTOMERS}, {SPLIT},
+rounds AS (SELECT * FROM (VALUES {values}) v(r, high, low)),
+grouped AS (SELECT r, customer_id, churn, split, CASE WHEN (c_custkey * 89) % 101
+    < CASE WHEN churn = 1 THEN high ELSE low END THEN 1 ELSE 0 END AS x FROM split, rounds),
+shares AS (SELECT r, x, avg(churn) AS share FROM grouped WHERE split = 'train' GROUP BY r, x),
+measured AS (SELECT g.r, split, count(*) AS n_samples,
+    round(avg(CASE WHEN (share > 0.5) = (churn = 1) THEN 1 ELSE 0 END), 4) AS accuracy,
+    round((1 + avg(g.x) FILTER (churn = 1) - avg(g.x) FILTER (churn = 0)) / 2, 4) AS roc_auc
+  FROM grouped g JOIN shares s ON g.r = s.r AND g.x = s.x WHERE split <> 'train'
+  GROUP BY g.r, split)"""
+
+
+# Newton steps for the summed log loss plus w * w / 2 over 17 equal columns, that is
+# w * w / 34 for their sum; z is the scaled column's value in either group.
+TWO_GROUP_SCORES = f"""WITH RECURSIVE {two_groups((85, 20))},
+cells AS (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(sum(x) AS DOUBLE) AS n1,
+    CAST(sum(churn * x) AS DOUBLE) AS y1, CAST(sum(churn * (1 - x)) AS DOUBLE) AS y0
+  FROM grouped WHERE split = 'train'),
+data AS (SELECT n - n1 AS n0, n1, y0, y1, -sqrt(n1 / (n - n1)) AS z0, sqrt((n - n1) / n1) AS z1
+  FROM cells),
+steps(i, b, w) AS (
+  SELECT 0, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)
+  UNION ALL
+  SELECT i + 1, b - (h22 * gb - h12 * gw) / (h11 * h22 - h12 * h12),
+    w - (h11 * gw - h12 * gb) / (h11 * h22 - h12 * h12)
+  FROM (SELECT i, b, w, e0 + e1 AS gb, z0 * e0 + z1 * e1 + w / 17 AS gw,
+      v0 + v1 AS h11, z0 * v0 + z1 * v1 AS h12, z0 * z0 * v0 + z1 * z1 * v1
+        + CAST(1 AS DOUBLE) / 17 AS h22
+    FROM (SELECT *, n0 * p0 - y0 AS e0, n1 * p1 - y1 AS e1,
+        n0 * p0 * (1 - p0) AS v0, n1 * p1 * (1 - p1) AS v1
+      FROM (SELECT *, 1 / (1 + exp(-b - w * z0)) AS p0, 1 / (1 + exp(-b - w * z1)) AS p1
+        FROM steps, data WHERE i < 30) a) c) d),
+fitted AS (SELECT 1 / (1 + exp(-b - w * z0)) AS p0, 1 / (1 + exp(-b - w * z1)) AS p1
+  FROM steps, data WHERE i = 30)
+SELECT customer_id, CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS churn_prediction,
+  round(round(p, 4), 3) AS churn_probability, 'v0' AS model_version,
+  'logistic_regression' AS model_type
+FROM (SELECT customer_id, CASE WHEN x = 1 THEN p1 ELSE p0 END AS p FROM grouped, fitted) scored"""
+
+# In each round both models order the groups alike, so their areas are equal.
+RETRAIN_TWO_GROUPS = f"""WITH {two_groups((75, 30), (95, 8), (80, 25))},
+areas AS (SELECT r, max(roc_auc) FILTER (split = 'val') AS val,
+    max(roc_auc) FILTER (split = 'test') AS test,
+    max(n_samples) FILTER (split = 'test') AS n_samples FROM measured GROUP BY r),
+first AS (SELECT test FROM areas WHERE r = 0),
+second AS (SELECT a.test, a.test >= 0.8 AND f.test - a.test <= 0.01 AS promoted
+  FROM areas a, first f WHERE a.r = 1),
+third AS (SELECT a.test >= 0.8
+    AND CASE WHEN s.promoted THEN s.test ELSE f.test END - a.test <= 0.01 AS promoted
+  FROM areas a, first f, second s WHERE a.r = 2),
+attempts AS (SELECT CAST(r AS BIGINT) AS sequence,
+    CASE WHEN val >= 0.8 THEN 'random_forest' ELSE 'logistic_regression' END AS model_type,
+    CASE r WHEN 0 THEN true WHEN 1 THEN s.promoted ELSE t.promoted END AS promoted,
+    a.test AS roc_auc, n_samples
+  FROM areas a, second s, third t)
+SELECT *, CASE WHEN NOT promoted THEN 'rejected'
+  WHEN sequence = max(CASE WHEN promoted THEN sequence END) OVER () THEN 'production'
+  ELSE 'archived' END AS status FROM attempts"""
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -622,6 +684,12 @@ SELECT customer_id, {", ".join(
     f"round(coalesce(({c} - avg({c}) OVER ()) / nullif(stddev_pop({c}) OVER (), 0), 0), 6) + 0 AS {c}"
     for c in [name.strip() for name in MODEL_COLUMNS.split(",")]
 )} FROM matrix""",
+    "train_evaluate_two_groups": f"""WITH {two_groups((85, 20))}
+SELECT model, split, accuracy, roc_auc, n_samples
+FROM measured, (VALUES ('baseline'), ('candidate')) models(model)""",
+    "batch_scores_two_groups": TWO_GROUP_SCORES,
+    "stream_scores_two_groups": TWO_GROUP_SCORES,
+    "retrain_cycle_two_groups": RETRAIN_TWO_GROUPS,
     "formula_scores": FORMULA_SCORES,
     "stream_formula_scores": FORMULA_SCORES,
     "promotion_decisions": PROMOTION,

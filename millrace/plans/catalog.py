@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import schemas
@@ -847,10 +847,10 @@ def train_evaluate(spark, folder):
     return training.metrics_table(spark, fitted)
 
 
-def _fitted_baseline(spark, folder):
+def _fitted_baseline(customers, order=None):
     """The baseline alone, fitted on the training rows."""
     settings = Settings()
-    rows = training.split_matrix(customer_clean(spark, folder), settings)
+    rows = training.split_matrix(customers, settings, order)
     train = rows.where("split = 'train'").persist()
     try:
         return training.baseline_pipeline(train.count(), settings).fit(train)
@@ -860,13 +860,13 @@ def _fitted_baseline(spark, folder):
 
 @query
 def batch_scores(spark, folder):
-    model = _fitted_baseline(spark, folder)
+    model = _fitted_baseline(customer_clean(spark, folder))
     return training.score(model, customer_clean(spark, folder), "v0", "logistic_regression")
 
 
 @query
 def stream_scores(spark, folder):
-    model = _fitted_baseline(spark, folder)
+    model = _fitted_baseline(customer_clean(spark, folder))
     root = scratch_path(spark, "stream-scores")
     customer_clean(spark, folder).write.parquet(f"{root}/in")
     start_scoring(
@@ -880,6 +880,77 @@ def stream_scores(spark, folder):
     return spark.read.parquet(f"{root}/scores")
 
 
+def _two_groups(spark, folder, high: int, low: int) -> DataFrame:
+    """Customers of two kinds, with every field set by the kind.
+
+    The second kind is drawn from ``high`` of 101 customers who left and ``low`` of
+    101 others, so models can only learn the two shares, which SQL can follow.
+    """
+    rows = views.customers(spark, folder).select("customer_id", "churn", "c_custkey")
+    limit = F.when(F.col("churn") == 1, high).otherwise(low)
+    second = (F.col("c_custkey") * 89) % 101 < limit
+
+    def either(a, b) -> Column:
+        return F.when(second, b).otherwise(a)
+
+    return rows.select(
+        "customer_id",
+        either(5, 30).alias("tenure_months"),
+        either(30.0, 90.0).alias("monthly_charges"),
+        either(150.0, 2700.0).alias("total_charges"),
+        either("month_to_month", "two_year").alias("contract_type"),
+        either("electronic_check", "credit_card").alias("payment_method"),
+        either("none", "fiber_optic").alias("internet_service"),
+        *(either("No", "Yes").alias(name) for name in schemas.ADDONS),
+        *(either(0, 1).alias(name) for name in schemas.FLAGS),
+        "churn",
+    )
+
+
+@query
+def train_evaluate_two_groups(spark, folder):
+    """Both models at full size on customers of two kinds, measured on val and test."""
+    fitted = training.fit_and_evaluate(
+        _two_groups(spark, folder, 85, 20), order=_portable_hash("customer_id")
+    )
+    return training.metrics_table(spark, fitted)
+
+
+def _two_group_scores(scores: DataFrame) -> DataFrame:
+    return scores.select(
+        "customer_id",
+        "churn_prediction",
+        F.round("churn_probability", 3).alias("churn_probability"),
+        "model_version",
+        "model_type",
+    )
+
+
+@query
+def batch_scores_two_groups(spark, folder):
+    """The penalised baseline's probabilities, to compare with a Newton solution."""
+    customers = _two_groups(spark, folder, 85, 20)
+    model = _fitted_baseline(customers, _portable_hash("customer_id"))
+    return _two_group_scores(training.score(model, customers, "v0", "logistic_regression"))
+
+
+@query
+def stream_scores_two_groups(spark, folder):
+    customers = _two_groups(spark, folder, 85, 20)
+    model = _fitted_baseline(customers, _portable_hash("customer_id"))
+    root = scratch_path(spark, "stream-two-groups")
+    customers.write.parquet(f"{root}/in")
+    start_scoring(
+        model,
+        incoming_records(spark, f"{root}/in"),
+        f"{root}/scores",
+        f"{root}/checkpoint",
+        "v0",
+        "logistic_regression",
+    ).awaitTermination()
+    return _two_group_scores(spark.read.parquet(f"{root}/scores"))
+
+
 @query
 def scaled_features(spark, folder):
     """The model matrix as the baseline sees it, fitted on all rows."""
@@ -950,6 +1021,24 @@ def retrain_cycle(spark, folder):
     return promotion.with_status(store.registry())
 
 
+@query
+def retrain_cycle_two_groups(spark, folder):
+    """A first training, a better one that replaces it and a worse one that is rejected."""
+    store = training.ModelStore(spark, scratch_path(spark, "models-two-groups"))
+    order, settings = _portable_hash("customer_id"), Settings(trees=50)
+    training.train(_two_groups(spark, folder, 75, 30), store, settings, order)
+    for high, low in ((95, 8), (80, 25)):
+        training.retrain(_two_groups(spark, folder, high, low), store, settings, order)
+    return promotion.with_status(store.registry()).select(
+        "sequence",
+        "model_type",
+        "promoted",
+        "status",
+        F.col("test_metrics.roc_auc").alias("roc_auc"),
+        F.col("test_metrics.n_samples").alias("n_samples"),
+    )
+
+
 # --- all tables ------------------------------------------------------------
 
 

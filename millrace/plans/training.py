@@ -12,7 +12,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -27,8 +27,10 @@ from millrace.settings import Settings
 from millrace.sources.tables import read_or_empty
 
 
-def split_matrix(customers: DataFrame, settings: Settings) -> DataFrame:
-    """Model columns with id, label and an exact stratified ``split``.
+def split_matrix(
+    customers: DataFrame, settings: Settings, order: Column | None = None
+) -> DataFrame:
+    """Model columns with id, label and an exact stratified ``split``, by a hash of the id or ``order``.
 
     Rows of which no model feature can be made, such as those of a tenure outside
     its buckets, or without a label are left out.
@@ -42,6 +44,7 @@ def split_matrix(customers: DataFrame, settings: Settings) -> DataFrame:
         settings.test_size,
         settings.val_size,
         settings.seed,
+        order,
     )
 
 
@@ -171,7 +174,9 @@ def evaluate(models: dict[str, PipelineModel], rows: DataFrame, settings: Settin
         scored.unpersist()
 
 
-def fit_and_evaluate(customers: DataFrame, settings: Settings = Settings()) -> Fitted:
+def fit_and_evaluate(
+    customers: DataFrame, settings: Settings = Settings(), order: Column | None = None
+) -> Fitted:
     """Fit both models on the training rows and measure them on val and test.
 
     The matrix is persisted once for the many passes of both fits; a lost
@@ -181,9 +186,9 @@ def fit_and_evaluate(customers: DataFrame, settings: Settings = Settings()) -> F
     n_given = given[0].n_rows if given else 0
     # By the rows alone, so a forest is the same on any cluster.
     partitions = max(16, math.ceil(n_given / settings.training_partition_rows))
-    rows = spread(split_matrix(customers, settings), settings.id_column, partitions).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
+    rows = spread(
+        split_matrix(customers, settings, order), settings.id_column, partitions
+    ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         sizes = {r["split"]: r["count"] for r in rows.groupBy("split").count().collect()}
         train = rows.where("split = 'train'")
@@ -329,20 +334,30 @@ def _store(store: ModelStore, fitted: Fitted, decision, promoted, reason, incumb
     return row.first()
 
 
-def train(customers: DataFrame, store: ModelStore, settings: Settings = Settings()):
+def train(
+    customers: DataFrame,
+    store: ModelStore,
+    settings: Settings = Settings(),
+    order: Column | None = None,
+):
     """First training: deploy the candidate if it passes the guardrail, else the baseline."""
-    fitted = fit_and_evaluate(customers, settings)
+    fitted = fit_and_evaluate(customers, settings, order)
     decision = _decision(store.spark, fitted, None, settings)
     return _store(store, fitted, decision, True, decision.selection_reason)
 
 
-def retrain(customers: DataFrame, store: ModelStore, settings: Settings = Settings()):
+def retrain(
+    customers: DataFrame,
+    store: ModelStore,
+    settings: Settings = Settings(),
+    order: Column | None = None,
+):
     """Train again and replace production only if the guardrail allows it.
 
     A rejected attempt is registered too; production stays as it is.
     """
     incumbent = store.production()
-    fitted = fit_and_evaluate(customers, settings)
+    fitted = fit_and_evaluate(customers, settings, order)
     decision = _decision(store.spark, fitted, incumbent, settings)
     prefix = "[retrain] " if decision.promoted else ""
     return _store(
