@@ -8,9 +8,10 @@ other view learns from them. Each view's score is then calibrated by Platt's
 scaling on rows it did not learn from, and the calibrated log-odds are averaged
 by their weight on these rows.
 
-Learning uses at most ``max_rows`` labelled and ``pool_rows`` unlabelled rows,
-chosen by the hash of their id, in one task; scoring reads every row. Weights are
-bounded by their tables' sizes.
+Each round scores every unlabelled row that is not held out and names the surest by a
+distributed top-k, so the pool is the whole table. Fitting is in one task, on at most
+``max_rows`` labelled rows, chosen by the hash of their id, and ``named`` rows per view
+and round. Weights are bounded by their tables' sizes.
 
 Nulls: a null text is an empty one, null metadata is a value of its own, rows
 with a null label or id are not learned from; of several labels for an id the
@@ -29,20 +30,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import toxicity
-from millrace.llm.common import text_or_empty
+from millrace.llm.common import text_or_empty, written
 from millrace.llm.hashed import gram_sets, weighted_sums
 
 
 @dataclass(frozen=True)
 class Settings:
     bits: int = 18
-    rounds: int = 4
-    #: Share of the pool that each view names per round.
-    grow: float = 0.04
+    rounds: int = 2
+    #: Share of the unlabelled rows that each view names per round, and at most so many rows.
+    grow: float = 0.08
+    named: int = 320
     #: Part of the labelled rows kept for calibration.
     calibration: float = 0.2
     max_rows: int = 8_000
-    pool_rows: int = 4_000
     text: toxicity.Settings = toxicity.Settings(bits=18, rounds=3)
 
 
@@ -50,6 +51,7 @@ _SOURCES = 256
 _LANGUAGES = 32
 _FIGURES = 9
 _WIDTH = _SOURCES + _LANGUAGES + _FIGURES
+_VIEWS = ("quality_text", "quality_metadata")
 
 
 def _bucket(column: str, size: int) -> Column:
@@ -96,6 +98,8 @@ class Model:
     text_scale: tuple[float, float]
     metadata_scale: tuple[float, float]
     shares: tuple[float, float]
+    #: Share of ones among the labels, None if they are not of both kinds.
+    rate: float | None = None
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 25) -> np.ndarray:
@@ -124,53 +128,32 @@ def _metadata_rows(source, lang, values) -> np.ndarray:
     return out
 
 
-def _surest(scores: np.ndarray, free: np.ndarray, number: int, rate: float):
-    """The most certain free rows of either kind and their labels, in proportion."""
-    order = np.flatnonzero(free)[np.argsort(scores[free], kind="stable")]
-    high = min(len(order), max(1, round(number * rate)))
-    low = min(len(order) - high, max(1, round(number * (1 - rate))))
-    picked = np.concatenate([order[:low], order[len(order) - high :]])
-    return picked, np.concatenate([np.zeros(low), np.ones(high)])
-
-
-def co_train(texts, metadata: np.ndarray, labels: np.ndarray, s: Settings) -> Model:
-    """Fit on rows of which some have a label and the others nan."""
+def _fit_views(texts, metadata: np.ndarray, labels: np.ndarray, named: list, s: Settings) -> Model:
+    """Fit both views on labels and, per view, on what the other named; nan where nothing is."""
     sets = gram_sets(texts, s.bits, skips=False)
     known = np.flatnonzero(~np.isnan(labels))
     every = max(2, round(1 / s.calibration))
     kept = known[::every]
     learned = np.setdiff1d(known, kept)
     rate = labels[learned].mean()
-    free = np.isnan(labels)
-    number = int(s.grow * free.sum())
-    given = [dict(zip(learned.tolist(), labels[learned])) for _ in range(2)]
-
-    def fit_text() -> toxicity.Ftrl:
-        rows = given[0]
-        model = toxicity.Ftrl(s.text, np.log(rate / (1 - rate)), len(rows))
-        order = np.random.default_rng(0).permutation(np.array(sorted(rows)))
-        for _ in range(s.text.rounds):
-            for i in order.tolist():
-                model.learn(sets[i], rows[i])
-        return model
-
-    def fit_metadata() -> np.ndarray:
-        rows = np.array(sorted(given[1]))
-        return _logistic(metadata[rows], np.array([given[1][i] for i in rows.tolist()]), 1.0)
-
-    for step in range(s.rounds + 1):
-        text, meta = fit_text(), fit_metadata()
-        weights = text.at(slice(None))
-        scores = [
-            np.array([text.bias + weights[x].sum() for x in sets]),
-            metadata @ meta,
-        ]
-        if step == s.rounds or not number or not free.any():
-            break
-        for view in range(2):
-            picked, named = _surest(scores[view], free, number, rate)
-            given[1 - view].update(zip(picked.tolist(), named))
-            free[picked] = False
+    given = []
+    for pseudo in named:
+        of_view = pseudo.copy()
+        of_view[known] = np.nan
+        of_view[learned] = labels[learned]
+        given.append(of_view)
+
+    rows = np.flatnonzero(~np.isnan(given[0]))
+    text = toxicity.Ftrl(s.text, np.log(rate / (1 - rate)), len(rows))
+    order = np.random.default_rng(0).permutation(rows)
+    for _ in range(s.text.rounds):
+        for i in order.tolist():
+            text.learn(sets[i], given[0][i])
+    rows = np.flatnonzero(~np.isnan(given[1]))
+    meta = _logistic(metadata[rows], given[1][rows], 1.0)
+
+    weights = text.at(slice(None))
+    scores = [np.array([text.bias + weights[x].sum() for x in sets]), metadata @ meta]
     scales, worth = [], []
     for score in scores:
         x = np.stack([score[kept], np.ones(len(kept))], axis=1)
@@ -181,7 +164,7 @@ def co_train(texts, metadata: np.ndarray, labels: np.ndarray, s: Settings) -> Mo
     shares = tuple(w / total for w in worth) if total else (0.5, 0.5)
     slots = np.flatnonzero(weights)
     return Model(
-        s.bits, slots, weights[slots], float(text.bias), meta, scales[0], scales[1], shares
+        s.bits, slots, weights[slots], float(text.bias), meta, scales[0], scales[1], shares, float(rate)
     )
 
 
@@ -193,26 +176,63 @@ def _flat(bias: float, s: Settings) -> Model:
     )
 
 
+def surest(odds: DataFrame, column: str, number: int, rate: float) -> list[tuple[int, float]]:
+    """(doc_id, label) of the rows a view is surest of, at least one of either kind, by ``rate``.
+
+    Each kind is a top-k over all rows; ties go to the smaller id. A row that is among both,
+    as there are few, counts as the likelier kind.
+    """
+    high, low = max(1, round(number * rate)), max(1, round(number * (1 - rate)))
+    sure = F.col(column)
+    ones = odds.orderBy(sure.desc(), "doc_id").limit(high).collect()
+    zeros = odds.orderBy(sure, "doc_id").limit(low).collect()
+    found = {row.doc_id: 0.0 for row in zeros if row[column] < 0}
+    found |= {row.doc_id: 1.0 for row in ones if row[column] >= 0}
+    found |= {row.doc_id: 0.0 for row in zeros if row.doc_id not in found and row not in ones}
+    found |= {row.doc_id: 1.0 for row in ones if row.doc_id not in found}
+    return sorted(found.items())
+
+
 def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
-    names = [c for c in ("source", "lang") if c in docs.columns]
+    """Fit both views, then let each name unlabelled rows for the other, ``rounds`` times."""
     known = (
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~toxicity.held_out())
-        .groupBy("doc_id")
+        .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.max("quality").cast("double").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(s.max_rows)
+        .select("doc_id", "label", *(F.lit(None).cast("double").alias(v) for v in _VIEWS))
     )
-    pool = (
-        docs.where(F.col("doc_id").isNotNull() & ~toxicity.held_out())
-        .select("doc_id")
-        .join(labels.select("doc_id").distinct(), "doc_id", "left_anti")
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(s.pool_rows)
-        .withColumn("label", F.lit(None).cast("double"))
-    )
-    # At most max_rows + pool_rows ids.
-    chosen = F.broadcast(known.unionByName(pool))
-    rows = docs.select("doc_id", "text", *names).join(chosen, "doc_id")
+    learned = written(known, "labels")
+    model = _fitted(docs, learned, s)
+    named: dict[int, dict[str, float]] = {}
+    for _ in range(s.rounds if model.rate is not None else 0):
+        pool = docs.where(F.col("doc_id").isNotNull() & ~toxicity.held_out()).join(
+            labels.select("doc_id").distinct(), "doc_id", "left_anti"
+        )
+        odds = written(
+            _with_odds(pool, model).select(F.col("doc_id").cast("long").alias("doc_id"), *_VIEWS), "odds"
+        )
+        number = min(s.named, int(s.grow * odds.count()))
+        if not number:
+            break
+        for view, other in zip(_VIEWS, reversed(_VIEWS)):
+            # At most 2 x rounds x (named + 1) rows were named.
+            taken = odds.sparkSession.createDataFrame([(i,) for i in named], "doc_id long")
+            free = odds.join(F.broadcast(taken), "doc_id", "left_anti")
+            for doc_id, label in surest(free, view, number, model.rate):
+                named[doc_id] = {other: label}
+        pseudo = odds.sparkSession.createDataFrame(
+            [(i, None, *(of.get(v) for v in _VIEWS)) for i, of in named.items()], learned.schema
+        )
+        model = _fitted(docs, learned.unionByName(pseudo), s)
+    return model
+
+
+def _fitted(docs: DataFrame, learned: DataFrame, s: Settings) -> Model:
+    """Fit both views in one task on the rows ``learned`` names, whose number is bounded."""
+    names = [c for c in ("source", "lang") if c in docs.columns]
+    rows = docs.select("doc_id", "text", *names).join(F.broadcast(learned), "doc_id")
     rows = rows.withColumns(figures(rows)).drop(*names)
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -228,12 +248,14 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
                 every["quality_lang"].to_numpy(),
                 np.stack(every["quality_figures"].to_list()),
             )
-            model = co_train(every["text"], meta, labels, s)
+            named = [every[v].to_numpy(float) for v in _VIEWS]
+            model = _fit_views(every["text"], meta, labels, named, s)
         elif len(seen):
             model = _flat(float(np.log((seen.sum() + 0.5) / (len(seen) - seen.sum() + 0.5))), s)
         else:
             model = _flat(-35.0, s)
-        numbers = [model.bias, *model.text_scale, *model.metadata_scale, *model.shares]
+        rate = -1.0 if model.rate is None else model.rate
+        numbers = [model.bias, *model.text_scale, *model.metadata_scale, *model.shares, rate]
         parts = (
             ("text", model.slots, model.weights),
             ("metadata", np.arange(len(model.metadata)), model.metadata),
@@ -243,6 +265,8 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
             yield pd.DataFrame({"part": name, "at": at, "value": values})
 
     found = rows.repartition(1).mapInPandas(learn, "part string, at long, value double").collect()
+    if not found:
+        return _flat(-35.0, s)
     part: dict[str, list] = {"text": [], "metadata": [], "numbers": []}
     for row in sorted(found):
         part[row.part].append((row["at"], row.value))
@@ -256,11 +280,12 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
         (numbers[1], numbers[2]),
         (numbers[3], numbers[4]),
         (numbers[5], numbers[6]),
+        numbers[7] if numbers[7] >= 0 else None,
     )
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents with quality, quality_text and quality_metadata from 0 to 1."""
+def _with_odds(docs: DataFrame, model: Model) -> DataFrame:
+    """The documents with the log-odds of both views, not calibrated."""
     sent = docs.sparkSession.sparkContext.broadcast((model.slots, model.weights))
     bits = model.bits
 
@@ -283,15 +308,19 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         + layout
         + w[-1]
     )
-    text = (text_sum(F.col("text").cast("string")) + model.bias) * model.text_scale[0]
-    text = text + model.text_scale[1]
-    meta = linear * model.metadata_scale[0] + model.metadata_scale[1]
+    text = text_sum(F.col("text").cast("string")) + model.bias
+    return docs.withColumn("quality_text", text).withColumn("quality_metadata", linear)
+
+
+def scored(docs: DataFrame, model: Model) -> DataFrame:
+    """The documents with quality, quality_text and quality_metadata from 0 to 1."""
 
     def chance(odds: Column) -> Column:
         return 1 / (1 + F.exp(-F.greatest(F.lit(-35.0), F.least(F.lit(35.0), odds))))
 
-    rows = docs.withColumn("quality_text", text).withColumn("quality_metadata", meta)
-    both = F.col("quality_text") * model.shares[0] + F.col("quality_metadata") * model.shares[1]
-    return rows.withColumn("quality", chance(both)).withColumns(
-        {c: chance(F.col(c)) for c in ("quality_text", "quality_metadata")}
+    scales = (model.text_scale, model.metadata_scale)
+    rows = _with_odds(docs, model).withColumns(
+        {view: F.col(view) * slope + offset for view, (slope, offset) in zip(_VIEWS, scales)}
     )
+    both = F.col("quality_text") * model.shares[0] + F.col("quality_metadata") * model.shares[1]
+    return rows.withColumn("quality", chance(both)).withColumns({v: chance(F.col(v)) for v in _VIEWS})

@@ -327,6 +327,19 @@ def test_toxicity_is_a_plain_ftrl_loop(labelled):
     assert dict(zip(model.slots.tolist(), model.weights.tolist())) == pytest.approx(expected, abs=1e-9)
 
 
+def test_surest_rows_come_from_the_whole_pool(spark):
+    values = [((i * 37) % 101 - 50.5) for i in range(300)]
+    odds = spark.createDataFrame(list(enumerate(values)), "doc_id long, quality_text double")
+    got = dict(quality.surest(odds.repartition(7), "quality_text", 20, 0.25))
+    order = sorted(range(300), key=lambda i: (values[i], i))
+    assert {i for i, label in got.items() if label == 0} == set(order[:15])
+    order = sorted(range(300), key=lambda i: (-values[i], i))
+    assert {i for i, label in got.items() if label == 1} == set(order[:5])
+    few = spark.createDataFrame([(1, -2.0), (2, 3.0)], odds.schema)
+    assert quality.surest(few, "quality_text", 20, 0.5) == [(1, 0.0), (2, 1.0)]
+    assert quality.surest(odds.limit(0), "quality_text", 20, 0.5) == []
+
+
 def test_quality_combines_views(labelled, docs, nothing):
     texts, labels = labelled
     model = quality.fit(texts, labels.where("doc_id < 400"))
