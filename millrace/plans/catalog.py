@@ -841,9 +841,14 @@ def segment_models(spark, folder):
 
 
 
+def _model_customers(spark, folder) -> DataFrame:
+    """The clean customer table, dealt to all cores."""
+    return views.customers(spark, folder, spread=True).select(*schemas.CUSTOMER_COLUMNS)
+
+
 @query
 def train_evaluate(spark, folder):
-    fitted = training.fit_and_evaluate(customer_clean(spark, folder))
+    fitted = training.fit_and_evaluate(_model_customers(spark, folder))
     return training.metrics_table(spark, fitted)
 
 
@@ -860,15 +865,15 @@ def _fitted_baseline(customers, order=None):
 
 @query
 def batch_scores(spark, folder):
-    model = _fitted_baseline(customer_clean(spark, folder))
-    return training.score(model, customer_clean(spark, folder), "v0", "logistic_regression")
+    model = _fitted_baseline(_model_customers(spark, folder))
+    return training.score(model, _model_customers(spark, folder), "v0", "logistic_regression")
 
 
 @query
 def stream_scores(spark, folder):
-    model = _fitted_baseline(customer_clean(spark, folder))
+    model = _fitted_baseline(_model_customers(spark, folder))
     root = scratch_path(spark, "stream-scores")
-    customer_clean(spark, folder).write.parquet(f"{root}/in")
+    _model_customers(spark, folder).write.parquet(f"{root}/in")
     start_scoring(
         model,
         incoming_records(spark, f"{root}/in"),
@@ -886,7 +891,7 @@ def _two_groups(spark, folder, high: int, low: int) -> DataFrame:
     The second kind is drawn from ``high`` of 101 customers who left and ``low`` of
     101 others, so models can only learn the two shares, which SQL can follow.
     """
-    rows = views.customers(spark, folder).select("customer_id", "churn", "c_custkey")
+    rows = views.customers(spark, folder, spread=True).select("customer_id", "churn", "c_custkey")
     limit = F.when(F.col("churn") == 1, high).otherwise(low)
     second = (F.col("c_custkey") * 89) % 101 < limit
 
@@ -1014,7 +1019,7 @@ def stream_quarantine(spark, folder):
 @query
 def retrain_cycle(spark, folder):
     store = training.ModelStore(spark, scratch_path(spark, "models"))
-    customers = customer_clean(spark, folder)
+    customers = _model_customers(spark, folder)
     settings = Settings(trees=50)
     training.train(customers, store, settings)
     training.retrain(customers, store, settings)

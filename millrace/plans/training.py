@@ -23,6 +23,7 @@ from millrace.operators.evaluation import accuracy, roc_auc
 from millrace.operators.profiles import PROFILE, profile
 from millrace.operators.ranks import stratified_split
 from millrace.operators.validation import accepted, check_records
+from millrace.session import stored
 from millrace.settings import Settings
 from millrace.sources.tables import read_or_empty
 
@@ -34,9 +35,12 @@ def split_matrix(
 
     Rows of which no model feature can be made, such as those of a tenure outside
     its buckets, or without a label are left out.
+
+    The matrix is stored: the split takes several passes, and the null checks, pushed down
+    to the source with all features' expressions in them, are too long for the JVM to compile.
     """
     matrix = to_model_matrix(customers, (settings.id_column, settings.target_column))
-    matrix = matrix.dropna(subset=[*schemas.MODEL_FEATURES, settings.target_column])
+    matrix = stored(matrix, "matrix").dropna(subset=[*schemas.MODEL_FEATURES, settings.target_column])
     return stratified_split(
         matrix,
         settings.target_column,

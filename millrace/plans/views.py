@@ -17,6 +17,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread_out(rows: DataFrame) -> DataFrame:
+    """The rows over at least as many tasks as the session has cores.
+
+    A file of few row groups is read by as few tasks, and so is all computed from it up to
+    the next shuffle. Dealt by a hash of all columns, rows need no sort to be dealt alike again.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, *rows.columns)
+
+
 def telemetry(spark: SparkSession, folder: str) -> DataFrame:
     """Events as device pings; nine tenths fall on five hot vehicles."""
     events = table(spark, folder, "events")
@@ -59,10 +69,11 @@ _FLAG_SHARES = {
 }
 
 
-def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
+def raw_customers(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
     """Customers in the raw export layout, with its blanks and odd spellings.
 
-    Also keeps the key, nation and balance of the source row.
+    Also keeps the key, nation and balance of the source row. ``spread`` deals the source
+    rows to all cores first.
     """
     c = F.col("c_custkey")
     tenure = ((c * 37) % 73).cast("int")
@@ -102,7 +113,10 @@ def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
         ),
         "Churn": F.when(risk > 85, "Yes").otherwise("No"),
     }
-    return table(spark, folder, "customer").select(
+    source = table(spark, folder, "customer").select(
+        "c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal"
+    )
+    return (spread_out(source) if spread else source).select(
         *(columns[name].alias(name) for name in schemas.RENAMES),
         "c_custkey",
         "c_nationkey",
@@ -111,7 +125,7 @@ def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def customers(spark: SparkSession, folder: str) -> DataFrame:
+def customers(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
     """The clean customer table plus key, nation, market segment and balance."""
     keep = ("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
-    return clean_customers(raw_customers(spark, folder), keep)
+    return clean_customers(raw_customers(spark, folder, spread), keep)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace import schemas
 from millrace.functions.features import to_model_matrix
 from millrace.operators.promotion import REGISTRY, with_status
-from millrace.plans import training, views
+from millrace.plans import catalog, training, views
 from millrace.settings import Settings
 from millrace.sources.tables import read_or_empty
 from millrace.streaming.monitoring import start_monitoring
@@ -193,3 +193,38 @@ def test_stream_monitoring_writes_one_report_per_batch(spark, customers, tmp_pat
     assert scores == [(0, 0.0)] * 4 + [(1, 0.0)] * 4
     quality = spark.read.parquet(f"{tmp_path}/reports/quality")
     assert [r.n_rows_checked for r in quality.collect()] == [customers.count()] * 2
+
+
+@pytest.fixture()
+def one_file(spark, tmp_path):
+    """A folder with 400 customers in one file."""
+    rows = spark.range(400).select(
+        F.col("id").alias("c_custkey"),
+        (F.col("id") % 25).cast("int").alias("c_nationkey"),
+        F.lit("BUILDING").alias("c_mktsegment"),
+        F.lit(1.5).alias("c_acctbal"),
+    )
+    rows.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    return str(tmp_path)
+
+
+def test_customers_of_one_file_are_dealt_to_all_cores(spark, one_file):
+    cores = spark.sparkContext.defaultParallelism
+    plain, dealt = (views.customers(spark, one_file, spread=x) for x in (False, True))
+    assert plain.rdd.getNumPartitions() < cores == dealt.rdd.getNumPartitions()
+    assert sorted(plain.collect(), key=str) == sorted(dealt.collect(), key=str)
+    assert views.spread_out(dealt) is dealt
+    assert catalog.batch_scores_two_groups(spark, one_file).rdd.getNumPartitions() == cores
+
+
+def test_split_computes_the_features_once(spark, one_file):
+    computed = spark.sparkContext.accumulator(0)
+
+    def counted(charges):
+        computed.add(1)
+        return charges
+
+    rows = views.customers(spark, one_file).select(*schemas.CUSTOMER_COLUMNS)
+    rows = rows.withColumn("monthly_charges", F.udf(counted, "double")("monthly_charges"))
+    split = training.split_matrix(rows, Settings())
+    assert split.select("customer_id").distinct().count() == split.count() == computed.value == 400
