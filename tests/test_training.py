@@ -228,3 +228,7 @@ def test_split_computes_the_features_once(spark, one_file):
     rows = rows.withColumn("monthly_charges", F.udf(counted, "double")("monthly_charges"))
     split = training.split_matrix(rows, Settings())
     assert split.select("customer_id").distinct().count() == split.count() == computed.value == 400
+
+
+def test_forest_keeps_the_node_of_each_row():
+    assert training.candidate_pipeline(Settings()).getStages()[-1].getCacheNodeIds()
