@@ -571,6 +571,28 @@ def test_passage_of_frequent_lines_is_found(spark):
     assert all(got[n].n_links == 0 for n in range(1, last))
 
 
+def test_all_holders_of_a_frequent_passage_are_linked(spark):
+    rng = np.random.default_rng(7)
+    body = made_words(rng, 60)
+    # More holders than the sorted pass pairs.
+    texts = [made_words(rng, 30) + body + made_words(rng, 30) for _ in range(90)]
+    texts += [made_words(rng, 60) for _ in range(5)]
+    rows = [(n, " ".join(t)) for n, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r for r in passages.repeated_passages(df).collect()}
+    assert all(got[n].n_links == 89 and got[n].class_id == 0 for n in range(90))
+    assert all(got[n].n_links == 0 and got[n].class_id == n for n in range(90, 95))
+
+
+def test_frequent_seeds_pair_all_places_in_any_parts(spark):
+    rng = np.random.default_rng(8)
+    rows = sorted({(int(k), int(t), int(p)) for k, t, p in zip(rng.integers(0, 3, 300), rng.integers(0, 40, 300), rng.integers(0, 9, 300))})
+    want = Counter((t, u, p, q) for k, t, p in rows for l, u, q in rows if k == l and t < u)
+    df = spark.createDataFrame(rows, "seed long, tid long, place int")
+    for share in (7, 1_000):
+        assert Counter(tuple(r) for r in passages.frequent_pairs(df, share).collect()) == want
+
+
 def test_edited_passages_are_found_at_the_promised_similarity(spark):
     rng = np.random.default_rng(6)
     texts = []
