@@ -8,8 +8,9 @@ other view learns from them. Each view's score is then calibrated by Platt's
 scaling on rows it did not learn from, and the calibrated log-odds are averaged
 by their weight on these rows.
 
-Each round scores every unlabelled row that is not held out and names the surest by a
-distributed top-k, so the pool is the whole table. Fitting is in one task, on at most
+Each round scores every row that is not held out and names the surest unlabelled ones by
+a distributed top-k, so the pool is the whole table. Rows of labels meet ids and scores,
+never texts. Fitting is in one task, on at most
 ``max_rows`` labelled rows, chosen by the hash of their id, and ``named`` rows per view
 and round. Weights are bounded by their tables' sizes.
 
@@ -205,30 +206,42 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
     )
     learned = written(known, "labels")
     model = _fitted(docs, learned, s)
+    if model.rate is None or not s.rounds:
+        return model
+    pool = docs.where(F.col("doc_id").isNotNull() & ~toxicity.held_out())
+    parts = figures(pool)
+    metadata = _unlabelled(pool.select("doc_id", *(c.alias(n) for n, c in parts.items())), labels)
+    stored = {n: F.col(n) for n in parts}
+    number = min(s.named, int(s.grow * metadata.count()))
     named: dict[int, dict[str, float]] = {}
-    for _ in range(s.rounds if model.rate is not None else 0):
-        pool = docs.where(F.col("doc_id").isNotNull() & ~toxicity.held_out()).join(
-            labels.select("doc_id").distinct(), "doc_id", "left_anti"
-        )
-        odds = written(
-            _with_odds(pool, model).select(F.col("doc_id").cast("long").alias("doc_id"), *_VIEWS), "odds"
-        )
-        number = min(s.named, int(s.grow * odds.count()))
-        if not number:
-            break
+    for _ in range(s.rounds if number else 0):
+        of_view = {
+            "quality_text": _unlabelled(pool.select("doc_id", _text_odds(pool, model).alias("quality_text")), labels),
+            "quality_metadata": metadata.select("doc_id", _metadata_odds(stored, model).alias("quality_metadata")),
+        }
         for view, other in zip(_VIEWS, reversed(_VIEWS)):
             # At most 2 x rounds x (named + 1) rows were named.
-            taken = odds.sparkSession.createDataFrame([(i,) for i in named], "doc_id long")
-            free = odds.join(F.broadcast(taken), "doc_id", "left_anti")
+            taken = docs.sparkSession.createDataFrame([(i,) for i in named], "doc_id long")
+            free = of_view[view].join(F.broadcast(taken), "doc_id", "left_anti")
             for doc_id, label in surest(free, view, number, model.rate):
                 named[doc_id] = {other: label}
-        pseudo = odds.sparkSession.createDataFrame(
+        pseudo = docs.sparkSession.createDataFrame(
             [(i, None, *(of.get(v) for v in _VIEWS)) for i, of in named.items()], learned.schema
         )
         model = _fitted(docs, learned.unionByName(pseudo), s)
     return model
 
 
+def _unlabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows whose id has no label, written; doc_id as long.
+
+    The rows are written before the join as well, or the optimizer joins first and texts
+    are shuffled where only ids and numbers need be.
+    """
+    free = written(rows, "scored").join(labels.select("doc_id").distinct(), "doc_id", "left_anti")
+    return written(free.withColumn("doc_id", F.col("doc_id").cast("long")), "unlabelled")
+
+
 def _fitted(docs: DataFrame, learned: DataFrame, s: Settings) -> Model:
     """Fit both views in one task on the rows ``learned`` names, whose number is bounded."""
     names = [c for c in ("source", "lang") if c in docs.columns]
@@ -284,8 +297,8 @@ def _fitted(docs: DataFrame, learned: DataFrame, s: Settings) -> Model:
     )
 
 
-def _with_odds(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents with the log-odds of both views, not calibrated."""
+def _text_odds(docs: DataFrame, model: Model) -> Column:
+    """Log-odds of the text view, not calibrated."""
     sent = docs.sparkSession.sparkContext.broadcast((model.slots, model.weights))
     bits = model.bits
 
@@ -296,20 +309,22 @@ def _with_odds(docs: DataFrame, model: Model) -> DataFrame:
         for texts in batches:
             yield pd.Series(weighted_sums(texts, weights, bits, skips=False))
 
+    return text_sum(F.col("text").cast("string")) + model.bias
+
+
+def _metadata_odds(parts: dict[str, Column], model: Model) -> Column:
+    """Log-odds of the metadata view, not calibrated, from :func:`figures`."""
     w = [float(x) for x in model.metadata]
-    parts = figures(docs)
     layout = sum(
         (F.element_at(parts["quality_figures"], i + 1) * w[_SOURCES + _LANGUAGES + i])
         for i in range(_FIGURES)
     )
-    linear = (
+    return (
         F.element_at(F.lit(w[:_SOURCES]), parts["quality_source"] + 1)
         + F.element_at(F.lit(w[_SOURCES : _SOURCES + _LANGUAGES]), parts["quality_lang"] + 1)
         + layout
         + w[-1]
     )
-    text = text_sum(F.col("text").cast("string")) + model.bias
-    return docs.withColumn("quality_text", text).withColumn("quality_metadata", linear)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
@@ -319,7 +334,8 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         return 1 / (1 + F.exp(-F.greatest(F.lit(-35.0), F.least(F.lit(35.0), odds))))
 
     scales = (model.text_scale, model.metadata_scale)
-    rows = _with_odds(docs, model).withColumns(
+    odds = (_text_odds(docs, model), _metadata_odds(figures(docs), model))
+    rows = docs.withColumns(dict(zip(_VIEWS, odds))).withColumns(
         {view: F.col(view) * slope + offset for view, (slope, offset) in zip(_VIEWS, scales)}
     )
     both = F.col("quality_text") * model.shares[0] + F.col("quality_metadata") * model.shares[1]

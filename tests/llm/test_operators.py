@@ -353,6 +353,28 @@ def test_quality_combines_views(labelled, docs, nothing):
     assert {round(r.quality, 6) for r in quality.scored(texts, flat).collect()} == {0.0}
 
 
+def test_quality_shuffles_no_texts_to_leave_out_labelled_rows(labelled, spark, tmp_path, monkeypatch):
+    for df, name in zip(labelled, ("texts", "labels")):
+        df.write.parquet(str(tmp_path / name))
+    texts, labels = (spark.read.parquet(str(tmp_path / name)) for name in ("texts", "labels"))
+    plans, write = [], quality.written
+
+    def recorded(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(quality, "written", recorded)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        quality.fit(texts, labels.where("doc_id < 400"), quality.Settings(rounds=1))
+    finally:
+        spark.conf.set(threshold, before)
+    joins = [plan for plan in plans if "SortMergeJoin" in plan]
+    assert joins and not any(re.search(r"\btext#", plan) for plan in joins)
+
+
 # --- exact
 
 
