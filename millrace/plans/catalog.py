@@ -1031,9 +1031,9 @@ def retrain_cycle_two_groups(spark, folder):
     """A first training, a better one that replaces it and a worse one that is rejected."""
     store = training.ModelStore(spark, scratch_path(spark, "models-two-groups"))
     order, settings = _portable_hash("customer_id"), Settings(trees=50)
-    training.train(_two_groups(spark, folder, 75, 30), store, settings, order)
+    training.train(_two_groups(spark, folder, 75, 30), store, settings, order=order)
     for high, low in ((95, 8), (80, 25)):
-        training.retrain(_two_groups(spark, folder, high, low), store, settings, order)
+        training.retrain(_two_groups(spark, folder, high, low), store, settings, order=order)
     return promotion.with_status(store.registry()).select(
         "sequence",
         "model_type",

@@ -181,7 +181,7 @@ def evaluate(models: dict[str, PipelineModel], rows: DataFrame, settings: Settin
 
 
 def fit_and_evaluate(
-    customers: DataFrame, settings: Settings = Settings(), order: Column | None = None
+    customers: DataFrame, settings: Settings = Settings(), *, order: Column | None = None
 ) -> Fitted:
     """Fit both models on the training rows and measure them on val and test.
 
@@ -344,10 +344,11 @@ def train(
     customers: DataFrame,
     store: ModelStore,
     settings: Settings = Settings(),
+    *,
     order: Column | None = None,
 ):
     """First training: deploy the candidate if it passes the guardrail, else the baseline."""
-    fitted = fit_and_evaluate(customers, settings, order)
+    fitted = fit_and_evaluate(customers, settings, order=order)
     decision = _decision(store.spark, fitted, None, settings)
     return _store(store, fitted, decision, True, decision.selection_reason)
 
@@ -356,6 +357,7 @@ def retrain(
     customers: DataFrame,
     store: ModelStore,
     settings: Settings = Settings(),
+    *,
     order: Column | None = None,
 ):
     """Train again and replace production only if the guardrail allows it.
@@ -363,7 +365,7 @@ def retrain(
     A rejected attempt is registered too; production stays as it is.
     """
     incumbent = store.production()
-    fitted = fit_and_evaluate(customers, settings, order)
+    fitted = fit_and_evaluate(customers, settings, order=order)
     decision = _decision(store.spark, fitted, incumbent, settings)
     prefix = "[retrain] " if decision.promoted else ""
     return _store(
