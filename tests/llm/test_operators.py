@@ -8,9 +8,11 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import xxhash
@@ -615,6 +617,76 @@ def test_frequent_seeds_pair_all_places_in_any_parts(spark):
         assert Counter(tuple(r) for r in passages.frequent_pairs(df, share).collect()) == want
 
 
+def test_rounds_and_parts_give_the_same_passages(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    line, body = made_words(rng, 12), made_words(rng, 60)
+    # All hold a common line, some of them a passage too.
+    texts = [made_words(rng, 40) + line + (body if n % 40 == 0 else []) + made_words(rng, 40) for n in range(200)]
+    df = spark.createDataFrame([(n, " ".join(t)) for n, t in enumerate(texts)], "doc_id long, text string")
+    paths = []
+    plain_added = passages.added
+    monkeypatch.setattr(passages, "added", lambda rows, path: (paths.append(path), plain_added(rows, path)))
+    whole = sorted(map(repr, passages.repeated_passages(df).collect()))
+    assert len(paths) == 1
+    small = passages.Settings(k=3, gap_cost=0.1, seeds=2, round_pairs=1, round_chains=1_000, round_windows=20)
+    for s in (small, replace(small, round_windows=2)):
+        paths.clear()
+        rows = passages.repeated_passages(df, s).collect()
+        assert sorted(map(repr, rows)) == whole
+        assert len(paths) > 10 and len(set(paths)) == 1
+    assert {r.doc_id for r in rows if r.n_links} == set(range(0, 200, 40))
+    assert all(r.n_links in (0, 4) for r in rows)
+
+
+def test_chains_of_many_pairs_match_plain():
+    rng = np.random.default_rng(10)
+    s = replace(passages.FUZZY, spread=1)
+    for _ in range(20):
+        pairs = []
+        for n in range(40):
+            a = np.cumsum(rng.integers(1, 20, rng.integers(2, 9)))
+            b = a + 50 if n % 2 else rng.permutation(a + rng.integers(0, 9, len(a)))
+            # Some matches come twice.
+            pairs.append([{"a": int(x), "b": int(y)} for x, y in [*zip(a, b), (a[0], b[0])]])
+        batch = pa.record_batch({
+            "tid": pa.array(range(40), pa.int64()), "other": pa.array(range(40, 80), pa.int64()),
+            "pairs": pa.array(pairs, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))),
+        })
+        got = pd.concat([b.to_pandas() for b in passages._chained(iter([batch.slice(0, 11), batch.slice(11)]), s)])
+        want = Counter()
+        for n, places in enumerate(pairs):
+            ab = np.array(sorted({(p["a"], p["b"]) for p in places}))
+            want.update((n, n + 40, *c) for c in passages.chains(ab[:, 0], ab[:, 1], s))
+        assert Counter(got.itertuples(index=False, name=None)) == want
+
+
+def test_no_passage_is_left_out_before_alignment():
+    rng = np.random.default_rng(11)
+    s, kept, xs, ys = passages.FUZZY, [], [], []
+    for n in range(1_500):
+        x = rng.integers(0, 50_000, int(rng.integers(40, 260)))
+        y = x.copy()
+        # Words replaced, left out or put in, up to beyond what a passage allows.
+        share = rng.uniform(0, 0.3)
+        edits = rng.random(len(y)) < share
+        if n % 3 == 0:
+            y[edits] = rng.integers(50_000, 99_000, edits.sum())
+        elif n % 3 == 1:
+            y = np.insert(y[~edits], rng.integers(0, len(y) - edits.sum() + 1, edits.sum()), 99_999)
+        else:
+            y = np.concatenate([rng.integers(0, 50_000, 30), y[~edits]])
+        xs.append(x)
+        ys.append(y)
+        kept.append(bool(passages.align({"words": x, "low": 0}, {"words": y, "low": 0}, s)))
+    lists = [pa.array([w.tolist() for w in side], pa.list_(pa.int64())) for side in (xs, ys)]
+    found = np.concatenate([passages.may_share(*(side.slice(at, 400) for side in lists), s) for at in range(0, 1_500, 400)])
+    assert sum(kept) > 500 and not (np.array(kept) & ~found).any()
+    line = rng.integers(0, 50_000, 12)
+    apart = [[*rng.integers(0, 50_000, 60), *line, *rng.integers(0, 50_000, 60)] for _ in range(200)]
+    lists = [pa.array([[int(w) for w in t] for t in side], pa.list_(pa.int64())) for side in (apart[::2], apart[1::2])]
+    assert not passages.may_share(*lists, s).any()
+
+
 def test_edited_passages_are_found_at_the_promised_similarity(spark):
     rng = np.random.default_rng(6)
     texts = []
