@@ -26,7 +26,6 @@ rows are packed once each; an empty table gives no sequences.
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from array import array
 from collections import deque
@@ -42,18 +41,12 @@ from pyspark.sql import functions as F
 from millrace.llm.common import byte_characters, numbered
 
 END_ID = 1
-_KNOWN_PIECES = 300_000
 _BLOCK_TOKENS = 1 << 20
 _encoders: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """Ids of a byte-level tokenizer file, remembered for pieces between single spaces.
-
-    The split pattern always starts a new piece at a single space before a word,
-    so text without runs of spaces may be encoded piece by piece. The file's special
-    tokens keep their ids in a text.
-    """
+    """Ids of a byte-level tokenizer file. The file's special tokens keep their ids in a text."""
 
     def __init__(self, path: str) -> None:
         import public_tokenizers
@@ -68,35 +61,14 @@ class Encoder:
         coder = tiktoken.Encoding(
             "corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special
         )
-        self.encode = lambda text: coder.encode(text, allowed_special="all")
-        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
-        self.known: dict[str, bytes] = {}
+        self.encode = lambda text: coder.encode_to_numpy(text, allowed_special="all")
         self.closes = np.zeros(max([*ranks.values(), *special.values()]) + 2, bool)
         for token, number in ranks.items():
             self.closes[number] = token[-1:] in b".!?\n"
 
-    def _piece(self, piece: str) -> bytes:
-        out = self.known.get(piece)
-        if out is None:
-            out = array("I", self.encode(" " + piece)).tobytes()
-            if len(self.known) < _KNOWN_PIECES:
-                self.known[piece] = out
-        return out
-
     def ids(self, text: str) -> bytes:
         """Unsigned 32-bit little-endian ids."""
-        if "  " in text or self.special.search(text):
-            return array("I", self.encode(text)).tobytes()
-        first, *rest = text.split(" ")
-        known = self.known
-        try:
-            body = b"".join([known[piece] for piece in rest])
-        except KeyError:
-            body = b"".join(map(self._piece, rest))
-        if rest and not rest[-1]:
-            # A space at the very end is a piece of its own either way.
-            return array("I", self.encode(text)).tobytes()
-        return array("I", self.encode(first)).tobytes() + body
+        return self.encode(text).tobytes()
 
 
 def encoder(path: str) -> Encoder:

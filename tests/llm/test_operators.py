@@ -230,6 +230,15 @@ def test_special_tokens_keep_their_ids():
     assert np.frombuffer(ours.ids(texts[0]), np.uint32).tolist() == [64, 220, 50256, 275]
 
 
+def test_a_text_is_encoded_in_one_call():
+    ours, tokenizer, calls = packing.Encoder(BYTE_BPE), Tokenizer.from_file(BYTE_BPE), []
+    encode = ours.encode
+    ours.encode = lambda text: calls.append(text) or encode(text)
+    text = "".join(f"w{n} é{n % 7}.\n" for n in range(400)) + " end "
+    assert np.frombuffer(ours.ids(text), np.uint32).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert calls == [text]
+
+
 def test_sequences_follow_the_stored_order_over_files(spark, tmp_path):
     rng = np.random.default_rng(4)
     # A few words in the first rows and many in the last: the last file is largest.
