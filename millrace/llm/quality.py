@@ -53,6 +53,9 @@ _LANGUAGES = 32
 _FIGURES = 9
 _WIDTH = _SOURCES + _LANGUAGES + _FIGURES
 _VIEWS = ("quality_text", "quality_metadata")
+#: ASCII characters that layout figures count: digits, line ends, capitals, signs, sentence ends.
+_MARKS = ("0123456789", "\n", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "|#%&*$<>{}", ".!?")
+_MARK_OF_BYTE = np.array([[chr(byte) in kind for kind in _MARKS] for byte in range(256)], float)
 
 
 def _bucket(column: str, size: int) -> Column:
@@ -61,25 +64,46 @@ def _bucket(column: str, size: int) -> Column:
     return F.when(F.col(column).isNull(), F.lit(size - 1)).otherwise(known)
 
 
-def figures(docs: DataFrame) -> dict[str, Column]:
-    """Metadata of a document: buckets of source and language, and layout figures."""
+def mark_counts(texts) -> np.ndarray:
+    """How many characters of each kind of marks each text holds, from its bytes in one pass."""
+    out = np.zeros((len(texts), len(_MARKS)))
+    for row, text in enumerate(texts):
+        of_byte = np.bincount(np.frombuffer((text or "").encode(), np.uint8), minlength=256)
+        out[row] = of_byte @ _MARK_OF_BYTE
+    return out
+
+
+def _counted() -> Column:
+    @F.pandas_udf("array<double>")
+    def counted(texts: pd.Series) -> pd.Series:
+        return pd.Series(list(mark_counts(texts)))
+
+    return counted(F.col("text").cast("string"))
+
+
+def figures(docs: DataFrame, marks: Column | None = None) -> dict[str, Column]:
+    """Metadata of a document: buckets of source and language, and layout figures.
+
+    ``marks`` are its mark counts, if something else counts them.
+    """
     text = text_or_empty()
     n = F.greatest(F.length(text), F.lit(1)).cast("double")
+    marks = _counted() if marks is None else marks
 
-    def share(pattern: str) -> Column:
-        return F.length(F.regexp_replace(text, pattern, "")) / n
+    def share(kind: int) -> Column:
+        return marks[kind] / n
 
     words = F.size(F.split(text, r"\s+"))
     values = [
         F.log(n) / 10,
         F.log(words + 1.0) / 10,
         n / words / 20,
-        share(r"[^0-9]+"),
-        share(r"[\p{L}\p{N}\s]+"),
-        share(r"[^\n]+") * 10,
-        share(r"[^A-Z]+"),
-        share(r"[^|#%&*$<>{}]+") * 5,
-        share(r"[^.!?]+") * 10,
+        share(0),
+        F.length(F.regexp_replace(text, r"[\p{L}\p{N}\s]+", "")) / n,
+        share(1) * 10,
+        share(2),
+        share(3) * 5,
+        share(4) * 10,
     ]
     return {
         "quality_source": _bucket("source", _SOURCES) if "source" in docs.columns else F.lit(0),
@@ -299,17 +323,23 @@ def _fitted(docs: DataFrame, learned: DataFrame, s: Settings) -> Model:
 
 def _text_odds(docs: DataFrame, model: Model) -> Column:
     """Log-odds of the text view, not calibrated."""
+    return _text_figures(docs, model, False)[0] + model.bias
+
+
+def _text_figures(docs: DataFrame, model: Model, marks: bool = True) -> Column:
+    """The sum of a text's weights and, if asked for, its mark counts: an array made in one pass."""
     sent = docs.sparkSession.sparkContext.broadcast((model.slots, model.weights))
     bits = model.bits
 
-    @F.pandas_udf("double")
-    def text_sum(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("array<double>")
+    def summed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         weights = np.zeros(1 << bits)
         weights[sent.value[0]] = sent.value[1]
         for texts in batches:
-            yield pd.Series(weighted_sums(texts, weights, bits, skips=False))
+            found = weighted_sums(texts, weights, bits, skips=False)[:, None]
+            yield pd.Series(list(np.hstack([found, mark_counts(texts)]) if marks else found))
 
-    return text_sum(F.col("text").cast("string")) + model.bias
+    return summed(F.col("text").cast("string"))
 
 
 def _metadata_odds(parts: dict[str, Column], model: Model) -> Column:
@@ -334,7 +364,9 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         return 1 / (1 + F.exp(-F.greatest(F.lit(-35.0), F.least(F.lit(35.0), odds))))
 
     scales = (model.text_scale, model.metadata_scale)
-    odds = (_text_odds(docs, model), _metadata_odds(figures(docs), model))
+    found = _text_figures(docs, model)
+    parts = figures(docs, F.slice(found, 2, len(_MARKS)))
+    odds = (found[0] + model.bias, _metadata_odds(parts, model))
     rows = docs.withColumns(dict(zip(_VIEWS, odds))).withColumns(
         {view: F.col(view) * slope + offset for view, (slope, offset) in zip(_VIEWS, scales)}
     )

@@ -351,6 +351,18 @@ def test_surest_rows_come_from_the_whole_pool(spark):
     assert quality.surest(odds.limit(0), "quality_text", 20, 0.5) == []
 
 
+def test_layout_figures_match_patterns_that_are_not_run(spark):
+    texts = ["", None, "A1b2\n\nÉ３ x.", "| # 5 % {a}\U0001f600 .!?\t", "NO end" * 40, "１２ ä\u0301\u2003b\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    given = df.select("doc_id", quality.figures(df)["quality_figures"].alias("f"))
+    for r in given.collect():
+        text = texts[r.doc_id] or ""
+        n = max(1, len(text))
+        for at, pattern, times in ((3, "[0-9]", 1), (5, "\n", 10), (6, "[A-Z]", 1), (7, r"[|#%&*$<>{}]", 5), (8, "[.!?]", 10)):
+            assert r.f[at] == len(re.findall(pattern, text)) / n * times
+    assert given._jdf.queryExecution().analyzed().toString().count("regexp_replace(") == 1
+
+
 def test_quality_combines_views(labelled, docs, nothing):
     texts, labels = labelled
     model = quality.fit(texts, labels.where("doc_id < 400"))
