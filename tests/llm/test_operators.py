@@ -30,6 +30,7 @@ from millrace.llm import (
     quality,
     repeats,
     simhash,
+    surroundings,
     toxicity,
     warc,
 )
@@ -708,6 +709,70 @@ def test_no_passage_is_left_out_before_alignment():
     assert not passages.may_share(*lists, s).any()
 
 
+@pytest.mark.parametrize("small", [0, 24, 10_000])
+def test_places_with_common_surroundings_match_plain(small):
+    rng = np.random.default_rng(12)
+    width, least, rows = 30, 12, []
+    for seed, (size, cross) in enumerate([(2, 0), (30, 0), (9, 1), (3, 0), (60, 1), (1, 0)]):
+        core = rng.integers(0, 65_535, 14)
+        for n in range(size):
+            steps = np.concatenate([core[: rng.integers(0, 15)], rng.integers(0, 9, 12)])
+            steps = np.sort(np.concatenate([steps, np.full(width - len(steps), 65_535)])).astype(np.uint16)
+            rows.append((seed - 3, 0, cross, bool(cross and n % 2), int(rng.integers(0, 40)), int(rng.integers(0, 4)), steps))
+    want = set()
+    for n, (seed, _, cross, side, tid, prev, steps) in enumerate(rows):
+        for seed2, _, _, side2, tid2, prev2, steps2 in rows[n + 1 :]:
+            common = Counter(steps[steps < 65_535].tolist()) & Counter(steps2[steps2 < 65_535].tolist())
+            apart = tid != tid2 and (prev != prev2 or prev == 0) and (not cross or side != side2)
+            if seed == seed2 and apart and common.total() >= least:
+                want.add((seed, min(tid, tid2), max(tid, tid2)))
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int32())
+    columns = [pa.array([r[n] for r in rows], kind) for n, kind in enumerate(kinds)]
+    columns.append(pa.array([r[6].tobytes() for r in rows], pa.binary()))
+    batch = pa.record_batch(columns, ["seed", "one", "two", "side", "tid", "prev", "steps"])
+    parts = [batch.slice(at, 13) for at in range(0, len(rows), 13)]
+    got = [
+        (r["label"], r["tid"], other)
+        for b in surroundings.close(iter(parts), width, least, small) for r in b.to_pylist() for other in r["others"]
+    ]
+    assert set(got) == want and len(got) == len(want) > 50
+
+
+def test_texts_with_a_common_line_alone_are_not_paired(spark):
+    rng = np.random.default_rng(13)
+    line, body = made_words(rng, 12), made_words(rng, 60)
+    texts = [made_words(rng, 50) + line + made_words(rng, 50) for _ in range(400)]
+    texts += [made_words(rng, 50) + body + made_words(rng, 50) + line for _ in range(5)]
+    hashed_words = [(n, passages.text_words(" ".join(t)).view(np.int64).tolist(), len(t)) for n, t in enumerate(texts)]
+    df = spark.createDataFrame(hashed_words, "tid long, words array<long>, n_words int")
+    # Cells of one part, and of many.
+    for s in (passages.FUZZY, replace(passages.FUZZY, round_windows=50)):
+        got = {(r.tid, other) for r in passages._close_texts(df, s).collect() for other in r.others}
+        assert got == {(a, b) for a in range(400, 405) for b in range(a + 1, 405)}
+
+
+def test_common_places_are_those_of_the_whole_table():
+    rng = np.random.default_rng(14)
+    for n in range(200):
+        x = rng.integers(0, int(rng.integers(2, 40)), int(rng.integers(1, 50)))
+        y = np.concatenate([rng.integers(0, 40, 5), x[rng.random(len(x)) > 0.2]]) if n % 2 else rng.integers(0, 12, 30)
+        best = np.zeros((len(x) + 1, len(y) + 1), int)
+        for i in range(len(x)):
+            for j in range(len(y)):
+                best[i + 1, j + 1] = best[i, j] + 1 if x[i] == y[j] else max(best[i, j + 1], best[i + 1, j])
+        i, j, want = len(x), len(y), []
+        while i and j:
+            if best[i - 1, j] == best[i, j]:
+                i -= 1
+            elif best[i, j - 1] == best[i, j]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                want.append((i, j))
+        p, q = passages.common_places(x, y)
+        assert list(zip(p.tolist(), q.tolist())) == want[::-1]
+
+
 def test_edited_passages_are_found_at_the_promised_similarity(spark):
     rng = np.random.default_rng(6)
     texts = []
